@@ -101,3 +101,19 @@ def session_scan(ticks: DataFrame, symbol: str, day: str,
         t = t.filter(F.col("trade_date") == d)
     t = valid_ticks(t)
     return t.filter(F.col("ts").between(at_time(d, open_time), at_time(d, close_time)))
+
+
+def session_ticks(ticks: DataFrame, open_time: str = DEFAULT_OPEN_TIME,
+                  close_time: str = DEFAULT_CLOSE_TIME) -> DataFrame:
+    """JOIN-6 over the whole store: for every (symbol, day) with a closing mark,
+    all of that symbol's ticks in that day's session.
+
+    Written as a semi join on (symbol, trade_date) instead of one range query
+    per closing tick; a hot key is split by adaptive skew-join handling.
+    """
+    t = valid_ticks(ticks)
+    marks = (t.filter(is_closing(F.col("ts"), close_time))
+              .select("symbol", F.to_date("ts").alias("trade_date")).distinct())
+    sess = t.filter(in_session(F.col("ts"), open_time, close_time)) \
+            .withColumn("trade_date", F.to_date("ts"))
+    return sess.join(marks, ["symbol", "trade_date"], "left_semi")

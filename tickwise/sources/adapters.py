@@ -5,7 +5,8 @@
 | exchanges    | region (r_regionkey -> id, r_name -> name) |
 | companies    | supplier left join nation: id = s_suppkey, symbol = 'S' || s_suppkey |
 | ticks        | events: symbol = 'S' || user_id, price = value, volume = props.k,
-|              | seq = event_id, timestamp truncated to the hour, open = first value |
+|              | seq = event_id, name = s_name (NULL when no supplier), timestamp truncated |
+|              | to the hour, open = first value                                     |
 |              | of the user by (ts, event_id) |
 
 About a third of event users have no supplier, which exercises the
@@ -66,11 +67,14 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = (events.groupBy("user_id")
              .agg(F.min_by("value", order_key("ts", "event_id")).alias("open")))
     t = events.join(sized_broadcast(first), "user_id", "left")
+    names = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("user_id"), F.col("s_name").alias("name"))
+    t = lookup(t, names, "user_id", "left")
     hour = F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz")
     return t.select(
         F.col("value").alias("current_price"),
         F.col("user_id").try_cast("int").alias("id"),
-        F.lit(None).cast("string").alias("name"),
+        F.col("name"),
         F.col("open"),
         tick_pct_change("value", "open").alias("percent_change"),
         F.concat(F.lit("S"), F.col("user_id").cast("string")).alias("symbol"),
