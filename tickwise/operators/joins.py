@@ -35,10 +35,32 @@ def broadcast_limit_rows(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES
     return max(1, max_bytes // _row_bytes(df.schema))
 
 
+# Verdicts of earlier checks. The key holds the plan's semantic hash, its
+# schema and the exact list of input files: Parquet files are immutable and
+# every rewrite of a table produces new file names, so an unchanged key means
+# unchanged input and an unchanged size.
+_VERDICTS: dict[tuple, bool] = {}
+
+
+def _verdict_key(df: DataFrame, max_bytes: int) -> tuple | None:
+    if df.isStreaming:
+        return None
+    files = tuple(sorted(df.inputFiles()))
+    if not files:
+        return None  # in-memory input: always re-check
+    return (df.semanticHash(), df.schema.json(), files, max_bytes)
+
+
 def is_broadcastable(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
     """True when ``df`` provably fits the broadcast budget (bounded scan)."""
+    key = _verdict_key(df, max_bytes)
+    if key is not None and key in _VERDICTS:
+        return _VERDICTS[key]
     n = broadcast_limit_rows(df, max_bytes)
-    return df.limit(n + 1).count() <= n
+    verdict = df.limit(n + 1).count() <= n
+    if key is not None:
+        _VERDICTS[key] = verdict
+    return verdict
 
 
 def sized_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:

@@ -25,18 +25,19 @@ def prepare_ticks(ticks: DataFrame) -> DataFrame:
     Absent / NULL / NaN numbers take the reference defaults (0) so they enter
     min/max exactly as an absent field would.
     """
-    t = ticks
-    if "ts" not in t.columns:
-        t = t.withColumn("ts", parse_tick_ts("timestamp"))
-    if "trade_date" not in t.columns:
-        t = t.withColumn("trade_date", F.to_date("ts"))
+    ts = F.col("ts") if "ts" in ticks.columns else parse_tick_ts("timestamp")
     reason = (F.when(F.col("symbol").isNull(), F.lit(NO_SYMBOL))
               .when(F.coalesce(F.col("timestamp"), F.lit("")) == "", F.lit(MISSING_TIMESTAMP))
-              .when(F.col("ts").isNull(), F.lit(BAD_TIMESTAMP)))
-    return (t.withColumn("open", clean_number("open"))
-             .withColumn("current_price", clean_number("current_price"))
-             .withColumn("volume", clean_number("volume"))
-             .withColumn("reject_reason", reason))
+              .when(ts.isNull(), F.lit(BAD_TIMESTAMP)))
+    cleaned = {"open", "current_price", "volume", "ts", "trade_date", "reject_reason"}
+    return ticks.select(
+        *[c for c in ticks.columns if c not in cleaned],
+        clean_number("open").alias("open"),
+        clean_number("current_price").alias("current_price"),
+        clean_number("volume").alias("volume"),
+        ts.alias("ts"),
+        (F.col("trade_date") if "trade_date" in ticks.columns else F.to_date(ts)).alias("trade_date"),
+        reason.alias("reject_reason"))
 
 
 def valid_ticks(ticks: DataFrame) -> DataFrame:
