@@ -1,0 +1,56 @@
+"""CHK-1..4: constraint checks return exactly the violating rows/keys."""
+
+from __future__ import annotations
+
+from pyspark.sql import types as T
+
+from tickwise.operators.checks import (
+    check_foreign_key, check_not_null, check_primary_key, check_unique, validate_table,
+)
+from tickwise.schemas import COMPANIES_SCHEMA, EXCHANGES_SCHEMA, SECTORS_SCHEMA
+
+S = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+
+
+def test_not_null(spark):
+    df = spark.createDataFrame([(1, "x"), (None, "y"), (2, None), (None, None)], S)
+    got = sorted(((r.a, r.b, r.null_columns) for r in check_not_null(df, ["a", "b"]).collect()),
+                 key=repr)
+    assert got == sorted([(None, "y", "a"), (2, None, "b"), (None, None, "a,b")], key=repr)
+
+
+def test_unique_ignores_null_keys(spark):
+    df = spark.createDataFrame([(1, "x"), (1, "x"), (1, None), (1, None), (2, "x")], S)
+    assert [(r.a, r.b, r.n_rows) for r in check_unique(df, ["a", "b"]).collect()] == [(1, "x", 2)]
+    assert sorted((r.a, r.n_rows) for r in check_unique(df, "a").collect()) == [(1, 4)]
+
+
+def test_primary_key(spark):
+    df = spark.createDataFrame([(1, "x"), (1, "y"), (None, "z"), (2, "w"), (2, "v")], S)
+    got = sorted(((r.a, r.violation, r.n_rows) for r in check_primary_key(df, "a").collect()),
+                 key=repr)
+    assert got == sorted([(None, "null_key", 1), (1, "duplicate", 2), (2, "duplicate", 2)], key=repr)
+
+
+def test_foreign_key_allows_null(spark):
+    child = spark.createDataFrame([(1, "x"), (3, "y"), (None, "z")], S)
+    parent = spark.createDataFrame([(1,), (2,)], "id int")
+    assert [(r.a, r.b) for r in check_foreign_key(child, "a", parent, "id").collect()] == [(3, "y")]
+
+
+def test_validate_companies(spark):
+    sectors = spark.createDataFrame([(1, "Tech"), (2, "Tech")], SECTORS_SCHEMA)
+    exchanges = spark.createDataFrame([(1, "NYSE", "N")], EXCHANGES_SCHEMA)
+    comps = spark.createDataFrame([
+        (1, "AAAA", "Alpha", 1, None, 1, None, None),
+        (2, "AAAA", "Alpha", 9, None, None, None, None),
+        (3, "CCCC", "Gamma", None, None, 7, None, None),
+    ], COMPANIES_SCHEMA)
+    res = validate_table("companies", comps, {"sectors": sectors, "exchanges": exchanges})
+    assert res["not_null"].count() == 0
+    assert res["primary_key"].count() == 0
+    assert [r.symbol for r in res["unique:symbol"].collect()] == ["AAAA"]
+    assert [r.id for r in res["foreign_key:sector_id"].collect()] == [2]
+    assert [r.id for r in res["foreign_key:exchange_id"].collect()] == [3]
+    s = validate_table("sectors", sectors)
+    assert [r.name for r in s["unique:name"].collect()] == ["Tech"]

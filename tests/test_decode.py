@@ -1,0 +1,53 @@
+"""JOB-1 envelope decoding: the malformed-envelope cases of the fixtures table."""
+
+from __future__ import annotations
+
+from pyspark.sql import Observation
+
+from tickwise.operators.decode import decode_envelopes, decode_ticks
+
+GOOD = ('[{"current_price": 1.5, "id": 1, "name": "A", "open": 1.0, "percent_change": 50.0,'
+        ' "symbol": "AAAA", "timestamp": "2024-01-01 18:00:00", "volume": 10.0, "extra": 1},'
+        ' {"symbol": "BBBB"}]')
+
+
+def _decode(spark, value):
+    df = spark.createDataFrame([(value,)], "value string")
+    return decode_ticks(df).collect()
+
+
+def test_two_ticks_extra_and_missing_fields(spark):
+    rows = _decode(spark, GOOD)
+    assert len(rows) == 2
+    assert rows[0].symbol == "AAAA" and rows[0].current_price == 1.5 and rows[0].id == 1
+    assert rows[1].symbol == "BBBB" and rows[1].current_price is None
+
+
+def test_empty_array_and_malformed_give_no_rows(spark):
+    for v in ["[]", '[{"symbol": "A"', "not json", None]:
+        assert _decode(spark, v) == []
+
+
+def test_bare_object_is_one_tick(spark):
+    rows = _decode(spark, '{"symbol": "AAAA", "current_price": 2.0}')
+    assert [(r.symbol, r.current_price) for r in rows] == [("AAAA", 2.0)]
+
+
+def test_wrong_types(spark):
+    rows = _decode(spark, '[{"id": "x", "symbol": "AAAA"}, {"open": "3.5", "symbol": 8}]')
+    assert [(r.id, r.symbol) for r in rows] == [(None, "AAAA"), (None, "8")]
+    assert rows[1].open is None
+
+
+def test_null_element_kept(spark):
+    rows = _decode(spark, '[null, {"symbol": "AAAA"}]')
+    assert len(rows) == 2 and rows[0].symbol is None
+
+
+def test_binary_value_and_positions_and_metrics(spark):
+    df = spark.createDataFrame([(bytearray(GOOD.encode()), 7), (bytearray(b"junk"), 8)],
+                               "value binary, offset long")
+    obs = Observation("env")
+    rows = decode_envelopes(df, observation=obs).collect()
+    assert [(r.offset, r.pos, r.symbol) for r in rows] == [(7, 0, "AAAA"), (7, 1, "BBBB")]
+    assert obs.get == {"envelopes": 2, "malformed": 1, "ticks": 2}

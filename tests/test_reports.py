@@ -1,0 +1,105 @@
+"""RPT-1..6 ordering, NULL, tie-break and exact-decimal rules."""
+
+from __future__ import annotations
+
+import datetime as dt
+import glob
+import os
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from tests.conftest import plan_text
+from tests.fixtures import companies_df
+from tickwise.operators import reports as R
+from tickwise.plans.daily_report import daily_report
+from tickwise.schemas import EXCHANGES_SCHEMA, PRICES_SCHEMA, SECTORS_SCHEMA
+
+D = dt.date(2024, 1, 22)
+
+
+def _prices(spark, rows):
+    return spark.createDataFrame(
+        [(cid, d, *(None if v is None else Decimal(str(v)) for v in ohlc), vol)
+         for cid, d, ohlc, vol in rows], PRICES_SCHEMA)
+
+
+def _sample(spark):
+    return _prices(spark, [
+        (1, D, (0, 5, 1, 2), 500),          # zero open -> NULL pct
+        (2, D, (10, 12, 9, 11), 900),       # +10 %
+        (3, D, (10, 10, 7, 8), None),       # -20 %, NULL volume
+        (4, D, (20, 21, 18, 19), 900),      # -5 %, sector NULL
+        (1, D - dt.timedelta(days=1), (1, 1, 1, 100), 10 ** 18),   # other day
+    ])
+
+
+def test_top_volume_nulls_first_and_tiebreak(spark):
+    rows = R.top_volume(_sample(spark), companies_df(spark), D).collect()
+    assert [r.symbol for r in rows] == ["CCCC", "BBBB", "DDDD", "AAAA"]
+
+
+def test_top_gainers_zero_open_ranks_first(spark):
+    rows = R.top_gainers(_sample(spark), companies_df(spark), D).collect()
+    assert [(r.symbol, r.pct_change) for r in rows] == [
+        ("AAAA", None), ("BBBB", Decimal("10.00")), ("DDDD", Decimal("-5.00")),
+        ("CCCC", Decimal("-20.00"))]
+
+
+def test_top_losers_filter_and_order(spark):
+    rows = R.top_losers(_sample(spark), companies_df(spark), D).collect()
+    assert [(r.symbol, r.pct_change) for r in rows] == [
+        ("CCCC", Decimal("-20.00")), ("DDDD", Decimal("-5.00"))]
+
+
+def test_avg_close_exact_and_null_sector_dropped(spark):
+    sectors = spark.createDataFrame([(1, "Tech"), (2, "Energy")], SECTORS_SCHEMA)
+    rows = R.avg_close_by_sector(_sample(spark), companies_df(spark), sectors, D).collect()
+    assert [(r.sector, r.avg_close) for r in rows] == [
+        ("Energy", Decimal("8.00")), ("Tech", Decimal("6.50"))]
+
+
+def test_avg_close_rounds_once(spark):
+    # 24,999 x 0.01 and 25,001 x 0.00: exact mean 0.0049998 -> 0.00
+    # (avg() on decimal(10,2) would give 0.005000 and round to 0.01)
+    rows = spark.range(50000).select(
+        (F.col("id") + 1).cast("int").alias("company_id"),
+        F.lit(D).alias("date"),
+        F.lit(1).cast("decimal(10,2)").alias("open"),
+        F.lit(1).cast("decimal(10,2)").alias("high"),
+        F.lit(0).cast("decimal(10,2)").alias("low"),
+        F.when(F.col("id") < 24999, F.lit(Decimal("0.01"))).otherwise(F.lit(Decimal("0.00")))
+         .cast("decimal(10,2)").alias("close"),
+        F.lit(1).cast("bigint").alias("volume"))
+    comps = spark.range(50000).select((F.col("id") + 1).cast("int").alias("id"),
+                                      F.lit(1).alias("sector_id"))
+    sectors = spark.createDataFrame([(1, "All")], SECTORS_SCHEMA)
+    r = R.avg_close_by_sector(rows, comps, sectors, D).collect()
+    assert r[0].avg_close == Decimal("0.00")
+
+
+def test_volume_by_exchange_widens_sum(spark):
+    ex = spark.createDataFrame([(1, "NYSE", None), (2, "LSE", None)], EXCHANGES_SCHEMA)
+    p = _prices(spark, [(1, D, (1, 1, 1, 1), 9 * 10 ** 18), (3, D, (1, 1, 1, 1), 9 * 10 ** 18),
+                        (2, D, (1, 1, 1, 1), 5)])
+    rows = R.volume_by_exchange(p, companies_df(spark), ex, D).collect()
+    assert [(r.exchange, r.total_volume) for r in rows] == [
+        ("NYSE", Decimal(18 * 10 ** 18)), ("LSE", Decimal(5))]
+
+
+def test_top_k_plans_as_take_ordered(spark):
+    txt = plan_text(R.top_volume(_sample(spark), companies_df(spark), D))
+    assert "TakeOrderedAndProject" in txt
+
+
+def test_daily_report_writes_five_csvs_with_headers(spark, scratch):
+    sectors = spark.createDataFrame([(1, "Tech"), (2, "Energy")], SECTORS_SCHEMA)
+    ex = spark.createDataFrame([(1, "NYSE", None), (2, "LSE", None)], EXCHANGES_SCHEMA)
+    paths = daily_report(_sample(spark), companies_df(spark), sectors, ex, D, scratch)
+    assert set(paths) == {"top_volume_companies", "top_gainer_companies", "avg_close_by_sector",
+                          "total_volume_by_exchange", "top_loser_companies"}
+    assert paths["top_volume_companies"].endswith("top_volume_companies2024-01-22.csv")
+    part = glob.glob(os.path.join(paths["avg_close_by_sector"], "part-*.csv"))
+    assert len(part) == 1
+    lines = open(part[0]).read().splitlines()
+    assert lines == ["sector,avg_close", "Energy,8.00", "Tech,6.50"]
