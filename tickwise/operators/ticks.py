@@ -26,9 +26,11 @@ def prepare_ticks(ticks: DataFrame) -> DataFrame:
     min/max exactly as an absent field would.
     """
     ts = F.col("ts") if "ts" in ticks.columns else parse_tick_ts("timestamp")
+    # the timestamp text is only inspected for rows whose time did not parse
     reason = (F.when(F.col("symbol").isNull(), F.lit(NO_SYMBOL))
-              .when(F.coalesce(F.col("timestamp"), F.lit("")) == "", F.lit(MISSING_TIMESTAMP))
-              .when(ts.isNull(), F.lit(BAD_TIMESTAMP)))
+              .when(ts.isNull(),
+                    F.when(F.coalesce(F.col("timestamp"), F.lit("")) == "",
+                           F.lit(MISSING_TIMESTAMP)).otherwise(F.lit(BAD_TIMESTAMP))))
     cleaned = {"open", "current_price", "volume", "ts", "trade_date", "reject_reason"}
     return ticks.select(
         *[c for c in ticks.columns if c not in cleaned],
