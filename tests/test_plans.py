@@ -47,3 +47,33 @@ def test_sized_broadcast_checks_bound(spark):
     assert is_broadcastable(small)
     assert not is_broadcastable(spark.range(1000), max_bytes=100)
     assert "BroadcastHashJoin" in plan_text(spark.range(100).join(sized_broadcast(small), "id"))
+
+
+def test_report_date_reaches_the_tick_scan(spark):
+    from tickwise.operators.reports import top_volume
+    c = A.companies(spark, SF01)
+    txt = plan_text(top_volume(daily_bars(A.ticks(spark, SF01), c), c, "2024-01-22"))
+    pushed = [ln for ln in txt.splitlines() if "PushedFilters" in ln and "ts," in ln]
+    assert any("GreaterThanOrEqual(ts,2024-01-22" in ln and "LessThan(ts,2024-01-23" in ln
+               for ln in pushed), txt
+
+
+def test_per_user_values_are_materialized_once(spark):
+    # the adapter's per-user aggregate is read from the checkpoint, so a bar
+    # query has exactly one exchange: the (symbol, date) aggregate
+    txt = plan_text(daily_bars(A.ticks(spark, SF01), A.companies(spark, SF01)))
+    assert len(re.findall(r"\(\d+\) Exchange\b", txt)) == 1, txt
+    assert "min_by" not in txt
+
+
+def test_bar_date_prunes_tick_store_partitions(spark, scratch):
+    from tests.fixtures import tick, ticks_df
+    from tickwise.sinks.ticks import write_tick_batch
+    from tickwise.sources.tables import read_ticks
+    path = scratch + "/ticks"
+    rows = [tick("AAAA", f"2024-01-0{d} 18:00:00", 10.0 + d, seq=None) for d in (1, 2, 3)]
+    write_tick_batch(ticks_df(spark, rows).drop("seq"), 0, path)
+    bars = daily_bars(read_ticks(spark, path), A.companies(spark, SF01))
+    one_day = bars.filter(F.col("date") == F.lit("2024-01-02").cast("date"))
+    txt = plan_text(one_day)
+    assert re.search(r"PartitionFilters: \[[^\]]*trade_date", txt), txt

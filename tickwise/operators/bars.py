@@ -33,7 +33,9 @@ def session_aggregates(ticks: DataFrame, open_time: str = DEFAULT_OPEN_TIME,
     t = valid_ticks(ticks)
     t = t.filter(in_session(F.col("ts"), open_time, close_time))
     mark_seq = F.when(is_closing(F.col("ts"), close_time), F.col("seq"))
-    return (t.groupBy("symbol", F.to_date("ts").alias("date"))
+    # trade_date is to_date(ts) by construction of the store; grouping on the
+    # partition column lets a filter on the bar date prune tick partitions
+    return (t.groupBy("symbol", F.col("trade_date").alias("date"))
              .agg(F.max_by("open", mark_seq).alias("open_raw"),
                   F.max_by("current_price", mark_seq).alias("close_raw"),
                   F.max("current_price").alias("high_raw"),

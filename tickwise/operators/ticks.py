@@ -116,7 +116,6 @@ def session_ticks(ticks: DataFrame, open_time: str = DEFAULT_OPEN_TIME,
     """
     t = valid_ticks(ticks)
     marks = (t.filter(is_closing(F.col("ts"), close_time))
-              .select("symbol", F.to_date("ts").alias("trade_date")).distinct())
-    sess = t.filter(in_session(F.col("ts"), open_time, close_time)) \
-            .withColumn("trade_date", F.to_date("ts"))
+              .select("symbol", "trade_date").distinct())
+    sess = t.filter(in_session(F.col("ts"), open_time, close_time))
     return sess.join(marks, ["symbol", "trade_date"], "left_semi")
