@@ -21,7 +21,7 @@ from tickwise.operators.decode import decode_ticks
 from tickwise.operators.encode import encode_snapshots
 from tickwise.operators.snapshot import last_updated, market_snapshot
 from tickwise.operators.ticks import (
-    closing_ticks, session_ticks, tick_rejects, unknown_symbols,
+    closing_ticks, session_scan, session_ticks, tick_rejects, unknown_symbols,
 )
 from tickwise.sinks.prices import merge_bars
 from tickwise.sources import adapters as A
@@ -34,6 +34,9 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 # and the first trade date of the incremental re-run in ``upsert_bars``.
 REPORT_DATE = "2024-01-22"
 RERUN_FROM = "2024-01-16"
+# Symbol of the one-symbol session scan (SRC-4): the busiest listed symbol of
+# the report date at sf0.01.
+SCAN_SYMBOL = "S43"
 
 
 def _dims(spark: SparkSession, sf_dir: str):
@@ -41,21 +44,20 @@ def _dims(spark: SparkSession, sf_dir: str):
 
 
 def q_daily_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t, c = _dims(spark, sf_dir)
-    return daily_bars(t, c)
+    # the prices view is exactly the bar job over the whole tick view
+    return A.prices(spark, sf_dir).select("*")
 
 
 def q_upsert_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full history run, then an incremental re-run of the recent trade dates upserted on top."""
     t, c = _dims(spark, sf_dir)
-    existing = daily_bars(t, c)
+    existing = A.prices(spark, sf_dir)
     rerun = daily_bars(t.filter(F.col("trade_date") >= F.lit(RERUN_FROM).cast("date")), c)
     return merge_bars(existing, rerun)
 
 
 def _report_inputs(spark: SparkSession, sf_dir: str):
-    t, c = _dims(spark, sf_dir)
-    return daily_bars(t, c), c
+    return A.prices(spark, sf_dir), A.companies(spark, sf_dir)
 
 
 def q_top_volume(spark, sf_dir):
@@ -107,6 +109,12 @@ def q_session_scan(spark, sf_dir):
     return session_ticks(t).select("symbol", "trade_date", "seq", "current_price")
 
 
+def q_symbol_session_scan(spark, sf_dir):
+    t, _ = _dims(spark, sf_dir)
+    return session_scan(t, SCAN_SYMBOL, REPORT_DATE).select(
+        "symbol", "timestamp", "seq", "current_price", "volume")
+
+
 def q_closing_ticks(spark, sf_dir):
     t, _ = _dims(spark, sf_dir)
     return closing_ticks(t).select("seq", "symbol", "timestamp", "open", "current_price")
@@ -181,6 +189,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "unknown_symbols": q_unknown_symbols,
         "tick_rejects": q_tick_rejects,
         "session_scan": q_session_scan,
+        "symbol_session_scan": q_symbol_session_scan,
         "closing_ticks": q_closing_ticks,
         "tick_pct_change": q_tick_pct_change,
         "bar_pct_change": q_bar_pct_change,
@@ -309,6 +318,10 @@ marks AS (SELECT DISTINCT symbol, trade_date FROM t WHERE hour(ts) = 18)
 SELECT t.symbol, t.trade_date, t.seq, t.current_price
 FROM t JOIN marks m ON m.symbol = t.symbol AND m.trade_date = t.trade_date
 WHERE hour(t.ts) BETWEEN 8 AND 18""",
+        "symbol_session_scan": _WITH_TICKS + f"""
+SELECT symbol, timestamp, seq, current_price, COALESCE(volume, 0.0) AS volume FROM t
+WHERE symbol = '{SCAN_SYMBOL}'
+  AND ts BETWEEN TIMESTAMP '{REPORT_DATE} 08:00:00' AND TIMESTAMP '{REPORT_DATE} 18:00:00'""",
         "closing_ticks": _WITH_TICKS + """
 SELECT seq, symbol, timestamp, open, current_price FROM t WHERE hour(ts) = 18""",
         "tick_pct_change": _WITH_TICKS + """

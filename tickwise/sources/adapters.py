@@ -4,6 +4,7 @@
 | sectors      | nation (n_nationkey -> id, n_name -> name) |
 | exchanges    | region (r_regionkey -> id, r_name -> name) |
 | companies    | supplier left join nation: id = s_suppkey, symbol = 'S' || s_suppkey |
+| prices       | daily bars of ticks (the bar job's output table) |
 | ticks        | events: symbol = 'S' || user_id, price = value, volume = props.k,
 |              | seq = event_id, name = s_name (NULL when no supplier), timestamp truncated |
 |              | to the hour, open = first value                                     |
@@ -116,3 +117,10 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
         # same day as the truncated ts; on the raw column a trade-date filter
         # becomes a ts range pushed to the Parquet scan
         F.to_date(F.col("ts")).alias("trade_date"))
+
+
+@_per_session
+def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``prices`` table: daily bars of the tick view (a plan, recomputed on every run)."""
+    from tickwise.operators.bars import daily_bars
+    return daily_bars(ticks(spark, sf_dir), companies(spark, sf_dir))
