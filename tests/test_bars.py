@@ -139,3 +139,24 @@ def test_matches_brute_force_on_random_ticks(spark):
             for k, (o, h, lo, c, v) in _brute_force(rows, COMPANIES).items()}
     assert got == want
     assert len(want) > 5
+
+
+def test_adapter_bars_do_not_depend_on_the_session_zone(spark):
+    # event times are zone-less; a session zone with a half-hour offset must
+    # not move the hour marks, the trade dates or the first-value order
+    from tickwise.sources import adapters as A
+    sf = "/root/testdata/sf0.001"
+
+    def bars_now():
+        t = A.ticks.__wrapped__(spark, sf)
+        c = A.companies.__wrapped__(spark, sf)
+        return sorted(tuple(r) for r in daily_bars(t, c).collect())
+
+    want = bars_now()
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+        got = bars_now()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == want and len(want) > 0

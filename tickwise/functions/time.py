@@ -57,7 +57,10 @@ def order_key(ts: Column | str, tiebreak: Column | str) -> Column:
     A single numeric key lets ``min_by`` / ``max_by`` run as a HashAggregate
     (a struct key would force a sort-based aggregate).
     """
-    micros = F.unix_micros(_col(ts).cast("timestamp")).cast("decimal(38,0)")
+    # microseconds since 1970-01-01 00:00:00 of the wall-clock time; on
+    # timestamp_ntz this involves no time zone
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    micros = F.timestamp_diff("MICROSECOND", epoch, _col(ts).cast("timestamp_ntz")).cast("decimal(38,0)")
     tb = _col(tiebreak).cast("decimal(38,0)")
     return ((micros + _dec(_TS_SHIFT)) * _dec(2 ** 64) + (tb + _dec(_ID_SHIFT))).cast("decimal(38,0)")
 

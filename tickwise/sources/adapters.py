@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwise.functions.prices import tick_pct_change
-from tickwise.functions.time import format_tick_ts, order_key
+from tickwise.functions.time import at_time, format_tick_ts, order_key
 from tickwise.operators.joins import lookup, sized_broadcast
 from tickwise.schemas import SEQ_TYPE
 from tickwise.session import checkpoint_root
@@ -102,7 +102,9 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     checkpoint_root(spark)
     per_user = first.join(names, "user_id", "left").checkpoint(eager=True)
     t = events.join(sized_broadcast(per_user), "user_id", "left")
-    hour = F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz")
+    # wall-clock hour of the (zone-less) event time, independent of the session zone
+    hour = at_time(F.to_date("ts"), "00:00:00") + F.make_dt_interval(
+        F.lit(0), F.hour("ts"), F.lit(0), F.lit(0))
     return t.select(
         F.col("value").alias("current_price"),
         F.col("user_id").try_cast("int").alias("id"),
