@@ -77,3 +77,19 @@ def test_bar_date_prunes_tick_store_partitions(spark, scratch):
     one_day = bars.filter(F.col("date") == F.lit("2024-01-02").cast("date"))
     txt = plan_text(one_day)
     assert re.search(r"PartitionFilters: \[[^\]]*trade_date", txt), txt
+
+
+def test_every_registered_query_has_a_scalable_plan(spark):
+    """Plan hygiene over all of ``queries()``: no all-pairs join, no Python
+    UDF, no sort-based aggregate, and column pruning reaches the scans."""
+    import __spark_entry__ as E
+    sf = "/root/testdata/sf0.001"
+    for name, fn in E.queries().items():
+        txt = plan_text(fn(spark, sf))
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
+                    "ArrowEvalPython", "SortAggregate"):
+            assert bad not in txt, (name, bad)
+        if name != "check_foreign_key":  # returns whole child rows by definition
+            # (plans that start from a checkpoint have no scan left to check)
+            reads = [ln for ln in txt.splitlines() if ln.startswith("ReadSchema")]
+            assert not any("event_type" in ln for ln in reads), (name, reads)

@@ -45,6 +45,11 @@ def market_snapshot(ticks: DataFrame, companies: DataFrame) -> DataFrame:
 
 
 def last_updated(snapshot: DataFrame) -> DataFrame:
-    """One row: ``Last Updated: <latest timestamp> UTC`` (a global max, partial-able)."""
-    return snapshot.agg(F.max("timestamp").alias("timestamp")).select(
-        F.concat(F.lit("Last Updated: "), F.col("timestamp"), F.lit(" UTC")).alias("last_updated"))
+    """One row: ``Last Updated: <latest timestamp> UTC`` (a global max, partial-able).
+
+    The max is taken on the parsed time (a fixed-width value, so the aggregate
+    stays a HashAggregate) and formatted once.
+    """
+    latest = snapshot.agg(F.max(parse_tick_ts("timestamp")).alias("ts"))
+    return latest.select(
+        F.concat(F.lit("Last Updated: "), format_tick_ts("ts"), F.lit(" UTC")).alias("last_updated"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tickwise.functions.prices import clean_number
 from tickwise.functions.time import at_time, parse_tick_ts
 from tickwise.operators.joins import lookup, sized_broadcast
+from tickwise.session import checkpoint_root
 
 # Default session bounds (closing mark at 18:00:00, session from 08:00:00).
 DEFAULT_OPEN_TIME = "08:00:00"
@@ -112,10 +113,17 @@ def session_ticks(ticks: DataFrame, open_time: str = DEFAULT_OPEN_TIME,
     all of that symbol's ticks in that day's session.
 
     Written as a semi join on (symbol, trade_date) instead of one range query
-    per closing tick; a hot key is split by adaptive skew-join handling.
+    per closing tick. The marks (one row per symbol and day at most) are
+    materialized first in the shared checkpoint folder (a partial-aggregate
+    pass); when their size check passes they are broadcast and the session
+    scan stays map-only, so the tick side is never shuffled and a hot symbol
+    cannot land in one task. Beyond the bound it is a shuffle semi join whose
+    skewed partitions adaptive execution splits.
     """
     t = valid_ticks(ticks)
+    checkpoint_root(ticks.sparkSession)
     marks = (t.filter(is_closing(F.col("ts"), close_time))
-              .select("symbol", "trade_date").distinct())
+              .select("symbol", "trade_date").distinct()
+              .checkpoint(eager=True))
     sess = t.filter(in_session(F.col("ts"), open_time, close_time))
-    return sess.join(marks, ["symbol", "trade_date"], "left_semi")
+    return sess.join(sized_broadcast(marks), ["symbol", "trade_date"], "left_semi")
