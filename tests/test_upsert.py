@@ -66,3 +66,21 @@ def test_date_filter_prunes_partitions(spark, scratch):
     txt = plan_text(df)
     assert "PartitionFilters: [isnotnull(date" in txt
     assert df.count() == 1
+
+
+def test_merge_replaces_with_null_values_too(spark):
+    # the conflict update sets all five values from the re-delivered row,
+    # so a NULL there replaces a stored value
+    old = _bars(spark, [(1, D1, "1", 10)])
+    new = spark.createDataFrame([(1, D1, None, None, None, None, None)], PRICES_SCHEMA)
+    (row,) = merge_bars(old, new).collect()
+    assert (row.open, row.high, row.low, row.close, row.volume) == (None,) * 5
+
+
+def test_merge_is_one_shuffle_on_the_key(spark):
+    import re
+    old = _bars(spark, [(1, D1, "1", 10)])
+    new = _bars(spark, [(1, D1, "2", 20)])
+    txt = plan_text(merge_bars(old, new))
+    assert len(re.findall(r"\(\d+\) Exchange\b", txt)) == 1, txt
+    assert "SortMergeJoin" not in txt and "SortAggregate" not in txt

@@ -17,18 +17,26 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tickwise.operators.joins import sized_broadcast
-from tickwise.schemas import BAR_KEY, PRICES_SCHEMA
+from tickwise.schemas import BAR_KEY, BAR_VALUE_COLUMNS, PRICES_SCHEMA
 from tickwise.session import checkpoint_root
 
 
 def merge_bars(existing: DataFrame, new: DataFrame) -> DataFrame:
-    """Keyed upsert as a DataFrame: ``existing`` minus re-delivered keys, plus ``new``.
+    """Keyed upsert as a DataFrame: for every (company_id, date) a re-delivered
+    row replaces the stored one (all five values, NULLs included); stored rows
+    whose key is not re-delivered are kept.
 
-    ``new`` must be unique on (company_id, date) -- ``daily_bars`` guarantees it.
+    One union and one aggregate on the key, keeping the values of the newer
+    side: ``new`` is read once, there is a single shuffle, and since a key has
+    at most two rows no key can be hot. ``new`` must be unique on the key
+    (``daily_bars`` guarantees it), as the stored table is by its primary key.
     """
     cols = [f.name for f in PRICES_SCHEMA.fields]
-    kept = existing.join(new.select(*BAR_KEY), BAR_KEY, "left_anti")
-    return kept.select(*cols).unionByName(new.select(*cols))
+    both = (existing.select(*cols, F.lit(0).alias("_newer"))
+            .unionByName(new.select(*cols, F.lit(1).alias("_newer"))))
+    merged = both.groupBy(*BAR_KEY).agg(
+        *[F.max_by(c, "_newer").alias(c) for c in BAR_VALUE_COLUMNS])
+    return merged.select(*cols)
 
 
 def _existing_prices(spark: SparkSession, path: str) -> DataFrame | None:
