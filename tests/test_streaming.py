@@ -93,3 +93,16 @@ def test_clock_publisher_writes_decodable_snapshots(spark, scratch):
     want = store_snapshot(ticks, comps)
     assert got.count() == want.count() > 0
     assert got.select("timestamp").distinct().count() == 1
+
+
+def test_now_string_is_utc_in_any_session_zone(spark):
+    import datetime as dt
+    from tickwise.functions.time import utc_now_string
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+        got = spark.range(1).select(utc_now_string().alias("now")).collect()[0].now
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    assert abs((dt.datetime.strptime(got, "%Y-%m-%d %H:%M:%S") - now).total_seconds()) < 120

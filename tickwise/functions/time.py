@@ -43,8 +43,9 @@ def at_time(date: Column | str, hhmmss: str) -> Column:
 
 
 def utc_now_string() -> Column:
-    """Current time as a tick timestamp string (session zone is UTC)."""
-    return F.date_format(F.current_timestamp(), TICK_TS_FORMAT)
+    """Current UTC wall-clock time as a tick timestamp string, whatever the session zone."""
+    local = F.current_timestamp().cast("timestamp_ntz")  # wall clock in the session zone
+    return F.date_format(F.convert_timezone(None, F.lit("UTC"), local), TICK_TS_FORMAT)
 
 
 _TS_SHIFT = 2 ** 61   # timestamps within +-73,000 years of 1970 in microseconds
