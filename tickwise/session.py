@@ -23,6 +23,9 @@ BASE_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files of materialized intermediate results (closing marks,
+    # merged bars) are removed once their DataFrame is no longer referenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
