@@ -26,6 +26,10 @@ BASE_CONF = {
     # checkpoint files of materialized intermediate results (closing marks,
     # merged bars) are removed once their DataFrame is no longer referenced
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # compiled whole-stage code is cached by generated source; a mix of
+    # report, bar, check and snapshot queries has more distinct stages than
+    # the default 100 entries, and each eviction means recompiling a stage
+    "spark.sql.codegen.cache.maxEntries": "1000",
 }
 
 
