@@ -106,3 +106,18 @@ def test_now_string_is_utc_in_any_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     assert abs((dt.datetime.strptime(got, "%Y-%m-%d %H:%M:%S") - now).total_seconds()) < 120
+
+
+def test_batch_without_ticks_writes_nothing(spark, scratch):
+    # FLT-7: empty arrays and malformed envelopes only -> no tick partition
+    src, store, ckpt = (os.path.join(scratch, x) for x in ("in", "ticks", "ckpt"))
+    os.makedirs(src)
+    with open(os.path.join(src, "part-0.txt"), "w") as fh:
+        fh.write("[]\nnot json\n[]\n")
+    metrics = []
+    ingest_ticks(text_envelope_stream(spark, src), store, ckpt, available_now=True,
+                 metrics=metrics).awaitTermination(120)
+    assert metrics and metrics[0]["envelopes"] == 3 and metrics[0]["ticks"] == 0
+    assert metrics[0]["malformed"] == 1
+    assert not [d for d in (os.listdir(store) if os.path.isdir(store) else [])
+                if d.startswith("trade_date=")]

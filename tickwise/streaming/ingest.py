@@ -19,8 +19,10 @@ from tickwise.sinks.ticks import write_tick_batch
 
 def make_batch_writer(ticks_path: str, value_col: str = "value", metrics: list | None = None):
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():          # FLT-7: nothing arrived in this trigger
-            return
+        # FLT-7: a batch without ticks (no records, only empty or malformed
+        # envelopes) writes nothing -- the dynamic overwrite touches no
+        # partition -- so no separate emptiness job (a second read of the
+        # batch from the source) is run before the write.
         obs = Observation(f"envelopes_{batch_id}")
         ticks = decode_envelopes(batch, value_col, observation=obs)
         write_tick_batch(ticks, batch_id, ticks_path)
