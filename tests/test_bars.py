@@ -160,3 +160,32 @@ def test_adapter_bars_do_not_depend_on_the_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == want and len(want) > 0
+
+
+def test_hot_symbol_holding_a_third_of_all_ticks(spark):
+    # one (symbol, day) group holds a third of the ticks, spread over all
+    # input partitions; partial aggregation reduces it map-side and the
+    # result must equal the row-at-a-time rule exactly
+    from tests.fixtures import COMPANIES
+    from tickwise.operators.snapshot import latest_ticks
+    rng = random.Random(11)
+    rows = []
+    for seq in range(1500):
+        hot = seq % 3 == 0
+        sym = "AAAA" if hot else rng.choice(["BBBB", "CCCC"])
+        day = 5 if hot else rng.randint(1, 6)
+        h = rng.choice([8, 10, 12, 15, 18, 18])
+        m, s = (0, 0) if h == 18 else (rng.randrange(60), rng.randrange(60))
+        rows.append(tick(sym, f"2024-03-{day:02d} {h:02d}:{m:02d}:{s:02d}",
+                         round(rng.uniform(1, 300), 2), open_=round(rng.uniform(1, 300), 2),
+                         volume=round(rng.uniform(0, 1e6), 2), seq=rng.randrange(10 ** 12)))
+    ticks = ticks_df(spark, rows).repartition(8)
+    got = {(r.company_id, r.date.isoformat()): (r.open, r.high, r.low, r.close, r.volume)
+           for r in daily_bars(ticks, companies_df(spark)).collect()}
+    want = {k: (_d(o), _d(h), _d(lo), _d(c), v)
+            for k, (o, h, lo, c, v) in _brute_force(rows, COMPANIES).items()}
+    assert got == want and (1, "2024-03-05") in want
+    # the latest tick of the hot symbol is the one with the highest seq
+    last = max((r for r in rows if r[5] == "AAAA"), key=lambda r: r[8])
+    (hot,) = latest_ticks(ticks).filter(F.col("symbol") == "AAAA").collect()
+    assert (hot.current_price, hot.seq) == (last[0], last[8])
