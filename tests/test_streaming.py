@@ -121,3 +121,17 @@ def test_batch_without_ticks_writes_nothing(spark, scratch):
     assert metrics[0]["malformed"] == 1
     assert not [d for d in (os.listdir(store) if os.path.isdir(store) else [])
                 if d.startswith("trade_date=")]
+
+
+def test_recent_snapshot_reads_only_recent_partitions(spark, scratch):
+    from tests.conftest import plan_text
+    from tickwise.sinks.ticks import write_tick_batch
+    from tickwise.streaming.publish import recent_store_snapshot
+    store = os.path.join(scratch, "ticks")
+    write_tick_batch(A.ticks(spark, SF001).select(*TICK_FIELDS), 0, store)
+    snap = recent_store_snapshot(spark, store, A.companies(spark, SF001), "2024-01-30")
+    txt = plan_text(snap)
+    assert "PartitionFilters" in txt and "trade_date" in txt
+    recent = read_ticks(spark, store, start_date="2024-01-30")
+    assert snap.count() == recent.join(A.companies(spark, SF001).select("symbol"), "symbol",
+                                       "left_semi").select("symbol").distinct().count() > 0

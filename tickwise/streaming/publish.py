@@ -17,20 +17,32 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickwise.functions.time import utc_now_string
 from tickwise.operators.encode import DEFAULT_MAX_TICKS, encode_snapshots
+from tickwise.operators.joins import lookup
 from tickwise.operators.snapshot import latest_ticks
 from tickwise.session import stream_checkpoint
 from tickwise.sources.streams import DEFAULT_CLOCK_ROWS_PER_SECOND, clock_stream
+from tickwise.sources.tables import read_ticks
 from tickwise.schemas import TICK_FIELDS
 
 
 def store_snapshot(ticks: DataFrame, companies: DataFrame) -> DataFrame:
     """Latest tick per listed symbol, re-stamped now (one poll of the market)."""
     latest = latest_ticks(ticks)
-    named = latest.join(companies.select(F.col("id").cast("int").alias("id"), "symbol", "name"),
-                        "symbol", "inner")
+    named = lookup(latest, companies.select(F.col("id").cast("int").alias("id"), "symbol", "name"),
+                   "symbol", "inner")
     return named.withColumn("timestamp", utc_now_string()).select(*TICK_FIELDS, "seq")
 
 
+def recent_store_snapshot(spark: SparkSession, ticks_path: str, companies: DataFrame,
+                          since_date: str) -> DataFrame:
+    """One poll over the tick store limited to trade dates >= ``since_date``.
+
+    The trade-date filter prunes store partitions, so a poll that runs every
+    clock tick reads only recent data, never the whole history.
+    """
+    return store_snapshot(read_ticks(spark, ticks_path, start_date=since_date), companies)
+
+
 def publish_on_clock(spark: SparkSession, snapshot: Callable[[int], DataFrame], out_path: str,
                      rows_per_second: int = DEFAULT_CLOCK_ROWS_PER_SECOND,
                      checkpoint: str | None = None, query_name: str = "publish_snapshots",
@@ -39,6 +51,9 @@ def publish_on_clock(spark: SparkSession, snapshot: Callable[[int], DataFrame],
                      processing_time: str | None = None) -> StreamingQuery:
     """Start the publisher; ``snapshot(batch_id)`` returns the ticks of one poll.
 
+    ``snapshot`` runs once per clock tick, so it should read a bounded slice
+    of the store, e.g. ``lambda _: recent_store_snapshot(spark, path, companies, today)``.
+
     ``sink(envelopes, batch_id)`` overrides the default text-folder writer
     (e.g. ``envelopes.write.format("kafka")...``).
     """
