@@ -64,14 +64,21 @@ def unknown_symbols(ticks: DataFrame, companies: DataFrame) -> DataFrame:
 
 
 def tick_rejects(ticks: DataFrame, companies: DataFrame) -> DataFrame:
-    """Every tick the bar job skips, with its reason (no row is dropped silently)."""
+    """Every tick the bar job skips, with its reason (no row is dropped silently).
+
+    One pass over the ticks: a left lookup of a ``listed`` flag in the
+    distinct company symbols (broadcast behind the size check; distinct, so a
+    duplicated symbol cannot duplicate ticks), then the first reason that
+    applies.
+    """
     prepared = prepare_ticks(ticks)
-    bad = prepared.filter(F.col("reject_reason").isNotNull())
-    known = sized_broadcast(companies.select("symbol"))
-    unknown = (prepared.filter(F.col("reject_reason").isNull())
-               .join(known, "symbol", "left_anti")
-               .withColumn("reject_reason", F.lit(UNKNOWN_SYMBOL)))
-    return bad.unionByName(unknown)
+    listed = companies.select("symbol").distinct().withColumn("_listed", F.lit(True))
+    j = prepared.join(sized_broadcast(listed), "symbol", "left")
+    reason = F.coalesce(F.col("reject_reason"),
+                        F.when(F.col("_listed").isNull(), F.lit(UNKNOWN_SYMBOL)))
+    return (j.withColumn("reject_reason", reason)
+             .filter(F.col("reject_reason").isNotNull())
+             .select(*prepared.columns))
 
 
 def is_closing(ts: Column, close_time: str = DEFAULT_CLOSE_TIME) -> Column:
