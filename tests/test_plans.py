@@ -97,3 +97,12 @@ def test_every_registered_query_has_a_scalable_plan(spark):
             # (plans that start from a checkpoint have no scan left to check)
             reads = [ln for ln in txt.splitlines() if ln.startswith("ReadSchema")]
             assert not any("event_type" in ln for ln in reads), (name, reads)
+
+
+def test_size_check_measures_long_strings(spark):
+    # ten rows, but 10 MB of text: the row count alone would pass a 5 MB budget
+    wide = spark.range(10).select(F.repeat(F.lit("x"), 1_000_000).alias("s"))
+    assert not is_broadcastable(wide, max_bytes=5 * 1024 * 1024)
+    assert is_broadcastable(wide, max_bytes=64 * 1024 * 1024)
+    nested = spark.range(3).select(F.array(F.lit("abc"), F.lit("de")).alias("a"))
+    assert is_broadcastable(nested, max_bytes=10_000)

@@ -1,38 +1,48 @@
 """Dimension lookups with a size-checked broadcast.
 
-A dimension side is broadcast only after a bounded check of its size (a
-``limit(n + 1).count()`` that stops early); beyond the bound the join is left
-to a shuffle join, where adaptive execution splits skewed keys.
+A dimension side is broadcast only after a bounded, exact check of its size:
+one job over at most ``n + 1`` rows (a limit that stops early) returns the row
+count and the byte length of every variable-width value, so the verdict is
+``rows * fixed width + measured bytes <= budget``. Beyond the bound the join is
+left to a shuffle join, where adaptive execution splits skewed keys.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Broadcast budget per dimension side.
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
-STRING_BYTES = 48  # assumed average width of a string value
+_VARIABLE = (T.StringType, T.BinaryType, T.StructType, T.ArrayType, T.MapType)
 
 
-def _row_bytes(schema: T.StructType) -> int:
-    width = 16  # row header
+def _fixed_row_bytes(schema: T.StructType) -> int:
+    """Bytes of a row without its variable-width payload (header, slots, wide decimals)."""
+    width = 16  # row header and null bits
     for f in schema.fields:
         dt = f.dataType
-        if isinstance(dt, (T.StringType, T.BinaryType)):
-            width += STRING_BYTES
-        elif isinstance(dt, T.DecimalType):
-            width += 8 if dt.precision <= 18 else 16
-        elif isinstance(dt, (T.StructType, T.ArrayType, T.MapType)):
-            width += 4 * STRING_BYTES
-        else:
-            width += 8
+        width += 16 if isinstance(dt, T.DecimalType) and dt.precision > 18 else 8
     return width
 
 
+def _variable_bytes(schema: T.StructType) -> Column:
+    """Byte length of the variable-width values of a row (nested ones as JSON text)."""
+    parts = []
+    for f in schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            parts.append(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)))
+    return reduce(lambda a, b: a + b, parts, F.lit(0)).cast("long")
+
+
 def broadcast_limit_rows(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> int:
-    return max(1, max_bytes // _row_bytes(df.schema))
+    return max(1, max_bytes // _fixed_row_bytes(df.schema))
 
 
 # Verdicts of earlier checks. The key holds the plan's semantic hash, its
@@ -57,7 +67,10 @@ def is_broadcastable(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) ->
     if key is not None and key in _VERDICTS:
         return _VERDICTS[key]
     n = broadcast_limit_rows(df, max_bytes)
-    verdict = df.limit(n + 1).count() <= n
+    probe = df.limit(n + 1).agg(F.count(F.lit(1)).alias("rows"),
+                                F.sum(_variable_bytes(df.schema)).alias("var_bytes"))
+    rows, var_bytes = probe.collect()[0]  # one row: the measured size
+    verdict = rows <= n and rows * _fixed_row_bytes(df.schema) + (var_bytes or 0) <= max_bytes
     if key is not None:
         _VERDICTS[key] = verdict
     return verdict
