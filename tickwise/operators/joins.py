@@ -17,7 +17,6 @@ from pyspark.sql import types as T
 
 # Broadcast budget per dimension side.
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
-_VARIABLE = (T.StringType, T.BinaryType, T.StructType, T.ArrayType, T.MapType)
 
 
 def _fixed_row_bytes(schema: T.StructType) -> int:
