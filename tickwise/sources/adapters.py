@@ -68,8 +68,12 @@ def exchanges(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_per_session
 def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = table(spark, sf_dir, "supplier")
-    nation = table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("s_nationkey"), F.col("n_regionkey"))
+    # nation is keyed by n_nationkey; stating it (distinct on the key) lets the
+    # optimizer drop this left join from every plan that does not use
+    # exchange_id, e.g. all symbol -> id lookups
+    nation = (table(spark, sf_dir, "nation")
+              .select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_regionkey"))
+              .dropDuplicates(["s_nationkey"]))
     joined = lookup(supplier, nation, "s_nationkey", "left")
     return joined.select(
         F.col("s_suppkey").alias("id"),
