@@ -1,0 +1,23 @@
+"""The bench's output contract: one JSON line with metric, value, unit, queries, sf."""
+
+from __future__ import annotations
+
+import json
+import os
+import subprocess
+import sys
+
+from tests.conftest import ROOT, SF001
+
+
+def test_bench_prints_one_json_line():
+    env = dict(os.environ, BENCH_SF_DIR=SF001, BENCH_CPUS="2", BENCH_RUNS="1",
+               BENCH_QUERIES="companies_projection,preview")
+    out = subprocess.run([sys.executable, os.path.join(ROOT, "bench.py")], env=env, cwd=ROOT,
+                         capture_output=True, text=True, timeout=600, check=True)
+    lines = [ln for ln in out.stdout.splitlines() if ln.strip()]
+    assert len(lines) == 1, out.stdout
+    doc = json.loads(lines[0])
+    assert doc["unit"] == "sec" and doc["sf"] == 0.001
+    assert set(doc["queries"]) == {"companies_projection", "preview"}
+    assert doc["value"] == round(sum(doc["queries"].values()), 4)
