@@ -6,25 +6,33 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# The live market table's display formats and gain/loss classes.
+MONEY_FORMAT = "$%.2f"
+PERCENT_FORMAT = "%.2f%%"
+VOLUME_FORMAT = "#,##0.###"
+GAIN_CLASS = "positive"
+LOSS_CLASS = "negative"
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def money(c: Column | str) -> Column:
     """``$`` + two decimals."""
-    return F.format_string("$%.2f", _col(c))
+    return F.format_string(MONEY_FORMAT, _col(c))
 
 
 def percent(c: Column | str) -> Column:
     """Two decimals + ``%``."""
-    return F.format_string("%.2f%%", _col(c))
+    return F.format_string(PERCENT_FORMAT, _col(c))
 
 
 def thousands(c: Column | str) -> Column:
     """Thousands separators, at most three decimals (locale-style number)."""
-    return F.call_function("format_number", _col(c).cast("double"), F.lit("#,##0.###"))
+    return F.call_function("format_number", _col(c).cast("double"), F.lit(VOLUME_FORMAT))
 
 
 def change_class(pct: Column | str) -> Column:
     """``positive`` when the change is >= 0, else ``negative``."""
-    return F.when(_col(pct) >= 0, F.lit("positive")).otherwise(F.lit("negative"))
+    return F.when(_col(pct) >= 0, F.lit(GAIN_CLASS)).otherwise(F.lit(LOSS_CLASS))

@@ -20,7 +20,15 @@ from pyspark.sql import functions as F
 from tickwise.functions.prices import bar_pct_change, exact_avg, wide_sum
 from tickwise.operators.joins import lookup
 
+# Report size and the report file names (``<name><date>.csv``).
 TOP_N = 5
+REPORTS = {
+    "top_volume_companies": "top_volume",
+    "top_gainer_companies": "top_gainers",
+    "avg_close_by_sector": "avg_close_by_sector",
+    "total_volume_by_exchange": "volume_by_exchange",
+    "top_loser_companies": "top_losers",
+}
 
 
 def _on_date(prices: DataFrame, report_date) -> DataFrame:
@@ -83,12 +91,3 @@ def volume_by_exchange(prices: DataFrame, companies: DataFrame, exchanges: DataF
                "exchange_id", "inner")
     return (j.groupBy("exchange").agg(wide_sum("volume").alias("total_volume"))
              .orderBy(F.col("total_volume").desc_nulls_first(), F.col("exchange").asc()))
-
-
-REPORTS = {
-    "top_volume_companies": "top_volume",
-    "top_gainer_companies": "top_gainers",
-    "avg_close_by_sector": "avg_close_by_sector",
-    "total_volume_by_exchange": "volume_by_exchange",
-    "top_loser_companies": "top_losers",
-}

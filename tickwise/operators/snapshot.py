@@ -16,6 +16,11 @@ from tickwise.functions.time import format_tick_ts, parse_tick_ts
 from tickwise.operators.joins import lookup
 
 
+# The "last updated" line of the live market table.
+LAST_UPDATED_PREFIX = "Last Updated: "
+LAST_UPDATED_SUFFIX = " UTC"
+
+
 def latest_ticks(ticks: DataFrame) -> DataFrame:
     """Latest numeric tick fields per symbol (ticks without symbol are skipped)."""
     t = ticks.filter(F.col("symbol").isNotNull())
@@ -52,4 +57,4 @@ def last_updated(snapshot: DataFrame) -> DataFrame:
     """
     latest = snapshot.agg(F.max(parse_tick_ts("timestamp")).alias("ts"))
     return latest.select(
-        F.concat(F.lit("Last Updated: "), format_tick_ts("ts"), F.lit(" UTC")).alias("last_updated"))
+        F.concat(F.lit(LAST_UPDATED_PREFIX), format_tick_ts("ts"), F.lit(LAST_UPDATED_SUFFIX)).alias("last_updated"))
