@@ -106,3 +106,10 @@ def test_size_check_measures_long_strings(spark):
     assert is_broadcastable(wide, max_bytes=64 * 1024 * 1024)
     nested = spark.range(3).select(F.array(F.lit("abc"), F.lit("de")).alias("a"))
     assert is_broadcastable(nested, max_bytes=10_000)
+
+
+def test_symbol_lookups_do_not_read_the_nation_side(spark):
+    # companies left-joins nation only for exchange_id; a symbol -> id lookup
+    # does not use it, and the key-distinct nation side lets the join go
+    txt = plan_text(daily_bars(A.ticks(spark, SF01), A.companies(spark, SF01)))
+    assert "nation.parquet" not in txt, txt
