@@ -52,3 +52,8 @@ def test_shuffle_join_path_matches_oracle(no_broadcast, con, name, monkeypatch):
         assert "BroadcastHashJoin" not in plan_text(fn(no_broadcast, SF01)), name
     ok, msg = compare(no_broadcast, SF01, name, fn, E.oracle_sql()[name], con)
     assert ok, msg
+
+
+def test_schemas_are_stable_across_scales(spark):
+    for name, fn in E.queries().items():
+        assert fn(spark, SF001).schema == fn(spark, SF01).schema, name
