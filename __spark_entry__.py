@@ -28,6 +28,24 @@ from tickwise.sources import adapters as A
 from tickwise.sources.seed import assign_ids
 from tickwise.sources.tables import preview
 
+# The text operators live in a subpackage of their own and in corpus_pipeline;
+# without these two the rest is complete.
+LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+LLM_ORACLES: dict[str, str] = {}
+try:
+    from tickwise.llm import queries as _llm
+
+    LLM_QUERIES |= _llm.QUERIES
+    LLM_ORACLES |= _llm.ORACLES
+    import corpus_pipeline as _pipeline
+
+    LLM_QUERIES["pipeline"] = _pipeline.run
+    if _pipeline.ORACLE_SQL:
+        LLM_ORACLES["pipeline"] = _pipeline.ORACLE_SQL
+except ModuleNotFoundError as e:
+    if e.name not in ("tickwise.llm", "corpus_pipeline"):
+        raise
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # Report date used against the driver's tables (the busiest bar day at sf0.01)
@@ -201,6 +219,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "check_foreign_key": q_check_foreign_key,
         "envelope_roundtrip": q_envelope_roundtrip,
         "preview": q_preview,
+        **LLM_QUERIES,
     }
 
 
@@ -358,4 +377,5 @@ SELECT current_price, CAST(user_id AS INTEGER) AS id, name, open,
        ROUND((current_price - open) / NULLIF(open, 0) * 100, 2) AS percent_change,
        symbol, timestamp, volume
 FROM t""",
+        **LLM_ORACLES,
     }
