@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm import bpe, htmltext, quality, urlfilter, warc
+from tickwise.llm import bpe, decontaminate, htmltext, quality, simhash, urlfilter, warc
+from tickwise.llm.common import with_row_key
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -34,6 +35,21 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 urlfilter.rules_table(spark, URL_RULES))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, key = with_row_key(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    hits = decontaminate.contamination(docs, key, "text", table(spark, sf_dir, "benchmark"), "item_id", "text")
+    ids = docs.select("doc_id", F.col(key).alias("row_key"))
+    return hits.join(ids, "row_key").select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.simhash_components(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return groups.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.bpe_encode(docs, "text", TOKENIZER, "ids", "decoded").select(
@@ -51,6 +67,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_warc": op4_warc,
     "op5_url_filter": op5_url_filter,
+    "op6_decontaminate": op6_decontaminate,
+    "op7_simhash": op7_simhash,
     "op9_bpe": op9_bpe,
     "op10_html_text": op10_html_text,
 }
@@ -119,4 +137,25 @@ FROM (
                WHERE (host = rh OR host LIKE '%.' || rh) AND starts_with(path, rp)) AS best
   FROM h)"""
 
-ORACLES: dict[str, str] = {"op3_quality_rules": _OP3, "op4_warc": _OP4, "op5_url_filter": _OP5}
+_WORDS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
+
+_OP6 = f"""
+WITH i AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_WORDS} AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[s + 1:s + least(len(w), 10)], ' ') AS win
+  FROM (SELECT *, unnest(range(greatest(len(w) - 9, 1))) AS s FROM i WHERE len(w) > 0)),
+d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+g AS (
+  SELECT doc_id, n, s, array_to_string(w[s + 1:s + n], ' ') AS win
+  FROM (SELECT doc_id, w, n, unnest(range(len(w) - n + 1)) AS s
+        FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+f AS (SELECT doc_id, s, g.n, item FROM g JOIN win USING (n, win)),
+h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM f) GROUP BY 1),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT doc_id, item FROM f) GROUP BY 1)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)"""
+
+ORACLES: dict[str, str] = {"op6_decontaminate": _OP6, "op3_quality_rules": _OP3, "op4_warc": _OP4, "op5_url_filter": _OP5}
