@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm import bpe, decontaminate, htmltext, quality, simhash, urlfilter, warc
+from tickwise.llm import bpe, decontaminate, htmltext, quality, simhash, toxicity, urlfilter, warc
 from tickwise.llm.common import with_row_key
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -21,6 +21,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def held_out(doc_id: str) -> Column:
+    """Whether a document's labels are kept from training."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = toxicity.training_labels(table(spark, sf_dir, "labels"), "doc_id", "toxic", ~held_out("doc_id"))
+    scores = toxicity.toxicity(table(spark, sf_dir, "documents"), "doc_id", "text", labels)
+    return scores.select("doc_id", F.coalesce(held_out("doc_id"), F.lit(False)).alias("held_out"),
+                         "score", "predicted")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
 
@@ -64,6 +76,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op3_quality_rules": op3_quality_rules,
     "op4_warc": op4_warc,
     "op5_url_filter": op5_url_filter,
