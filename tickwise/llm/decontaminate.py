@@ -33,11 +33,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickwise.llm.bits import BitTable, bit_table
 from tickwise.llm.common import append_columns, cut, utf8
 
 WINDOW_WORDS = 10
 SHINGLE_WORDS = 3
-FILTER_BITS = 25  # as a power of two
 MEMO_WORDS = 400_000
 
 # Bytes of words kept, A-Z lower-cased; every other ASCII byte parts words.
@@ -72,36 +72,6 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return h * np.uint64(0xD6E8FEB86659FD93)
 
 
-class BitTable:
-    """Membership test of two bits for each hash; it can err only towards yes."""
-
-    def __init__(self, power: int, slots: np.ndarray, sizes: list[int]):
-        self.power, self.slots, self.sizes = power, slots, sizes
-
-    def parts(self) -> tuple[int, np.ndarray, list[int]]:
-        return self.power, self.slots, self.sizes
-
-    def holds(self, h: np.ndarray) -> np.ndarray:
-        out = np.ones(len(h), bool)
-        for at in (h >> np.uint64(64 - self.power), h & np.uint64((1 << self.power) - 1)):
-            out &= (self.slots[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)) == 1
-        return out
-
-
-def bit_table(hashes: DataFrame) -> BitTable:
-    """The table over columns h and size; the driver gets its words, at most 2^25 bits."""
-    found = hashes.agg(F.approx_count_distinct("h").alias("n"), F.collect_set("size").alias("sizes")).first()
-    power = min(FILTER_BITS, max(16, (64 * found["n"]).bit_length()))
-    at = F.explode(F.array(F.shiftrightunsigned("h", 64 - power),
-                           F.col("h").bitwiseAND(F.lit((1 << power) - 1))))
-    rows = (hashes.select(at.alias("at"))
-            .groupBy(F.shiftright("at", 6).alias("slot"))
-            .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 AS int))")).alias("bits")).collect())
-    slots = np.zeros(1 << (power - 6), np.int64)
-    slots[[r["slot"] for r in rows]] = [r["bits"] for r in rows]
-    return BitTable(power, slots.view(np.uint64), sorted(found["sizes"]))
-
-
 def item_windows(items: DataFrame, item_id: str, text: str, window: int) -> DataFrame:
     """Distinct (item, window, n): the windows of every item, words joined by a space."""
 
@@ -144,17 +114,23 @@ def window_shingles(windows: DataFrame, shingle: int) -> DataFrame:
     return windows.mapInArrow(hash_all, "window string, n int, at int, size int, h long")
 
 
-def shingle_counts(docs: DataFrame, text: str, table: BitTable) -> DataFrame:
+def shingle_sizes(shingles: DataFrame) -> list[int]:
+    """The shingle sizes that occur; at most the shingle length many."""
+    return sorted(r["size"] for r in shingles.select("size").distinct().collect())
+
+
+def shingle_counts(docs: DataFrame, text: str, table: BitTable, sizes: list[int]) -> DataFrame:
     """(h, n): occurrences over all documents of the shingles that the table holds."""
-    shared = docs.sparkSession.sparkContext.broadcast(table.parts())
+    shared = docs.sparkSession.sparkContext.broadcast((table.parts(), sizes))
 
     def count(batches):
-        memo, bits = WordHashes(), BitTable(*shared.value)
+        memo, (parts, sizes) = WordHashes(), shared.value
+        bits = BitTable(*parts)
         for batch in batches:
             found = []
             for raw in utf8(batch.column(0)):
                 words = np.array([memo[w] for w in words_of(raw)], np.uint64)
-                for size in bits.sizes:
+                for size in sizes:
                     h = shingle_hashes(words, size)
                     found.append(h[bits.holds(h)])
             h, n = np.unique(np.concatenate(found) if found else np.array([], np.uint64), return_counts=True)
@@ -169,21 +145,22 @@ HITS = T.ArrayType(T.StructType([
     T.StructField("lead", T.IntegerType()), T.StructField("around", T.StringType())]))
 
 
-def prefix_hits(docs: DataFrame, text: str, table: BitTable, window: int) -> DataFrame:
+def prefix_hits(docs: DataFrame, text: str, table: BitTable, sizes: list[int], window: int) -> DataFrame:
     """``docs`` with n_words and the places of prefix shingles in place of ``text``.
 
     A hit holds the words that a window around it could cover; ``lead`` of them
     stand before it.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(table.parts())
+    shared = docs.sparkSession.sparkContext.broadcast((table.parts(), sizes))
     struct = pa.struct([("h", pa.int64()), ("pos", pa.int32()), ("lead", pa.int32()), ("around", pa.string())])
 
     def make():
-        memo, bits = WordHashes(), BitTable(*shared.value)
+        memo, (parts, sizes) = WordHashes(), shared.value
+        bits = BitTable(*parts)
 
         def hits(words: list[bytes]) -> list[dict]:
             hashes, out = np.array([memo[w] for w in words], np.uint64), []
-            for size in bits.sizes:
+            for size in sizes:
                 h = shingle_hashes(hashes, size)
                 for p in np.flatnonzero(bits.holds(h)).tolist():
                     start = max(0, p - window + size)
@@ -212,13 +189,13 @@ def contamination(docs: DataFrame, row_key: str, text: str, items: DataFrame, it
     docs = docs.select(F.col(row_key).alias("row_key"), F.col(text).alias("text"))
     places = cut(item_windows(items, item_id, item_text, window))
     shingles = cut(window_shingles(places.select("window", "n").distinct(), shingle))
-    counts = shingle_counts(docs, "text", bit_table(shingles))
+    counts = shingle_counts(docs, "text", bit_table(shingles, "h"), shingle_sizes(shingles))
     # rarest shingle first; a window with a shingle that occurs nowhere cannot occur
     prefix = cut(shingles.join(counts.withColumnRenamed("n", "seen"), "h", "left")
                  .groupBy("window", "n")
                  .agg(F.min(F.struct(F.coalesce("seen", F.lit(0)).alias("seen"), "at", "size", "h")).alias("p"))
                  .filter("p.seen > 0").select("window", "n", "p.at", "p.size", "p.h"))
-    scanned = cut(prefix_hits(docs, "text", bit_table(prefix), window))
+    scanned = cut(prefix_hits(docs, "text", bit_table(prefix, "h"), shingle_sizes(prefix), window))
     hits = scanned.select("row_key", F.inline("hits"))
     fits = (F.col("lead") >= F.col("at")) & (F.array_join(F.slice(
         F.split("around", " "), F.col("lead") - F.col("at") + 1, F.col("n")), " ") == F.col("window"))

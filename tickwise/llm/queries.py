@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm import bpe, decontaminate, htmltext, quality, simhash, toxicity, urlfilter, warc
+from tickwise.llm import bpe, decontaminate, htmltext, linededup, quality, simhash, toxicity, urlfilter, warc
 from tickwise.llm.common import with_row_key
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -33,6 +33,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "score", "predicted")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, key = with_row_key(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return linededup.dedup_lines(docs, key, "text", "n_dropped").select("doc_id", "text", "n_dropped")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
 
@@ -77,6 +82,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_line_dedup": op2_line_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_warc": op4_warc,
     "op5_url_filter": op5_url_filter,
