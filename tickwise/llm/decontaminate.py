@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickwise.llm.bits import BitTable, bit_table
-from tickwise.llm.common import append_columns, cut, utf8
+from tickwise.llm.common import append_columns, cut, utf8, written
 
 WINDOW_WORDS = 10
 SHINGLE_WORDS = 3
@@ -222,4 +222,4 @@ def remove_contaminated(docs: DataFrame, row_key: str, text: str, items: DataFra
                         item_text: str) -> DataFrame:
     """The rows of ``docs`` that hold no window of any item."""
     hit = contamination(docs, row_key, text, items, item_id, item_text).filter("n_hit > 0")
-    return docs.join(cut(hit.select(F.col("row_key").alias(row_key))), row_key, "left_anti")
+    return docs.join(written(hit.select(F.col("row_key").alias(row_key)), "hit"), row_key, "left_anti")

@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm import bpe, decontaminate, htmltext, linededup, quality, simhash, toxicity, urlfilter, warc
+from tickwise.llm import bpe, decontaminate, htmltext, linededup, quality, shards, simhash, toxicity, urlfilter, warc
 from tickwise.llm.common import with_row_key
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+END_OF_TEXT = 49407  # its end-of-text id
 
 URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"),
              ("com/fr/", "allow"), ("com/de/", "block")]
@@ -67,6 +68,11 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
 
 
+def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = shards.materialise(table(spark, sf_dir, "documents"), "doc_id", "text", TOKENIZER, END_OF_TEXT)
+    return shards.read_sequences(manifest)
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.bpe_encode(docs, "text", TOKENIZER, "ids", "decoded").select(
@@ -88,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_url_filter": op5_url_filter,
     "op6_decontaminate": op6_decontaminate,
     "op7_simhash": op7_simhash,
+    "op8_shards": op8_shards,
     "op9_bpe": op9_bpe,
     "op10_html_text": op10_html_text,
 }

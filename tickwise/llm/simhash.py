@@ -310,4 +310,4 @@ def keep_one_of_each(docs: DataFrame, row_key: str, doc_id: str, text: str,
     lowest = prints.groupBy(F.col("fingerprint").alias("code")).agg(first)
     kept = (fingerprint_roots(prints, distance=distance).join(lowest, "code")
             .groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row_key").alias(row_key)))
-    return docs.join(cut(kept), row_key, "left_semi")
+    return docs.join(written(kept, "kept"), row_key, "left_semi")

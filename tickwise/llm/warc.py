@@ -176,7 +176,7 @@ def parse_record(record: bytes) -> dict:
                   "payload_digest": fields["WARC-Payload-Digest"].removeprefix("sha1:")}
 
 
-def _open(uri: str) -> tuple[pafs.FileSystem, str]:
+def open_uri(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (
         pafs.LocalFileSystem(), uri)
 
@@ -207,7 +207,7 @@ def write_bundles(rows: DataFrame, folder: str, key: str, page_id: str, url: str
             for piece in slices(batch, "payload", 4 * frame_bytes):
                 for r in piece.to_pylist():
                     if writer is None:
-                        fs, path = _open(name)
+                        fs, path = open_uri(name)
                         fs.create_dir(path.rpartition("/")[0], recursive=True)
                         stream = fs.open_output_stream(path, compression=None)
                         writer = BundleWriter(stream, frame_bytes)
@@ -244,7 +244,7 @@ def read_bundles(index: DataFrame, payloads: bool = True) -> DataFrame:
             for r in batch.to_pylist():
                 if r["bundle"] != name:
                     name, frame = r["bundle"], None
-                    fs, path = _open(name)
+                    fs, path = open_uri(name)
                     reader = BundleReader(fs.open_input_file(path))
                 if r["frame"] != frame:
                     frame, plain = r["frame"], reader.frame(r["frame"])
