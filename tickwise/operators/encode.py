@@ -1,11 +1,13 @@
-"""SNK-1 / JOB-3: ticks -> snapshot envelopes (one JSON array per record).
+"""SNK-1 / JOB-3: ticks -> snapshot envelopes (one JSON array per poll).
 
-Ticks of one poll share a ``timestamp``. Records are grouped by
-(timestamp, block) where ``block`` = monotonically_increasing_id / max_ticks:
-ids are unique, so no record ever holds more than ``max_ticks`` ticks, even if
-one timestamp carries a third of the data. Blocks never span input partitions,
-so the partial aggregate already completes each record map-side.
-Within a record, ticks keep their store order (``seq``).
+Ticks of one poll share a ``timestamp`` and are one record, as the reference
+sends them; within it they keep their store order (``seq``). A poll holds one
+tick per listed symbol, so a record is bounded by the number of listings.
+
+Where a broker limits the size of a record, ``max_bytes`` splits larger polls:
+a poll of B bytes gets ceil(B / max_bytes) records and a tick goes to one of
+them by the hash of its symbol. The split depends on the poll alone, never on
+the order or partitioning of the input.
 """
 
 from __future__ import annotations
@@ -15,17 +17,21 @@ from pyspark.sql import functions as F
 
 from tickwise.schemas import TICK_FIELDS
 
-DEFAULT_MAX_TICKS = 1000
-
 
-def encode_snapshots(ticks: DataFrame, max_ticks: int = DEFAULT_MAX_TICKS) -> DataFrame:
+def encode_snapshots(ticks: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """Envelopes ``(timestamp, value)``; ``value`` is the JSON array text."""
-    order = F.col("seq") if "seq" in ticks.columns else F.monotonically_increasing_id()
-    t = ticks.select(
-        F.col("timestamp").alias("_ts"),
-        F.floor(F.monotonically_increasing_id() / F.lit(max_ticks)).alias("_block"),
-        F.struct(order.alias("o"), F.struct(*TICK_FIELDS).alias("tick")).alias("_e"))
-    grouped = t.groupBy("_ts", "_block").agg(F.sort_array(F.collect_list("_e")).alias("_es"))
+    order = [F.col("seq")] if "seq" in ticks.columns else []
+    t = ticks.select(F.col("timestamp").alias("_ts"),
+                     F.struct(*order, F.struct(*TICK_FIELDS).alias("tick")).alias("_e"))
+    keys = ["_ts"]
+    if max_bytes is not None:
+        size = F.octet_length(F.to_json("_e.tick")) + F.lit(1)
+        parts = t.groupBy("_ts").agg(
+            F.ceil(F.sum(size) / F.lit(max_bytes)).cast("int").alias("_parts"))
+        t = (t.join(parts, t["_ts"].eqNullSafe(parts["_ts"])).drop(parts["_ts"])
+             .withColumn("_part", F.pmod(F.xxhash64("_e.tick.symbol"), F.col("_parts"))))
+        keys.append("_part")
+    grouped = t.groupBy(*keys).agg(F.sort_array(F.collect_list("_e")).alias("_es"))
     return grouped.select(
         F.col("_ts").alias("timestamp"),
         F.to_json(F.transform("_es", lambda e: e["tick"])).alias("value"))

@@ -38,6 +38,20 @@ TICK_STORE_SCHEMA = T.StructType(TICK_SCHEMA.fields + [
     T.StructField("trade_date", T.DateType(), True),
 ])
 
+# Stored with each tick: the query and micro-batch that wrote it.
+LANDING_SCHEMA = T.StructType(TICK_STORE_SCHEMA.fields + [
+    T.StructField("writer", T.StringType(), True),
+    T.StructField("batch_id", T.LongType(), True),
+])
+
+# One row for each batch that a compaction run has merged.
+LOG_SCHEMA = T.StructType([
+    T.StructField("run", T.StringType(), True),
+    T.StructField("trade_date", T.DateType(), True),
+    T.StructField("writer", T.StringType(), True),
+    T.StructField("batch_id", T.LongType(), True),
+])
+
 PRICE_TYPE = T.DecimalType(10, 2)
 
 SECTORS_SCHEMA = T.StructType([

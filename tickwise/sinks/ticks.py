@@ -1,33 +1,108 @@
-"""SNK-2: idempotent append of one micro-batch of ticks to the tick store.
+"""SNK-2: idempotent append of micro-batches to the tick store, and its compaction.
 
-Layout ``<ticks>/trade_date=D/batch_id=N/``. A batch is written with dynamic
-partition overwrite, so re-running batch N (after a failure) replaces exactly
-its own files: the store stays exactly-once without a transaction log.
-``seq`` = batch_id * 2^64 + monotonically_increasing_id gives a total ingest
-order (later batch, later partition, later row wins).
+Layout under the store::
+
+    landing/trade_date=D/writer=W/batch_id=N/   one micro-batch of one query
+    compacted/run=R/trade_date=D/               landed batches merged by run R
+    log/                                        which batches each run merged
+
+A batch is written with dynamic partition overwrite of its own folders. ``W`` is
+the id that Spark keeps in the query's checkpoint, so a re-run batch replaces
+exactly its own files and no other query (nor the same source read through a
+new checkpoint) can touch them. ``seq`` is the record's place in its source
+(``functions.order``), hence the same for every reader of that record.
+
+``compact_ticks`` merges landed batches into few files. Its data is invisible
+until its log row is written, and from then on the merged landing folders are:
+readers take the runs in the log and the landed batches that no run holds
+(``sources.tables.read_ticks``). A compaction that dies half-way changes nothing.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+import os
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickwise.functions.order import ORDER_COLUMNS, ingest_seq
 from tickwise.functions.time import parse_tick_ts
-from tickwise.schemas import SEQ_TYPE, TICK_FIELDS
+from tickwise.schemas import LANDING_SCHEMA, LOG_SCHEMA, TICK_FIELDS
+
+BATCH_KEY = ("trade_date", "writer", "batch_id")
+
+
+def writer_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the streaming query that owns ``checkpoint`` (Spark writes it there first)."""
+    line = spark.read.text(os.path.join(checkpoint, "metadata")).first()[0]
+    return json.loads(line)["id"]
+
 
+def with_ingest_columns(ticks: DataFrame, batch_id: int, writer: str) -> DataFrame:
+    """Decoded ticks plus seq, ts, trade_date, writer and batch_id.
 
-def with_ingest_columns(ticks: DataFrame, batch_id: int) -> DataFrame:
-    seq = (F.lit(str(batch_id)).cast(SEQ_TYPE) * F.lit(str(2 ** 64)).cast(SEQ_TYPE)
-           + F.monotonically_increasing_id().cast(SEQ_TYPE)).cast(SEQ_TYPE)
+    ``seq`` is kept if there; else the envelope's timestamp, partition, offset
+    and the tick's position in it must be there to build it from.
+    """
+    if "seq" in ticks.columns:
+        seq = F.col("seq")
+    else:
+        names = ["envelope_timestamp", *ORDER_COLUMNS[1:], "pos"]
+        missing = [c for c in names if c not in ticks.columns]
+        if missing:
+            raise ValueError(f"no ingest order without {', '.join(missing)}")
+        seq = ingest_seq(*map(F.col, names))
     ts = parse_tick_ts("timestamp")
     return ticks.select(*TICK_FIELDS, seq.alias("seq"), ts.alias("ts"),
-                        F.to_date(ts).alias("trade_date"),
+                        F.to_date(ts).alias("trade_date"), F.lit(writer).alias("writer"),
                         F.lit(batch_id).cast("long").alias("batch_id"))
 
 
-def write_tick_batch(ticks: DataFrame, batch_id: int, ticks_path: str) -> None:
-    (with_ingest_columns(ticks, batch_id)
+def write_tick_batch(ticks: DataFrame, batch_id: int, ticks_path: str, writer: str) -> None:
+    (with_ingest_columns(ticks, batch_id, writer)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("trade_date", "batch_id")
-        .parquet(ticks_path))
+        .partitionBy(*BATCH_KEY)
+        .parquet(os.path.join(ticks_path, "landing")))
+
+
+def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The Parquet table at ``path``; empty if the path does not exist (and only then)."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def landed_batches(spark: SparkSession, ticks_path: str) -> DataFrame:
+    """Landed ticks of the batches that no compaction run has merged."""
+    landing = read_or_empty(spark, os.path.join(ticks_path, "landing"), LANDING_SCHEMA)
+    log = read_or_empty(spark, os.path.join(ticks_path, "log"), LOG_SCHEMA)
+    merged = log.select(*BATCH_KEY)
+    same = [landing[c].eqNullSafe(merged[c]) for c in BATCH_KEY]
+    return landing.join(merged, same, "left_anti")
+
+
+def compact_ticks(spark: SparkSession, ticks_path: str) -> str | None:
+    """Merge all landed batches into one run; returns its id, or None if there are none.
+
+    The batches are listed first and only these are merged, so batches that land
+    meanwhile stay landed. Run one compaction of a store at a time.
+    """
+    landed = landed_batches(spark, ticks_path)
+    run = uuid.uuid4().hex
+    log = os.path.join(ticks_path, "log")
+    batches = landed.select(*BATCH_KEY).distinct().withColumn("run", F.lit(run)).checkpoint()
+    if batches.isEmpty():
+        return None
+    same = [landed[c].eqNullSafe(batches[c]) for c in BATCH_KEY]
+    (landed.join(batches, same, "left_semi").hint("rebalance", "trade_date")
+        .write.partitionBy("trade_date")
+        .parquet(os.path.join(ticks_path, "compacted", f"run={run}")))
+    batches.select(*[f.name for f in LOG_SCHEMA.fields]).coalesce(1).write.mode("append").parquet(log)
+    return run

@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickwise.schemas import PRICES_SCHEMA, TABLES, TICK_STORE_SCHEMA
-
-
-# Stored layout: .../trade_date=D/batch_id=N/part-*.parquet
-TICK_STORE_READ_SCHEMA = T.StructType(
-    TICK_STORE_SCHEMA.fields + [T.StructField("batch_id", T.LongType(), True)])
+from tickwise.schemas import LANDING_SCHEMA, LOG_SCHEMA, PRICES_SCHEMA, TABLES
+from tickwise.sinks.ticks import landed_batches, read_or_empty
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
@@ -35,8 +33,12 @@ def read_jdbc_table(spark: SparkSession, url: str, table: str, schema: T.StructT
 
 def read_ticks(spark: SparkSession, path: str, start_date: str | None = None,
                end_date: str | None = None) -> DataFrame:
-    """SRC-3: scan the tick store; an optional trade-date range prunes partitions."""
-    df = spark.read.schema(TICK_STORE_READ_SCHEMA).parquet(path)
+    """SRC-3: scan the tick store (layout: ``sinks.ticks``); a trade-date range prunes partitions."""
+    compacted = read_or_empty(spark, os.path.join(path, "compacted"),
+                              T.StructType([*LANDING_SCHEMA.fields, T.StructField("run", T.StringType())]))
+    runs = read_or_empty(spark, os.path.join(path, "log"), LOG_SCHEMA).select("run").distinct()
+    df = (compacted.join(runs, "run", "left_semi").select(*LANDING_SCHEMA.names)
+          .unionByName(landed_batches(spark, path)))
     if start_date is not None:
         df = df.filter(F.col("trade_date") >= F.lit(start_date).cast("date"))
     if end_date is not None:
@@ -48,6 +50,6 @@ def read_prices(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PRICES_SCHEMA).parquet(path)
 
 
-def preview(df: DataFrame, n: int = 1) -> DataFrame:
-    """SRC-5: the first ``n`` rows (the reference logs one document)."""
-    return df.limit(n)
+def preview(df: DataFrame, n: int = 1, order: str = "seq") -> DataFrame:
+    """SRC-5: the first ``n`` rows by ``order`` (the reference logs the first document)."""
+    return df.orderBy(order).limit(n)

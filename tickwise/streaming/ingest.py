@@ -1,44 +1,71 @@
 """JOB-2: envelope stream -> decoded ticks -> tick store (STR-1..3, SNK-2/5, FLT-7, AGG-7).
 
 A checkpointed micro-batch query; each batch is decoded and written with an
-idempotent per-batch overwrite (``sinks.ticks``), so a restart on the same
-checkpoint neither loses nor duplicates ticks. A failing batch fails the query
-(the error is not swallowed). With ``startingOffsets=earliest`` the source
-replays from the start only on the first run; afterwards the checkpoint rules.
+idempotent overwrite of its own folders (``sinks.ticks``), so a restart on the
+same checkpoint neither loses nor duplicates ticks, and several queries can
+write to one store. A failing batch fails the query (the error is not
+swallowed). With ``startingOffsets=earliest`` the source replays from the start
+only on the first run; afterwards the checkpoint rules.
+
+AGG-7: the counts of each batch (envelopes, malformed ones, ticks) are taken
+during the write and logged; ``metrics`` may name a list or bounded deque.
 """
 
 from __future__ import annotations
 
+import logging
+from collections import deque
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql.streaming import StreamingQuery
 
 from tickwise.operators.decode import decode_envelopes
 from tickwise.session import stream_checkpoint
-from tickwise.sinks.ticks import write_tick_batch
+from tickwise.sinks.latest import update_latest
+from tickwise.sinks.ticks import with_ingest_columns, write_tick_batch, writer_id
+
+log = logging.getLogger(__name__)
 
+# Counts of so many recent batches are kept where the caller gives no container.
+RECENT_BATCHES = 1000
+
+
+def make_batch_writer(ticks_path: str, checkpoint: str, value_col: str = "value",
+                      metrics: list | deque | None = None, latest_path: str | None = None):
+    counted = deque(maxlen=RECENT_BATCHES) if metrics is None else metrics
+    own: list[str] = []
 
-def make_batch_writer(ticks_path: str, value_col: str = "value", metrics: list | None = None):
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # FLT-7: a batch without ticks (no records, only empty or malformed
         # envelopes) writes nothing -- the dynamic overwrite touches no
         # partition -- so no separate emptiness job (a second read of the
         # batch from the source) is run before the write.
+        if not own:
+            own.append(writer_id(batch.sparkSession, checkpoint))
         obs = Observation(f"envelopes_{batch_id}")
         ticks = decode_envelopes(batch, value_col, observation=obs)
-        write_tick_batch(ticks, batch_id, ticks_path)
-        if metrics is not None:      # AGG-7: counted during the write, no extra pass
-            metrics.append({"batch_id": batch_id, **obs.get})
+        write_tick_batch(ticks, batch_id, ticks_path, own[0])
+        if latest_path is not None:
+            update_latest(with_ingest_columns(decode_envelopes(batch, value_col), batch_id, own[0]),
+                          latest_path, batch_id)
+        counted.append({"batch_id": batch_id, **obs.get})
+        log.info("batch %s: %s", batch_id, obs.get)
     return write_batch
 
 
 def ingest_ticks(source: DataFrame, ticks_path: str, checkpoint: str | None = None,
                  query_name: str = "ingest_ticks", available_now: bool = False,
                  processing_time: str | None = None, value_col: str = "value",
-                 metrics: list | None = None) -> StreamingQuery:
-    """Start the ingestion query; ``source`` is any stream with a ``value`` column."""
+                 metrics: list | deque | None = None, latest_path: str | None = None) -> StreamingQuery:
+    """Start the ingestion query.
+
+    ``source`` is a stream with a ``value`` column and the order columns
+    (``sources.streams``). With ``latest_path`` the table of latest ticks that
+    the publisher polls is kept up to date (one query per such table).
+    """
     location = checkpoint or stream_checkpoint(source.sparkSession, query_name)
     writer = (source.writeStream
-              .foreachBatch(make_batch_writer(ticks_path, value_col, metrics))
+              .foreachBatch(make_batch_writer(ticks_path, location, value_col, metrics, latest_path))
               .outputMode("append")
               .option("checkpointLocation", location))
     if available_now:

@@ -1,10 +1,12 @@
 """SRC-2 + JOB-3: clock-driven publishing of market snapshots as envelopes.
 
 The rate source is the clock; on every micro-batch the current market state
-(latest tick per symbol of the tick store, stamped with the current UTC time)
-is encoded into envelopes and written. Each batch writes into its own
-``batch_id=N`` folder with overwrite, so a replayed batch does not duplicate
-envelopes. Empty snapshots are skipped (FLT-7).
+(latest tick per symbol, stamped with the current UTC time) is encoded into one
+envelope and written. The state comes from the table of latest ticks that
+ingestion keeps (``sinks.latest``), so a poll reads one row per symbol whenever
+that symbol last ticked. Each batch writes into its own ``batch_id=N`` folder
+with overwrite, so a replayed batch does not duplicate envelopes. A poll is
+computed once; empty ones are skipped (FLT-7).
 """
 
 from __future__ import annotations
@@ -16,12 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickwise.functions.time import utc_now_string
-from tickwise.operators.encode import DEFAULT_MAX_TICKS, encode_snapshots
+from tickwise.operators.encode import encode_snapshots
 from tickwise.operators.joins import lookup
 from tickwise.operators.snapshot import latest_ticks
-from tickwise.session import stream_checkpoint
-from tickwise.sources.streams import DEFAULT_CLOCK_ROWS_PER_SECOND, clock_stream
-from tickwise.sources.tables import read_ticks
+from tickwise.session import checkpoint_root, stream_checkpoint
+from tickwise.sinks.latest import read_latest
+from tickwise.sources.streams import DEFAULT_CLOCK_ROWS_PER_SECOND, DEFAULT_TOPIC, clock_stream
 from tickwise.schemas import TICK_FIELDS
 
 
@@ -33,35 +35,47 @@ def store_snapshot(ticks: DataFrame, companies: DataFrame) -> DataFrame:
     return named.withColumn("timestamp", utc_now_string()).select(*TICK_FIELDS, "seq")
 
 
-def recent_store_snapshot(spark: SparkSession, ticks_path: str, companies: DataFrame,
-                          since_date: str) -> DataFrame:
-    """One poll over the tick store limited to trade dates >= ``since_date``.
+def latest_snapshot(spark: SparkSession, latest_path: str, companies: DataFrame) -> DataFrame:
+    """One poll over the table of latest ticks."""
+    return store_snapshot(read_latest(spark, latest_path), companies)
 
-    The trade-date filter prunes store partitions, so a poll that runs every
-    clock tick reads only recent data, never the whole history.
-    """
-    return store_snapshot(read_ticks(spark, ticks_path, start_date=since_date), companies)
+
+def kafka_sink(bootstrap_servers: str, topic: str = DEFAULT_TOPIC, **options: str
+               ) -> Callable[[DataFrame, int], None]:
+    """A sink for ``publish_on_clock`` that sends each envelope as one broker record without a key."""
+    def send(envelopes: DataFrame, batch_id: int) -> None:
+        (envelopes.select(F.col("value").cast("string").alias("value"))
+            .write.format("kafka")
+            .option("kafka.bootstrap.servers", bootstrap_servers)
+            .option("topic", topic)
+            .options(**options)
+            .save())
+    return send
 
 
 def publish_on_clock(spark: SparkSession, snapshot: Callable[[int], DataFrame], out_path: str,
                      rows_per_second: int = DEFAULT_CLOCK_ROWS_PER_SECOND,
                      checkpoint: str | None = None, query_name: str = "publish_snapshots",
-                     max_ticks: int = DEFAULT_MAX_TICKS,
+                     max_bytes: int | None = None,
                      sink: Callable[[DataFrame, int], None] | None = None,
                      processing_time: str | None = None) -> StreamingQuery:
     """Start the publisher; ``snapshot(batch_id)`` returns the ticks of one poll.
 
-    ``snapshot`` runs once per clock tick, so it should read a bounded slice
-    of the store, e.g. ``lambda _: recent_store_snapshot(spark, path, companies, today)``.
+    ``snapshot`` runs once per clock tick, so it should read a bounded table,
+    e.g. ``lambda _: latest_snapshot(spark, latest_path, companies)``.
 
-    ``sink(envelopes, batch_id)`` overrides the default text-folder writer
-    (e.g. ``envelopes.write.format("kafka")...``).
+    ``sink(envelopes, batch_id)`` overrides the default text-folder writer, e.g.
+    ``kafka_sink(servers)``. ``max_bytes``: see ``encode_snapshots``.
     """
+    checkpoint_root(spark)
+
     def publish(_clock_rows: DataFrame, batch_id: int) -> None:
         ticks = snapshot(batch_id)
-        if ticks is None or ticks.isEmpty():
+        if ticks is None:
+            return
+        env = encode_snapshots(ticks, max_bytes).select("value").checkpoint()
+        if env.isEmpty():
             return
-        env = encode_snapshots(ticks, max_ticks).select("value")
         if sink is not None:
             sink(env, batch_id)
         else:
