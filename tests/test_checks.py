@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from tickwise.operators.checks import (
     check_foreign_key, check_not_null, check_primary_key, check_unique, validate_table,
 )
-from tickwise.schemas import COMPANIES_SCHEMA, EXCHANGES_SCHEMA, SECTORS_SCHEMA
+from tickwise.schemas import COMPANIES_SCHEMA, EXCHANGES_SCHEMA, INDUSTRIES_SCHEMA, SECTORS_SCHEMA
 
 S = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
 
@@ -46,7 +46,9 @@ def test_validate_companies(spark):
         (2, "AAAA", "Alpha", 9, None, None, None, None),
         (3, "CCCC", "Gamma", None, None, 7, None, None),
     ], COMPANIES_SCHEMA)
-    res = validate_table("companies", comps, {"sectors": sectors, "exchanges": exchanges})
+    industries = spark.createDataFrame([(1, 1, "Software")], INDUSTRIES_SCHEMA)
+    res = validate_table("companies", comps, {"sectors": sectors, "exchanges": exchanges,
+                                              "industries": industries})
     assert res["not_null"].count() == 0
     assert res["primary_key"].count() == 0
     assert [r.symbol for r in res["unique:symbol"].collect()] == ["AAAA"]

@@ -25,7 +25,7 @@ def _rows(df):
 
 def test_nightly_chain_over_a_tick_store(spark, scratch):
     store = os.path.join(scratch, "ticks")
-    write_tick_batch(A.ticks(spark, SF001).select(*TICK_FIELDS), 0, store)
+    write_tick_batch(A.ticks(spark, SF001).select(*TICK_FIELDS, "seq"), 0, store, "w")
     companies = A.companies(spark, SF001)
     prices_path, out = os.path.join(scratch, "prices"), os.path.join(scratch, "reports")
 

@@ -6,7 +6,10 @@ import datetime as dt
 import os
 from decimal import Decimal
 
+import pytest
+
 from tests.conftest import plan_text
+from tickwise.operators.checks import ConstraintViolation
 from tickwise.schemas import PRICES_SCHEMA
 from tickwise.sinks.prices import merge_bars, upsert_bars
 from tickwise.sources.tables import read_prices
@@ -84,3 +87,39 @@ def test_merge_is_one_shuffle_on_the_key(spark):
     txt = plan_text(merge_bars(old, new))
     assert len(re.findall(r"\(\d+\) Exchange\b", txt)) == 1, txt
     assert "SortMergeJoin" not in txt and "SortAggregate" not in txt
+
+
+def test_a_large_date_is_written_by_several_tasks(spark, scratch):
+    path = os.path.join(scratch, "prices")
+    wide = spark.range(20_000).selectExpr(
+        "cast(id AS int) AS company_id", "DATE'2024-01-02' AS date", "cast(id % 977 AS decimal(10,2)) AS open",
+        "cast(id % 883 AS decimal(10,2)) AS high", "cast(id % 787 AS decimal(10,2)) AS low",
+        "cast(id % 677 AS decimal(10,2)) AS close", "id * 7919 % 1000003 AS volume")
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+        upsert_bars(spark, wide, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    files = [f for f in os.listdir(os.path.join(path, "date=2024-01-02")) if f.endswith(".parquet")]
+    assert len(files) > 1 and read_prices(spark, path).count() == 20_000
+
+
+def test_only_a_missing_path_counts_as_no_table(spark, scratch):
+    path = os.path.join(scratch, "prices")
+    os.makedirs(os.path.join(path, "date=2024-01-01"))
+    with open(os.path.join(path, "date=2024-01-01", "part-0.parquet"), "w") as fh:
+        fh.write("not parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        upsert_bars(spark, _bars(spark, [(1, D1, "1", 10)]), path)
+    assert os.path.exists(os.path.join(path, "date=2024-01-01", "part-0.parquet"))
+
+
+def test_upsert_refuses_bars_that_break_the_constraints(spark, scratch):
+    path = os.path.join(scratch, "prices")
+    comps = spark.createDataFrame([(1, "AAAA")], "id int, symbol string")
+    twice = _bars(spark, [(1, D1, "1", 10), (1, D1, "2", 20)])
+    for bars, kw in ((twice, {}), (twice, {"companies": comps}), (_bars(spark, [(9, D1, "1", 1)]), {"companies": comps})):
+        with pytest.raises(ConstraintViolation):
+            upsert_bars(spark, bars, path, **kw)
+    assert not os.path.exists(path)

@@ -63,20 +63,38 @@ def check_foreign_key(child: DataFrame, columns, parent: DataFrame, parent_colum
     # Anti-join semantics do not need distinct parent keys; skipping distinct
     # saves a shuffle of the parent table.
     keys = parent.select(*[F.col(p).alias(c) for p, c in zip(ps, cs)])
-    return child.filter(notnull).join(sized_broadcast(keys), cs, "left_anti")
+    return child.filter(notnull).join(sized_broadcast(keys), cs, "left_anti").select(*child.columns)
 
 
 def validate_table(name: str, df: DataFrame, parents: dict[str, DataFrame] | None = None
                    ) -> dict[str, DataFrame]:
-    """All declared constraints of table ``name`` -> violation DataFrames by check id."""
+    """All declared constraints of table ``name`` -> violation DataFrames by check id.
+
+    Every parent table that the foreign keys name must be passed: a check that
+    cannot run is an error, not a pass.
+    """
     spec = TABLES[name]
+    missing = sorted({fk.parent for fk in spec.foreign_keys} - set(parents or {}))
+    if missing:
+        raise ValueError(f"{name}: no parent table given for {', '.join(missing)}")
     out: dict[str, DataFrame] = {}
     out["not_null"] = check_not_null(df, list(spec.not_null) + list(spec.primary_key))
     out["primary_key"] = check_primary_key(df, spec.primary_key)
     for u in spec.unique:
         out["unique:" + ",".join(u)] = check_unique(df, u)
     for fk in spec.foreign_keys:
-        if parents and fk.parent in parents:
-            out["foreign_key:" + ",".join(fk.columns)] = check_foreign_key(
-                df, fk.columns, parents[fk.parent], fk.parent_columns)
+        out["foreign_key:" + ",".join(fk.columns)] = check_foreign_key(
+            df, fk.columns, parents[fk.parent], fk.parent_columns)
     return out
+
+
+class ConstraintViolation(ValueError):
+    """A load would break the constraints of its table."""
+
+
+def require_valid(name: str, df: DataFrame, parents: dict[str, DataFrame] | None = None) -> DataFrame:
+    """``df`` if it keeps every constraint of table ``name``; else an error that names those it breaks."""
+    broken = [check for check, rows in validate_table(name, df, parents).items() if not rows.isEmpty()]
+    if broken:
+        raise ConstraintViolation(f"{name}: {', '.join(broken)}")
+    return df

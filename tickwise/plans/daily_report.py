@@ -13,9 +13,14 @@ from tickwise.sinks.reports import write_report_csv
 def build_reports(prices: DataFrame, companies: DataFrame, sectors: DataFrame,
                   exchanges: DataFrame, report_date) -> dict[str, DataFrame]:
     """The five reports by file name (``reports.REPORTS``), in the reference's order."""
-    dims = {"avg_close_by_sector": (sectors,), "volume_by_exchange": (exchanges,)}
-    return {name: getattr(R, fn)(prices, companies, *dims.get(fn, ()), report_date)
-            for name, fn in R.REPORTS.items()}
+    built = {
+        "top_volume": R.top_volume(prices, companies, report_date),
+        "top_gainers": R.top_gainers(prices, companies, report_date),
+        "avg_close_by_sector": R.avg_close_by_sector(prices, companies, sectors, report_date),
+        "volume_by_exchange": R.volume_by_exchange(prices, companies, exchanges, report_date),
+        "top_losers": R.top_losers(prices, companies, report_date),
+    }
+    return {name: built[kind] for name, kind in R.REPORTS.items()}
 
 
 def daily_report(prices: DataFrame, companies: DataFrame, sectors: DataFrame,

@@ -19,6 +19,6 @@ def nightly(spark: SparkSession, ticks_path: str, companies: DataFrame, sectors:
             since: str | None = None) -> dict[str, str]:
     """BAR-2 over the tick store (optionally only trade dates >= ``since``), then RPT-6."""
     ticks = read_ticks(spark, ticks_path, start_date=since)
-    upsert_bars(spark, daily_bars(ticks, companies), prices_path)
+    upsert_bars(spark, daily_bars(ticks, companies), prices_path, companies)
     prices = read_prices(spark, prices_path)
     return daily_report(prices, companies, sectors, exchanges, report_date, out_dir)

@@ -6,8 +6,12 @@ not re-delivered are kept, re-delivered keys are replaced, and the touched
 date partitions are swapped by one dynamic-overwrite job. The merged rows are
 first checkpointed to the shared checkpoint folder, so the write never
 re-reads files it is replacing, and a lost executor recomputes from the
-checkpoint. The committer publishes output only when the whole job succeeds
-(all-or-nothing, like the reference's single transaction).
+checkpoint.
+
+What is atomic: the job writes to a staging folder and moves finished date
+folders in at commit, so a failure before commit changes nothing. The folders
+are moved one after another; a driver lost during that step leaves some dates
+new and some old (each whole). Running the upsert again completes it.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from tickwise.operators.checks import ConstraintViolation, check_primary_key, require_valid
 from tickwise.operators.joins import sized_broadcast
 from tickwise.schemas import BAR_KEY, BAR_VALUE_COLUMNS, PRICES_SCHEMA
 from tickwise.session import checkpoint_root
@@ -41,19 +46,28 @@ def merge_bars(existing: DataFrame, new: DataFrame) -> DataFrame:
 
 def _existing_prices(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        df = spark.read.schema(PRICES_SCHEMA).parquet(path)
-        df.limit(0).collect()  # resolves the path; no data is read
-        return df
-    except AnalysisException:
+        return spark.read.schema(PRICES_SCHEMA).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # anything else must not pass for "no table yet"
+            raise
         return None
 
 
-def upsert_bars(spark: SparkSession, bars: DataFrame, prices_path: str) -> DataFrame:
-    """Write ``bars`` into the prices table at ``prices_path``; returns the merged rows."""
+def upsert_bars(spark: SparkSession, bars: DataFrame, prices_path: str,
+                companies: DataFrame | None = None) -> DataFrame:
+    """Write ``bars`` into the prices table at ``prices_path``; returns the merged rows.
+
+    The bars must keep the table's primary key and, where ``companies`` is
+    given, reference listed companies; else nothing is written.
+    """
     checkpoint_root(spark)
     cols = [f.name for f in PRICES_SCHEMA.fields]
     new = bars.select(*[F.col(f.name).cast(f.dataType) for f in PRICES_SCHEMA.fields])
     new = new.checkpoint(eager=True)  # computed once, reused for dates, keys and rows
+    if companies is not None:
+        require_valid("prices", new, {"companies": companies})
+    elif not check_primary_key(new, list(BAR_KEY)).isEmpty():
+        raise ConstraintViolation("prices: primary_key")
     existing = _existing_prices(spark, prices_path)
     if existing is not None:
         touched = new.select("date").distinct()
@@ -63,7 +77,8 @@ def upsert_bars(spark: SparkSession, bars: DataFrame, prices_path: str) -> DataF
         merged = merge_bars(existing, new).checkpoint(eager=True)
     else:
         merged = new
-    (merged.select(*cols).repartition("date")
+    # a rebalance gathers a date's rows but splits a large date into several files
+    (merged.select(*cols).hint("rebalance", "date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("date")

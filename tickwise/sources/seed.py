@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickwise.operators.checks import require_valid
+from tickwise.schemas import TABLES
 from tickwise.session import checkpoint_root
 
 _ROW_BITS = 33
@@ -54,7 +56,11 @@ def load_seed(spark: SparkSession, rows: list[tuple], schema: T.StructType,
 def load_seed_file(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv",
                    implicit_id: bool = False, order_col: str | None = None,
                    id_col: str = "id") -> DataFrame:
-    """Seed rows from a file; implicit ids follow ``order_col`` (an input-order column)."""
+    """Seed rows from a file; implicit ids follow ``order_col`` (an input-order column).
+
+    ``operators.checks.require_valid`` on the result enforces the table's
+    constraints, as ``load_reference_table`` does.
+    """
     value_schema = T.StructType([f for f in schema.fields if not (implicit_id and f.name == id_col)])
     reader = spark.read.format(fmt)
     if fmt == "csv":
@@ -67,3 +73,9 @@ def load_seed_file(spark: SparkSession, path: str, schema: T.StructType, fmt: st
         return assign_ids(df, order_col, id_col=id_col).drop(order_col).select(
             *[F.col(f.name).cast(f.dataType) for f in schema.fields])
     return reader.schema(schema).load(path)
+
+
+def load_reference_table(spark: SparkSession, name: str, path: str, parents: dict[str, DataFrame] | None = None,
+                         **options) -> DataFrame:
+    """Seed rows of table ``name`` from a file, with all constraints of the table enforced."""
+    return require_valid(name, load_seed_file(spark, path, TABLES[name].schema, **options), parents)
