@@ -1,14 +1,20 @@
 """Dimension lookups with a size-checked broadcast.
 
-A dimension side is broadcast only after a bounded, exact check of its size:
-one job over at most ``n + 1`` rows (a limit that stops early) returns the row
-count and the byte length of every variable-width value, so the verdict is
+A dimension side is broadcast only after a check of its size. A side whose plan
+statistics are far beyond the budget is never measured. Any other is measured
+exactly by one aggregate (row count and bytes of all variable-width values,
+summed up in every partition, one row of each reaching the final sum):
 ``rows * fixed width + measured bytes <= budget``. Beyond the bound the join is
 left to a shuffle join, where adaptive execution splits skewed keys.
+
+Verdicts are remembered for unchanged input only: by the plan and the path,
+length and modification time of its files, in a bounded memo of digests.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections import OrderedDict
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -40,38 +46,45 @@ def _variable_bytes(schema: T.StructType) -> Column:
     return reduce(lambda a, b: a + b, parts, F.lit(0)).cast("long")
 
 
-def broadcast_limit_rows(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> int:
-    return max(1, max_bytes // _fixed_row_bytes(df.schema))
-
+# Plan statistics this many times over the budget need no measuring (they are
+# estimates: file bytes are compressed, filters may not be counted).
+_HOPELESS = 64
+_MEMO_ENTRIES = 256
+_MEMO_FILES = 64
+_VERDICTS: OrderedDict[str, bool] = OrderedDict()
 
-# Verdicts of earlier checks. The key holds the plan's semantic hash, its
-# schema and the exact list of input files: Parquet files are immutable and
-# every rewrite of a table produces new file names, so an unchanged key means
-# unchanged input and an unchanged size.
-_VERDICTS: dict[tuple, bool] = {}
 
-
-def _verdict_key(df: DataFrame, max_bytes: int) -> tuple | None:
+def _input_digest(df: DataFrame, max_bytes: int) -> str | None:
+    """What the verdict depends on; None when it is not a few files."""
     if df.isStreaming:
         return None
-    files = tuple(sorted(df.inputFiles()))
-    if not files:
-        return None  # in-memory input: always re-check
-    return (df.semanticHash(), df.schema.json(), files, max_bytes)
+    files = df.inputFiles()
+    if not 0 < len(files) <= _MEMO_FILES:
+        return None
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    parts = [str(df.semanticHash()), df.schema.json(), str(max_bytes)]
+    for f in sorted(files):
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f))
+        status = path.getFileSystem(conf).getFileStatus(path)
+        parts += [f, str(status.getLen()), str(status.getModificationTime())]
+    return hashlib.blake2b("\n".join(parts).encode()).hexdigest()
 
 
 def is_broadcastable(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
-    """True when ``df`` provably fits the broadcast budget (bounded scan)."""
-    key = _verdict_key(df, max_bytes)
+    """True when ``df`` provably fits the broadcast budget."""
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    files_known = estimate < (1 << 62)  # plans without statistics report the largest value
+    if files_known and estimate > _HOPELESS * max_bytes:
+        return False
+    key = _input_digest(df, max_bytes)
     if key is not None and key in _VERDICTS:
         return _VERDICTS[key]
-    n = broadcast_limit_rows(df, max_bytes)
-    probe = df.limit(n + 1).agg(F.count(F.lit(1)).alias("rows"),
-                                F.sum(_variable_bytes(df.schema)).alias("var_bytes"))
-    rows, var_bytes = probe.collect()[0]  # one row: the measured size
-    verdict = rows <= n and rows * _fixed_row_bytes(df.schema) + (var_bytes or 0) <= max_bytes
+    rows, var_bytes = df.agg(F.count(F.lit(1)), F.sum(_variable_bytes(df.schema))).first()
+    verdict = rows * _fixed_row_bytes(df.schema) + (var_bytes or 0) <= max_bytes
     if key is not None:
         _VERDICTS[key] = verdict
+        while len(_VERDICTS) > _MEMO_ENTRIES:
+            _VERDICTS.popitem(last=False)
     return verdict
 
 
