@@ -27,6 +27,16 @@ def to_price(c: Column | str) -> Column:
     return _col(c).try_cast(PRICE_TYPE)
 
 
+def fits_price(c: Column | str) -> Column:
+    """True when a price can be stored as NUMERIC(10,2)."""
+    return to_price(c).isNotNull()
+
+
+def fits_volume(c: Column | str) -> Column:
+    """True when a truncated volume can be stored as bigint."""
+    return truncate_volume(c).isNotNull()
+
+
 def tick_pct_change(current: Column | str, open_: Column | str) -> Column:
     """Percent change of a tick against its open, on doubles, 2 decimals."""
     o = _col(open_)

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The tick timestamp layout ("%Y-%m-%d %H:%M:%S", UTC).
-# Parsing uses single-letter fields so unpadded parts are accepted, as strptime does.
-TICK_TS_PARSE = "y-M-d H:m:s"
+# The tick timestamp layout ("%Y-%m-%d %H:%M:%S", UTC). A year has
+# four digits; the other parts may be unpadded, as strptime accepts them.
+TICK_TS_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"
 TICK_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -16,8 +16,12 @@ def _col(c: Column | str) -> Column:
 
 
 def parse_tick_ts(c: Column | str) -> Column:
-    """String -> timestamp_ntz; NULL for NULL, empty or malformed input."""
-    return F.try_to_timestamp(_col(c), F.lit(TICK_TS_PARSE)).cast("timestamp_ntz")
+    """String -> timestamp_ntz; NULL for NULL, empty or malformed input.
+
+    The text is cast straight to a zone-less timestamp, so the session zone
+    (and its daylight-saving gaps) plays no part.
+    """
+    return F.when(_col(c).rlike(TICK_TS_PATTERN), _col(c).try_cast("timestamp_ntz"))
 
 
 def format_tick_ts(c: Column | str) -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.functions.display import change_class, money, percent, thousands
+from tickwise.functions.display import change_class, money, percent, present, thousands
 from tickwise.functions.time import format_tick_ts, parse_tick_ts
 from tickwise.operators.joins import lookup
 
@@ -27,10 +27,8 @@ def latest_ticks(ticks: DataFrame) -> DataFrame:
     if "ts" not in t.columns:
         t = t.withColumn("ts", parse_tick_ts("timestamp"))
     return (t.groupBy("symbol")
-             .agg(F.max_by("open", "seq").alias("open"),
-                  F.max_by("current_price", "seq").alias("current_price"),
-                  F.max_by("percent_change", "seq").alias("percent_change"),
-                  F.max_by("volume", "seq").alias("volume"),
+             .agg(*[F.max_by(present(c), "seq").alias(c)  # NaN is a missing number
+                    for c in ("open", "current_price", "percent_change", "volume")],
                   F.max_by("ts", "seq").alias("ts"),
                   F.max("seq").alias("seq")))
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.functions.prices import clean_number
+from tickwise.functions.prices import clean_number, fits_price, fits_volume
 from tickwise.functions.time import at_time, parse_tick_ts
-from tickwise.operators.joins import lookup, sized_broadcast
+from tickwise.operators.joins import sized_broadcast
 from tickwise.session import checkpoint_root
 
 # Default session bounds (closing mark at 18:00:00, session from 08:00:00).
@@ -18,20 +18,26 @@ NO_SYMBOL = "no_symbol"
 MISSING_TIMESTAMP = "missing_timestamp"
 BAD_TIMESTAMP = "bad_timestamp"
 UNKNOWN_SYMBOL = "unknown_symbol"
+PRICE_OUT_OF_RANGE = "price_out_of_range"
+VOLUME_OUT_OF_RANGE = "volume_out_of_range"
 
 
 def prepare_ticks(ticks: DataFrame) -> DataFrame:
     """Add parsed ``ts`` (unless present), ``trade_date`` and ``reject_reason``.
 
     Absent / NULL / NaN numbers take the reference defaults (0) so they enter
-    min/max exactly as an absent field would.
+    min/max exactly as an absent field would. A price or volume that the
+    ``prices`` table cannot hold is a reject reason, so no bar gets a silent NULL.
     """
     ts = F.col("ts") if "ts" in ticks.columns else parse_tick_ts("timestamp")
     # the timestamp text is only inspected for rows whose time did not parse
     reason = (F.when(F.col("symbol").isNull(), F.lit(NO_SYMBOL))
               .when(ts.isNull(),
                     F.when(F.coalesce(F.col("timestamp"), F.lit("")) == "",
-                           F.lit(MISSING_TIMESTAMP)).otherwise(F.lit(BAD_TIMESTAMP))))
+                           F.lit(MISSING_TIMESTAMP)).otherwise(F.lit(BAD_TIMESTAMP)))
+              .when(~fits_price(clean_number("open")) | ~fits_price(clean_number("current_price")),
+                    F.lit(PRICE_OUT_OF_RANGE))
+              .when(~fits_volume(clean_number("volume")), F.lit(VOLUME_OUT_OF_RANGE)))
     cleaned = {"open", "current_price", "volume", "ts", "trade_date", "reject_reason"}
     return ticks.select(
         *[c for c in ticks.columns if c not in cleaned],
@@ -48,19 +54,19 @@ def valid_ticks(ticks: DataFrame) -> DataFrame:
 
 
 def company_keys(companies: DataFrame) -> DataFrame:
-    """The (id, symbol) projection used for every symbol lookup."""
-    return companies.select(F.col("id").alias("company_id"), "symbol")
+    """The (id, symbol) lookup side; a symbol listed twice resolves to its lowest id.
 
-
-def resolve_companies(ticks: DataFrame, companies: DataFrame) -> DataFrame:
-    """JOIN-4: tick.symbol -> companies.id (inner; unknown symbols drop out)."""
-    return lookup(ticks, company_keys(companies), "symbol", "inner")
+    One row per symbol whatever the table holds, so a duplicated symbol cannot
+    duplicate ticks or bars.
+    """
+    return companies.groupBy("symbol").agg(F.min("id").alias("company_id"))
 
 
 def unknown_symbols(ticks: DataFrame, companies: DataFrame) -> DataFrame:
     """JOIN-5: valid ticks whose symbol is not a listed company."""
     known = sized_broadcast(companies.select("symbol"))
-    return valid_ticks(ticks).join(known, "symbol", "left_anti")
+    valid = valid_ticks(ticks)
+    return valid.join(known, "symbol", "left_anti").select(*valid.columns)
 
 
 def tick_rejects(ticks: DataFrame, companies: DataFrame) -> DataFrame:
@@ -124,7 +130,7 @@ def session_ticks(ticks: DataFrame, open_time: str = DEFAULT_OPEN_TIME,
     materialized first in the shared checkpoint folder (a partial-aggregate
     pass); when their size check passes they are broadcast and the session
     scan stays map-only, so the tick side is never shuffled and a hot symbol
-    cannot land in one task. Beyond the bound it is a shuffle semi join whose
+    cannot land in one task. Building the plan runs that marks job. Beyond the bound it is a shuffle semi join whose
     skewed partitions adaptive execution splits.
     """
     t = valid_ticks(ticks)
@@ -133,4 +139,4 @@ def session_ticks(ticks: DataFrame, open_time: str = DEFAULT_OPEN_TIME,
               .select("symbol", "trade_date").distinct()
               .checkpoint(eager=True))
     sess = t.filter(in_session(F.col("ts"), open_time, close_time))
-    return sess.join(sized_broadcast(marks), ["symbol", "trade_date"], "left_semi")
+    return sess.join(sized_broadcast(marks), ["symbol", "trade_date"], "left_semi").select(*sess.columns)

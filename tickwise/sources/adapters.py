@@ -19,13 +19,14 @@ from __future__ import annotations
 
 import functools
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwise.functions.prices import tick_pct_change
 from tickwise.functions.time import at_time, format_tick_ts, order_key
-from tickwise.operators.joins import lookup, sized_broadcast
+from tickwise.operators.joins import lookup
 from tickwise.schemas import SEQ_TYPE
 from tickwise.session import checkpoint_root
 
@@ -33,14 +34,15 @@ from tickwise.session import checkpoint_root
 def _per_session(build):
     """Build each view once per (session, folder), like registering a view once.
 
-    The driver's tables are read-only; a view holds a plan, not data, so
-    every query still scans the files in full.
+    The driver's tables are read-only. Views hold plans, except ``ticks``, which
+    is a table written on first use (see there).
     """
     cache: dict[tuple, DataFrame] = {}
 
     @functools.wraps(build)
     def get(spark: SparkSession, sf_dir: str, *args) -> DataFrame:
-        key = (id(spark), spark.sparkContext.applicationId, os.path.abspath(sf_dir), args)
+        # the session's own id: Python may reuse the id() of a collected object
+        key = (spark._jsparkSession.sessionUUID(), spark.sparkContext.applicationId, sf_dir, args)
         if key not in cache:
             cache[key] = build(spark, sf_dir, *args)
         return cache[key]
@@ -88,7 +90,12 @@ def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_per_session
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tick-store shaped view of ``events`` (includes ``seq``, ``ts``, ``trade_date``)."""
+    """Tick-store shaped table made of ``events`` (includes ``seq``, ``ts``, ``trade_date``).
+
+    Written once per session to the shared checkpoint folder, partitioned by
+    trade date like the tick store it stands in for; every query reads that
+    table. A date filter prunes partitions and a symbol filter is pushed down.
+    """
     events = table(spark, sf_dir, "events")
     # Each user's first value by (ts, event_id): a partial-able aggregate (one
     # row per user), joined back; no per-user window, so a hot user never
@@ -98,18 +105,11 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     # per-user attributes (first value, supplier name) joined once to the ticks
     names = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("user_id"), F.col("s_name").alias("name"))
-    # The per-user values stand in for the ``open`` field a stored tick carries.
-    # They are materialized once per session in the shared checkpoint folder:
-    # the broadcast size check then reads that small result (a size check on
-    # the unmaterialized aggregate would be a second full pass over
-    # ``events``), and every query reuses it instead of re-aggregating.
-    checkpoint_root(spark)
-    per_user = first.join(names, "user_id", "left").checkpoint(eager=True)
-    t = events.join(sized_broadcast(per_user), "user_id", "left")
+    t = events.join(first.join(names, "user_id", "left"), "user_id", "left")
     # wall-clock hour of the (zone-less) event time, independent of the session zone
     hour = at_time(F.to_date("ts"), "00:00:00") + F.make_dt_interval(
         F.lit(0), F.hour("ts"), F.lit(0), F.lit(0))
-    return t.select(
+    t = t.select(
         F.col("value").alias("current_price"),
         F.col("user_id").try_cast("int").alias("id"),
         F.col("name"),
@@ -120,9 +120,41 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get_json_object("props", "$.k").try_cast("double").alias("volume"),
         F.col("event_id").cast(SEQ_TYPE).alias("seq"),
         hour.alias("ts"),
-        # same day as the truncated ts; on the raw column a trade-date filter
-        # becomes a ts range pushed to the Parquet scan
         F.to_date(F.col("ts")).alias("trade_date"))
+    path = os.path.join(checkpoint_root(spark), f"ticks-{uuid.uuid4().hex}")
+    t.hint("rebalance", "trade_date").write.partitionBy("trade_date").parquet(path)
+    return spark.read.schema(t.schema).parquet(path)
+
+
+@_per_session
+def dirty_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ticks with text time only, spoilt by rules on their number (``seq``).
+
+    Missing, empty and malformed times, years of two and five digits, a day that
+    does not exist, unpadded parts, no symbol, NULL and zero opens, NULL and too
+    large prices and volumes.
+    """
+    t = ticks(spark, sf_dir)
+    n = F.col("seq").cast("long")
+    text = F.col("timestamp")
+
+    time = (F.when(n % 11 == 0, F.lit(None).cast("string"))
+            .when(n % 11 == 1, F.lit(""))
+            .when(n % 11 == 2, F.concat(F.lit("2"), text))
+            .when(n % 11 == 3, F.substring(text, 3, 20))
+            .when(n % 11 == 4, F.translate(text, " ", "T"))
+            .when(n % 11 == 5, F.concat(F.lit("2024-02-30"), F.substring(text, 11, 10)))
+            .when(n % 11 == 6, F.regexp_replace(text, "-0", "-"))
+            .otherwise(text))
+    return t.select(
+        F.when(n % 19 == 0, F.lit(1e9)).when(n % 23 != 0, F.col("current_price")).alias("current_price"),
+        "id", "name",
+        F.when(n % 7 == 1, F.lit(0.0)).when(n % 7 != 0, F.col("open")).alias("open"),
+        "percent_change",
+        F.when(n % 13 != 0, F.col("symbol")).alias("symbol"),
+        time.alias("timestamp"),
+        F.when(n % 29 == 0, F.lit(1e19)).when(n % 31 != 0, F.col("volume")).alias("volume"),
+        "seq")
 
 
 @_per_session
