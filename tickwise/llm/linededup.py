@@ -38,19 +38,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickwise.llm.bits import BitTable, bit_table
-from tickwise.llm.common import cut, fresh_name, slices, utf8
+from tickwise.llm.common import cut, fresh_name, slices, utf8, written
 from tickwise.llm.components import components
 
 SIMILARITY = 0.8
 SHINGLE_CHARS = 7
 BANDS = 14
 ROWS = 5
-GROUP_LINES = 256
+GROUP_LINES = 1024
 SEEN_LINES = 500_000
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 VISIBLE = re.compile(rb"[^\x00-\x20]")
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
+BASE = 0x100000001B3
 EMPTY = np.uint64((1 << 64) - 1)
 
 
@@ -68,6 +69,23 @@ def line_digest(line: bytes) -> bytes:
     return xxhash.xxh3_128_digest(line)
 
 
+def _runs(codes: np.ndarray, size: int) -> np.ndarray:
+    """Polynomial hashes of every run of ``size`` codes; runs are doubled, not walked."""
+    if len(codes) < size:
+        return np.array([], np.uint64)
+    if size == 1:
+        return codes.copy()
+    half = _runs(codes, size // 2)
+    step = size // 2
+    n = len(codes) - 2 * step + 1
+    out = half[:n] * np.uint64(pow(BASE, step, 1 << 64))
+    out += half[step:step + n]
+    if size % 2:
+        out = out[:-1] * np.uint64(BASE)
+        out += codes[size - 1:]
+    return out
+
+
 def shingle_hashes(lines: list[bytes], chars: int = SHINGLE_CHARS) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all shingles of ``lines``, and the number of the line that each is of."""
     codes = [line.decode("utf-8", "replace").encode("utf-32-le") for line in lines]
@@ -77,15 +95,15 @@ def shingle_hashes(lines: list[bytes], chars: int = SHINGLE_CHARS) -> tuple[np.n
     flat = np.frombuffer(b"".join(c if n >= 4 * chars else c + b"\xff" * (4 * chars - n)
                                   for c in codes for n in (len(c),)), "<u4").astype(np.uint64)
     owner = np.repeat(np.arange(len(lines)), padded)
-    n = len(flat) - chars + 1
-    h = np.zeros(max(n, 0), np.uint64)
-    for k in range(chars if n > 0 else 0):
-        h = h * np.uint64(0x100000001B3) + flat[k:n + k]
+    h = _runs(flat, chars)
     whole = owner[:len(h)] == owner[chars - 1:chars - 1 + len(h)]
     h, owner = h[whole], owner[:len(whole)][whole]
-    h = (h ^ (h >> np.uint64(31))) * MIX
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(32)), owner
+    h ^= h >> np.uint64(31)
+    h *= MIX
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(32)
+    return h, owner
 
 
 def band_keys(lines: list[bytes], bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
@@ -222,7 +240,9 @@ def lines_in(docs: DataFrame, text: str, table: BitTable) -> DataFrame:
                 [pa.array(np.fromiter(new.values(), np.uint64, len(new)).view(np.int64)),
                  pa.array([x.decode("utf-8", "replace") for x in new], pa.string())], ["line", "content"])
 
-    return (docs.select(F.col(text).alias("text")).mapInArrow(run, "line long, content string").distinct())
+    return (docs.select(F.col(text).alias("text")).mapInArrow(run, "line long, content string")
+            .groupBy("line").agg(F.collect_set("content").alias("contents"))
+            .select("line", F.explode("contents").alias("content")))
 
 
 def linked(lines: list[bytes], similarity: float) -> list[tuple[int, int]]:
@@ -231,29 +251,38 @@ def linked(lines: list[bytes], similarity: float) -> list[tuple[int, int]]:
     order = np.lexsort((h, owner))
     h, owner = h[order], owner[order]
     first = np.r_[True, (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])]
-    h, owner = h[first], owner[first]
-    bounds = np.searchsorted(owner, np.arange(len(lines) + 1))
-    sets = [h[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
-    sizes = np.diff(bounds)
-    edges, left = [], list(range(len(lines)))
-    while len(left) > 1:
-        queue, left = [left[0]], left[1:]
-        while queue and left:
+    column, owner = np.unique(h[first], return_inverse=True)[1], owner[first]
+    start = np.searchsorted(owner, np.arange(len(lines) + 1))
+    size, mark = np.diff(start), np.zeros(column.max() + 1, np.int32)
+    edges, own = [], {}
+
+    def columns(x: int) -> np.ndarray:
+        return column[start[x]:start[x + 1]]
+
+    def gather(rest: np.ndarray) -> None:
+        own["all"] = np.concatenate([columns(x) for x in rest])
+        own["start"] = np.r_[0, np.cumsum(size[rest])[:-1]]
+
+    packed = np.arange(len(lines))  # the lines whose columns are gathered
+    gather(packed)
+    alive = np.ones(len(lines), bool)  # not linked so far
+    while alive.any():
+        seed = int(np.argmax(alive))
+        alive[seed] = False
+        queue = [seed]
+        while queue and alive.any():
             x = queue.pop()
-            own, others = sets[x], np.array(left)
-            # sets of too different a size cannot be similar enough
-            near = (np.minimum(sizes[others], len(own)) >= similarity * np.maximum(sizes[others], len(own)))
-            hits = []
-            for y in others[near].tolist():
-                at = np.searchsorted(own, sets[y])
-                common = int((own[np.minimum(at, len(own) - 1)] == sets[y]).sum())
-                if common >= similarity * (len(own) + len(sets[y]) - common):
-                    hits.append(y)
-            if hits:
-                edges += [(x, y) for y in hits]
-                queue += hits
-                gone = set(hits)
-                left = [y for y in left if y not in gone]
+            if 2 * alive.sum() < len(packed):  # what is linked costs no more
+                packed = np.flatnonzero(alive)
+                gather(packed)
+            mark[columns(x)] = 1
+            common = np.add.reduceat(mark[own["all"]], own["start"])
+            mark[columns(x)] = 0
+            near = alive[packed] & (common >= similarity * (size[packed] + size[x] - common))
+            hits = packed[near].tolist()
+            alive[hits] = False
+            edges += [(x, y) for y in hits]
+            queue += hits
     return edges
 
 
@@ -324,11 +353,12 @@ def dropped_lines(docs: DataFrame, row_key: str, text: str, similarity: float =
     """(row_key, dropped): the numbers of the lines to drop, of rows that lose any."""
     roots = line_roots(docs, text, similarity)
     found = occurrences(docs, row_key, text)
-    found = (found.join(roots, found["digest"] == roots["node"], "left")
-             .select("row_key", "at", F.coalesce("root", "digest").alias("root")))
-    firsts = (found.groupBy("root").agg(F.count(F.lit(1)).alias("n"),
-                                        F.min(F.struct("row_key", "at")).alias("first"))
-              .filter("n > 1").select("root", "first"))
+    # written, so that the join below deals its own rows out and a very common line is split
+    found = written(found.join(roots, found["digest"] == roots["node"], "left")
+                    .select("row_key", "at", F.coalesce("root", "digest").alias("root")), "lines")
+    firsts = written(found.groupBy("root").agg(F.count(F.lit(1)).alias("n"),
+                                               F.min(F.struct("row_key", "at")).alias("first"))
+                     .filter("n > 1").select("root", "first"), "firsts")
     return (found.join(firsts, "root").filter(F.struct("row_key", "at") != F.col("first"))
             .groupBy("row_key").agg(F.collect_set("at").alias("dropped")))
 
