@@ -29,11 +29,11 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """``df`` written as a Parquet table in the shared work folder and reread."""
     spark = df.sparkSession
     path = work_dir(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -12,7 +12,8 @@ from tickwise.llm import bpe, decontaminate, htmltext, linededup, quality, shard
 from tickwise.llm.common import with_row_key
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
-END_OF_TEXT = 49407  # its end-of-text id
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+END_OF_TEXT = 50256  # the id that the rank file leaves free
 
 URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"),
              ("com/fr/", "allow"), ("com/de/", "block")]
@@ -69,7 +70,8 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    manifest = shards.materialise(table(spark, sf_dir, "documents"), "doc_id", "text", TOKENIZER, END_OF_TEXT)
+    manifest = shards.materialise(table(spark, sf_dir, "documents"), "doc_id", "text", RANKS,
+                                  public_tokenizers.PATTERN, END_OF_TEXT)
     return shards.read_sequences(manifest)
 
 

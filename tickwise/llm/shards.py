@@ -1,6 +1,6 @@
 """Training-order materialisation of token ids (operator 8).
 
-Documents are tokenized, joined into streams (an end-of-text id after each) and
+Documents are tokenized (byte-level BPE), joined into streams (an end-of-text id after each) and
 cut into sequences of ``length`` ids, a few MB of texts at a time. A keyed Feistel network with cycle-walking
 permutes the numbers 0..N-1 of all sequences: sequence i gets global slot
 ``permute(i)``. Slots lie in shards of ``shard_slots``, one file each, in which
@@ -26,22 +26,22 @@ table gives an empty manifest.
 
 from __future__ import annotations
 
+import base64
 import hashlib
-import re
 import struct
 from collections.abc import Iterable, Iterator
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from tokenizers import Tokenizer
 
-from tickwise.llm.bpe import MEMO_WORDS, NOT_SPACES, WHITE_SPACE, read_vocabulary
+from tickwise.llm.bpe import read_vocabulary
 from tickwise.llm.common import cut, slices, utf8, work_dir, written
 from tickwise.llm.warc import open_uri
 
@@ -52,6 +52,7 @@ KEY = 20_240_601
 HEAD = "<qqii"
 HEAD_BYTES = struct.calcsize(HEAD)
 STREAM_BYTES = 4 << 20
+PACK_LEVEL = 5
 
 MANIFEST = T.StructType([
     T.StructField("shard", T.LongType(), False), T.StructField("file", T.StringType(), False),
@@ -98,61 +99,46 @@ class Permutation:
         return out.astype(np.int64)
 
 
-class Encoder:
-    """Ids of texts as uint16 arrays; the ids of recurring words are kept."""
+def encoding(ranks: str, pattern: str) -> tiktoken.Encoding:
+    """The byte-level BPE of a rank file (lines of a base64 token and its rank)."""
+    pairs = (line.split() for line in ranks.splitlines() if line)
+    return tiktoken.Encoding("shards", pat_str=pattern, special_tokens={},
+                             mergeable_ranks={base64.b64decode(token): int(rank) for token, rank in pairs})
 
-    def __init__(self, vocabulary: str):
-        self.library = Tokenizer.from_str(vocabulary)
-        self.library.no_padding()
-        self.library.no_truncation()
-        self.spaces = re.compile(f"[{WHITE_SPACE}]+")
-        self.memo: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        # no token of the vocabulary spans white space
-        chunks = [[c for c in self.spaces.split(t) if c] if any(c in t for c in NOT_SPACES) else t.split()
-                  for t in texts]
-        new = list({c for row in chunks for c in row if c not in self.memo})
-        if len(self.memo) + len(new) > 2 * MEMO_WORDS:
-            self.memo.clear()
-            new = list({c for row in chunks for c in row})
-        for c, e in zip(new, self.library.encode_batch(new, add_special_tokens=False), strict=True):
-            self.memo[c] = np.array(e.ids, "<u2").tobytes()
-        known = self.memo
-        return [b"".join([known[c] for c in row]) for row in chunks]
-
-
-def token_pieces(docs: DataFrame, doc_id: str, text: str, vocabulary: str, end_id: int,
+def token_pieces(docs: DataFrame, doc_id: str, text: str, ranks: str, pattern: str, end_id: int,
                  length: int) -> DataFrame:
-    """(stream, first, sequences, ids, docs, starts): joined ids of a few MB of texts in each row.
+    """(stream, first, sequences, n, ids, docs, starts): joined ids of a few MB of texts in each row.
 
-    Rows are written to a work table. A stream is what one task wrote; ``first``
+    ``ids`` are compressed, ``n`` is their number. Rows are written to a work table. A stream is what one task wrote; ``first``
     counts the sequences of its earlier pieces. ``starts`` are the places in
     ``ids`` where ``docs`` begin.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = docs.sparkSession.sparkContext.broadcast((ranks, pattern))
     end = struct.pack("<H", end_id)
 
     def run(batches):
-        encoder, first = Encoder(shared.value), 0
+        encode, first = encoding(*shared.value).encode_ordinary, 0
+        packer = zstandard.ZstdCompressor(level=PACK_LEVEL)
         stream = TaskContext.get().partitionId()
         for batch in batches:
             for part in slices(batch, "text", STREAM_BYTES):
                 ids = [-1 if i is None else i for i in part.column(0).to_pylist()]
-                encoded = [e + end for e in encoder.encode([t.decode("utf-8", "replace")
-                                                            for t in utf8(part.column(1))])]
+                encoded = [np.array(encode(t.decode("utf-8", "replace")), "<u2").tobytes() + end
+                           for t in utf8(part.column(1))]
                 starts = [0, *(n // 2 for n in accumulate(map(len, encoded)))]
                 sequences = -(-starts[-1] // length)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([stream], pa.int32()), pa.array([first], pa.int64()),
-                     pa.array([sequences], pa.int64()), pa.array([b"".join(encoded)], pa.binary()),
+                     pa.array([sequences], pa.int64()), pa.array([starts[-1]], pa.int64()),
+                     pa.array([packer.compress(b"".join(encoded))], pa.binary()),
                      pa.array([ids], pa.list_(pa.int64())), pa.array([starts[:-1]], pa.list_(pa.int64()))],
-                    ["stream", "first", "sequences", "ids", "docs", "starts"])
+                    ["stream", "first", "sequences", "n", "ids", "docs", "starts"])
                 first += sequences
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return written(rows.mapInArrow(run, "stream int, first long, sequences long, ids binary, "
-                                        "docs array<long>, starts array<long>"), "tokens")
+    return written(rows.mapInArrow(run, "stream int, first long, sequences long, n long, ids binary, "
+                                        "docs array<long>, starts array<long>"), "tokens", "none")
 
 
 def shard_records(pieces: DataFrame, bases: dict[int, int], n: int, length: int, shard_slots: int,
@@ -161,10 +147,12 @@ def shard_records(pieces: DataFrame, bases: dict[int, int], n: int, length: int,
     shared = pieces.sparkSession.sparkContext.broadcast(bases)
 
     def run(batches):
-        permute, packer = Permutation(n, key), zstandard.ZstdCompressor(level=1)
+        permute, packer = Permutation(n, key), zstandard.ZstdCompressor(level=PACK_LEVEL)
+        unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             for r in batch.to_pylist():
-                count, ids, starts = r["sequences"], r["ids"], np.array(r["starts"], np.int64)
+                count, starts = r["sequences"], np.array(r["starts"], np.int64)
+                ids = unpack.decompress(r["ids"], max_output_size=2 * r["n"])
                 numbers = shared.value[r["stream"]] + r["first"] + np.arange(count)
                 own = np.searchsorted(starts, np.arange(count) * length, "right") - 1
                 pad = ids + struct.pack("<H", end_id) * (count * length - len(ids) // 2)
@@ -230,12 +218,12 @@ def write_shards(pieces: DataFrame, folder: str, n: int, length: int, shard_slot
     return cut(placed.mapInArrow(run, MANIFEST))
 
 
-def materialise(docs: DataFrame, doc_id: str, text: str, vocabulary_path: str, end_id: int,
+def materialise(docs: DataFrame, doc_id: str, text: str, ranks_path: str, pattern: str, end_id: int,
                 folder: str | None = None, length: int = LENGTH, shard_slots: int = SHARD_SLOTS,
                 key: int = KEY) -> DataFrame:
     """Tokenize ``docs`` and write them as shards in training order; returns the manifest."""
     folder = folder or work_dir(docs.sparkSession, "shards")
-    pieces = token_pieces(docs, doc_id, text, read_vocabulary(vocabulary_path), end_id, length)
+    pieces = token_pieces(docs, doc_id, text, read_vocabulary(ranks_path), pattern, end_id, length)
     sizes = pieces.groupBy("stream").agg(F.sum("sequences").alias("n")).collect()  # one row a task
     sizes.sort(key=lambda r: r["stream"])
     bases = dict(zip((r["stream"] for r in sizes), [0, *accumulate(r["n"] for r in sizes)], strict=False))
