@@ -34,11 +34,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickwise.llm.bits import BitTable, bit_table
-from tickwise.llm.common import append_columns, cut, utf8, written
+from tickwise.llm.common import append_columns, cut, slices, utf8, written
 
 WINDOW_WORDS = 10
 SHINGLE_WORDS = 3
 MEMO_WORDS = 400_000
+VOCABULARY_WORDS = 200_000
+PIECE_BYTES = 1 << 20
 
 # Bytes of words kept, A-Z lower-cased; every other ASCII byte parts words.
 WORD_BYTES = bytes(
@@ -50,28 +52,70 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(WORD_BYTES).split()
 
 
+def word_hash(word: bytes) -> int:
+    return xxhash.xxh64_intdigest(word) or 1  # 0 stands for a word of no item
+
+
 class WordHashes(dict):
-    """Hashes of words; emptied when full."""
+    """Hashes of all words; emptied when full."""
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= MEMO_WORDS:
             self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
+        value = self[word] = word_hash(word)
         return value
 
 
-def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
-    """Hashes of every run of ``size`` words, from word hashes."""
-    n = len(words) - size + 1
-    if n < 1:
-        return np.array([], np.uint64)
-    h = np.full(n, size, np.uint64)
+def shingle_hashes(words: np.ndarray, size: int, at: np.ndarray | None = None) -> np.ndarray:
+    """Hashes of the runs of ``size`` words that start at ``at`` (default: everywhere)."""
+    if at is None:
+        at = np.arange(max(0, len(words) - size + 1))
+    h = np.full(len(at), size, np.uint64)
     for k in range(size):
-        h = (h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + words[k:n + k]
+        h = (h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + words[at + k]
     h ^= h >> np.uint64(32)
     return h * np.uint64(0xD6E8FEB86659FD93)
 
 
+class Scanner:
+    """Finds the shingles of a bit table in many texts at once.
+
+    With a vocabulary, words outside it count as 0 and no shingle with one is
+    looked at; without, every word is hashed.
+    """
+
+    def __init__(self, parts: tuple, sizes: list[int], vocabulary: dict[bytes, int] | None):
+        self.bits, self.sizes, self.vocabulary = BitTable(*parts), sizes, vocabulary
+        self.memo = WordHashes()
+
+    def hashes(self, words: list[bytes]) -> np.ndarray:
+        if self.vocabulary is None:
+            memo = self.memo
+            return np.array([memo[w] for w in words], np.uint64)
+        known = self.vocabulary.get
+        return np.array([known(w, 0) for w in words], np.uint64)
+
+    def scan(self, texts: list[bytes]) -> tuple[list[bytes], np.ndarray, dict[int, tuple[np.ndarray, np.ndarray]]]:
+        """All words, where each text's words begin, and by shingle size (places, hashes)."""
+        words, bounds = [], [0]
+        for t in texts:
+            words += words_of(t)
+            bounds.append(len(words))
+        hashes, bounds = self.hashes(words), np.array(bounds)
+        owner = np.repeat(np.arange(len(texts)), np.diff(bounds))
+        known, found = hashes != 0, {}
+        for size in self.sizes:
+            n = max(0, len(words) - size + 1)
+            inside = owner[:n] == owner[size - 1:size - 1 + n]
+            for k in range(size):
+                inside &= known[k:n + k]
+            at = np.flatnonzero(inside)
+            h = shingle_hashes(hashes, size, at)
+            hit = self.bits.holds(h)
+            found[size] = at[hit], h[hit]
+        return words, bounds, found
+
+
 def item_windows(items: DataFrame, item_id: str, text: str, window: int) -> DataFrame:
     """Distinct (item, window, n): the windows of every item, words joined by a space."""
 
@@ -114,27 +158,34 @@ def window_shingles(windows: DataFrame, shingle: int) -> DataFrame:
     return windows.mapInArrow(hash_all, "window string, n int, at int, size int, h long")
 
 
-def shingle_sizes(shingles: DataFrame) -> list[int]:
-    """The shingle sizes that occur; at most the shingle length many."""
-    return sorted(r["size"] for r in shingles.select("size").distinct().collect())
+def scanner_parts(shingles: DataFrame) -> tuple:
+    """What a task needs to find these shingles; bounded whatever their number.
+
+    The words of their windows are sent along unless there are over
+    ``VOCABULARY_WORDS``; then tasks hash every word and find the same.
+    """
+    sizes = sorted(r["size"] for r in shingles.select("size").distinct().collect())
+    words = (shingles.select(F.explode(F.split("window", " ")).alias("word")).distinct()
+             .limit(VOCABULARY_WORDS + 1).collect())
+    vocabulary = None
+    if len(words) <= VOCABULARY_WORDS:
+        vocabulary = {(w := r["word"].encode()): word_hash(w) for r in words}
+    return bit_table(shingles, "h").parts(), sizes, vocabulary
 
 
-def shingle_counts(docs: DataFrame, text: str, table: BitTable, sizes: list[int]) -> DataFrame:
-    """(h, n): occurrences over all documents of the shingles that the table holds."""
-    shared = docs.sparkSession.sparkContext.broadcast((table.parts(), sizes))
+def shingle_counts(docs: DataFrame, text: str, parts: tuple) -> DataFrame:
+    """(h, n): occurrences over all documents of the shingles that the scanner finds."""
+    shared = docs.sparkSession.sparkContext.broadcast(parts)
 
     def count(batches):
-        memo, (parts, sizes) = WordHashes(), shared.value
-        bits = BitTable(*parts)
+        scanner = Scanner(*shared.value)
         for batch in batches:
-            found = []
-            for raw in utf8(batch.column(0)):
-                words = np.array([memo[w] for w in words_of(raw)], np.uint64)
-                for size in sizes:
-                    h = shingle_hashes(words, size)
-                    found.append(h[bits.holds(h)])
-            h, n = np.unique(np.concatenate(found) if found else np.array([], np.uint64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n, pa.int64())], ["h", "n"])
+            for piece in slices(batch, "text", PIECE_BYTES):
+                _, _, found = scanner.scan(list(utf8(piece.column(0))))
+                h, n = np.unique(np.concatenate([np.array([], np.uint64), *(h for _, h in found.values())]),
+                                 return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n, pa.int64())],
+                                                 ["h", "n"])
 
     return (docs.select(F.col(text).alias("text")).mapInArrow(count, "h long, n long")
             .groupBy("h").agg(F.sum("n").alias("n")))
@@ -145,41 +196,34 @@ HITS = T.ArrayType(T.StructType([
     T.StructField("lead", T.IntegerType()), T.StructField("around", T.StringType())]))
 
 
-def prefix_hits(docs: DataFrame, text: str, table: BitTable, sizes: list[int], window: int) -> DataFrame:
+def prefix_hits(docs: DataFrame, text: str, parts: tuple, window: int) -> DataFrame:
     """``docs`` with n_words and the places of prefix shingles in place of ``text``.
 
     A hit holds the words that a window around it could cover; ``lead`` of them
     stand before it.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((table.parts(), sizes))
+    shared = docs.sparkSession.sparkContext.broadcast(parts)
     struct = pa.struct([("h", pa.int64()), ("pos", pa.int32()), ("lead", pa.int32()), ("around", pa.string())])
 
     def make():
-        memo, (parts, sizes) = WordHashes(), shared.value
-        bits = BitTable(*parts)
-
-        def hits(words: list[bytes]) -> list[dict]:
-            hashes, out = np.array([memo[w] for w in words], np.uint64), []
-            for size in sizes:
-                h = shingle_hashes(hashes, size)
-                for p in np.flatnonzero(bits.holds(h)).tolist():
-                    start = max(0, p - window + size)
-                    out.append({"h": int(h[p].view(np.int64)), "pos": p, "lead": p - start,
-                                "around": b" ".join(words[start:p + window]).decode("utf-8", "replace")})
-            return out
+        scanner = Scanner(*shared.value)
 
         def work(texts: list[bytes]) -> list[pa.Array]:
-            counts, found = [], []
-            for t in texts:
-                words = words_of(t)
-                counts.append(len(words))
-                found.append(hits(words))
-            return [pa.array(counts, pa.int64()), pa.array(found, pa.list_(struct))]
+            words, bounds, found = scanner.scan(texts)
+            rows: list[list[dict]] = [[] for _ in texts]
+            for size, (places, hashes) in found.items():
+                owners = np.searchsorted(bounds, places, "right") - 1
+                for p, h, k in zip(places.tolist(), hashes.view(np.int64).tolist(), owners.tolist(), strict=True):
+                    low, high = int(bounds[k]), int(bounds[k + 1])
+                    start = max(low, p - window + size)
+                    rows[k].append({"h": h, "pos": p - low, "lead": p - start, "around": b" ".join(
+                        words[start:min(p + window, high)]).decode("utf-8", "replace")})
+            return [pa.array(np.diff(bounds), pa.int64()), pa.array(rows, pa.list_(struct))]
 
         return work
 
     return append_columns(docs, text, [T.StructField("n_words", T.LongType(), False),
-                                       T.StructField("hits", HITS, False)], make)
+                                       T.StructField("hits", HITS, False)], make, max_bytes=PIECE_BYTES)
 
 
 def contamination(docs: DataFrame, row_key: str, text: str, items: DataFrame, item_id: str, item_text: str,
@@ -189,13 +233,13 @@ def contamination(docs: DataFrame, row_key: str, text: str, items: DataFrame, it
     docs = docs.select(F.col(row_key).alias("row_key"), F.col(text).alias("text"))
     places = cut(item_windows(items, item_id, item_text, window))
     shingles = cut(window_shingles(places.select("window", "n").distinct(), shingle))
-    counts = shingle_counts(docs, "text", bit_table(shingles, "h"), shingle_sizes(shingles))
+    counts = shingle_counts(docs, "text", scanner_parts(shingles))
     # rarest shingle first; a window with a shingle that occurs nowhere cannot occur
     prefix = cut(shingles.join(counts.withColumnRenamed("n", "seen"), "h", "left")
                  .groupBy("window", "n")
                  .agg(F.min(F.struct(F.coalesce("seen", F.lit(0)).alias("seen"), "at", "size", "h")).alias("p"))
                  .filter("p.seen > 0").select("window", "n", "p.at", "p.size", "p.h"))
-    scanned = cut(prefix_hits(docs, "text", bit_table(prefix, "h"), shingle_sizes(prefix), window))
+    scanned = cut(prefix_hits(docs, "text", scanner_parts(prefix), window))
     hits = scanned.select("row_key", F.inline("hits"))
     fits = (F.col("lead") >= F.col("at")) & (F.array_join(F.slice(
         F.split("around", " "), F.col("lead") - F.col("at") + 1, F.col("n")), " ") == F.col("window"))
