@@ -3,12 +3,12 @@
 Two zstandard dictionaries are trained, one on toxic and one on ordinary
 windows. A window is a word (a piece of at most ``WINDOW_BYTES`` of a longer
 one). Its contrast is the compressed length with the ordinary dictionary less
-that with the toxic one. How many windows of a text reach a contrast threshold,
-and the next higher one, is what a score is made of; threshold and score curve
-are calibrated on all labelled training rows.
+that with the toxic one. How many windows of a text reach a contrast threshold, and
+the next higher one, and their share, is what a score is made of; threshold and
+score curve are calibrated on all labelled training rows.
 
-Training. Toxic windows are the words that stand in significantly more contexts
-of toxic than of ordinary texts, in a bounded sample: ``TOXIC_TEXTS`` and ``ORDINARY_TEXTS``
+Training. Toxic windows are the words that hold a run of bytes which stands in
+significantly more contexts of toxic than of ordinary texts, in a bounded sample: ``TOXIC_TEXTS`` and ``ORDINARY_TEXTS``
 labelled texts by hash order. The ordinary dictionary is trained on the texts of
 that sample of at most ``SAMPLE_BYTES`` bytes. Both bounds are parameters; what
 reaches the driver is bounded by them. Scoring and calibration read every text.
@@ -46,10 +46,13 @@ TOXIC_WORDS = 20_000
 TOXIC_DICTIONARY = 8_192
 ORDINARY_DICTIONARY = 112_640
 WINDOW_BYTES = 24
+GRAM_BYTES = 5
+RATE = 8  # times as frequent among toxic contexts as among ordinary ones
 MEMO_WORDS = 400_000
 PADDING = b"~" * 20
 LEVELS = 6  # contrasts that are counted: 1, 2, ... LEVELS
-CELLS = 4  # counts above are one cell of the calibration
+LOW_CELLS, HIGH_CELLS = 31, 7  # larger counts are one cell of the calibration
+RIDGE = 0.05
 THRESHOLD = 0.3
 
 # Every literal stays as it is and matches of four bytes count: lengths are then
@@ -67,6 +70,12 @@ def windows_of(text: bytes) -> list[bytes]:
     return [w[i:i + WINDOW_BYTES] for w in words for i in range(0, len(w), WINDOW_BYTES)]
 
 
+def runs_of(window: bytes) -> set[bytes]:
+    """The runs of GRAM_BYTES bytes of a window between spaces; the whole of a shorter one."""
+    padded = b" " + window + b" "
+    return {padded[i:i + GRAM_BYTES] for i in range(max(1, len(padded) - GRAM_BYTES + 1))}
+
+
 class Contrast(dict):
     """Contrast of windows, from 0 to LEVELS; emptied when full."""
 
@@ -115,6 +124,14 @@ def word_counts(sample: DataFrame) -> DataFrame:
             .agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("ordinary")))
 
 
+def _grams(window: str) -> Column:
+    """``runs_of`` as a column."""
+    padded = F.concat(F.lit(b" "), F.col(window), F.lit(b" "))
+    runs = F.greatest(F.octet_length(padded) - GRAM_BYTES, F.lit(0)) + 1
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), runs),
+                                        lambda i: F.substring(padded, i, F.lit(GRAM_BYTES))))
+
+
 def _dictionary(size: int, samples: list[bytes], segment: int) -> bytes:
     """A trained dictionary, or the samples themselves where there is too little to train on."""
     joined = b" ".join(samples)
@@ -137,13 +154,17 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str, text: str) -> tuple[b
     sample = cut(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
                  .join(F.broadcast(ids), "doc_id").select("toxic", "text"))
     counts = cut(word_counts(sample))
-    n_words, n_toxic, n_ordinary = counts.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0)),
-        F.coalesce(F.sum("ordinary"), F.lit(0))).first()
+    n_toxic, n_ordinary = counts.agg(F.coalesce(F.sum("toxic"), F.lit(0)),
+                                     F.coalesce(F.sum("ordinary"), F.lit(0))).first()
     if not n_toxic or not n_ordinary:
         return None
-    # signed log-likelihood ratio against the kinds' shares of all contexts,
-    # above what chance gives any of the sample's words
+    # Runs of GRAM_BYTES bytes inside words, by the signed log-likelihood ratio of
+    # their contexts' kinds against the kinds' shares of all contexts; those above
+    # what chance gives any of so many runs mark a word as toxic, so that words
+    # seen once count by what they share with others.
+    grams = counts.select("window", "toxic", "ordinary", F.explode(_grams("window")).alias("gram"))
+    summed = cut(grams.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")))
+    n_grams = summed.count()
     both = F.col("toxic") + F.col("ordinary")
     share = n_toxic / (n_toxic + n_ordinary)
 
@@ -151,9 +172,13 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str, text: str) -> tuple[b
         return F.when(seen > 0, seen * F.log(seen / (both * of))).otherwise(0.0)
 
     ratio = part(F.col("toxic"), share) + part(F.col("ordinary"), 1 - share)
-    hot = (counts.filter((F.col("toxic") > 2) & (F.col("toxic") / n_toxic > 4 * F.col("ordinary") / n_ordinary))
-           .withColumn("ratio", ratio).filter(F.col("ratio") > math.log(max(n_words, 2)) + 3)
-           .orderBy(F.desc("ratio"), "window").limit(TOXIC_WORDS).collect())
+    rarely = F.col("toxic") / n_toxic > RATE * F.col("ordinary") / n_ordinary
+    marks = cut(summed.filter((F.col("toxic") > 2) & rarely).withColumn("ratio", ratio)
+                .filter(F.col("ratio") > math.log(max(n_grams, 2)) + 3)
+                .orderBy(F.desc("ratio"), "gram").limit(TOXIC_WORDS).select("gram"))
+    hot = (grams.filter(rarely & (F.col("toxic") > 0)).join(F.broadcast(marks), "gram")
+           .groupBy("window").agg(F.first("toxic").alias("toxic"))
+           .orderBy(F.desc("toxic"), "window").limit(TOXIC_WORDS).collect())
     if not hot:
         return None
     weight = max(1, sum(r["toxic"] for r in hot) // 100_000)
@@ -162,12 +187,15 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str, text: str) -> tuple[b
     toxic = [b" " + b" ".join(words[i:i + 16]) + b" " for i in range(0, len(words), 16)]
     rows = (sample.filter((F.col("toxic") == 0) & (F.octet_length("text") <= SAMPLE_BYTES))
             .orderBy(F.xxhash64("text"), "text").limit(TOXIC_TEXTS).collect())
-    ordinary = [b" " + b" ".join(windows_of(r["text"].encode())) + b" " for r in rows]
+    # what marks a word as toxic is left out of the ordinary windows
+    marked = {bytes(r["gram"]) for r in marks.collect()}
+    ordinary = [b" " + b" ".join(w for w in windows_of(r["text"].encode())
+                                 if marked.isdisjoint(runs_of(w))) + b" " for r in rows]
     return _dictionary(TOXIC_DICTIONARY, toxic, 16), _dictionary(ORDINARY_DICTIONARY, ordinary, 32)
 
 
 def window_counts(docs: DataFrame, text: str, dictionaries: tuple[bytes, bytes]) -> DataFrame:
-    """``docs`` with ``counts`` in place of ``text``: windows of contrast k and more, k from 1."""
+    """``docs`` with ``counts`` in place of ``text``: all windows, then those of contrast 1 and more, ..."""
     shared = docs.sparkSession.sparkContext.broadcast(dictionaries)
 
     def make():
@@ -177,7 +205,7 @@ def window_counts(docs: DataFrame, text: str, dictionaries: tuple[bytes, bytes])
             rows = []
             for t in texts:
                 by = np.bincount([contrast[w] for w in windows_of(t)], minlength=LEVELS + 1)
-                rows.append(by[::-1].cumsum()[::-1][1:].tolist())
+                rows.append(by[::-1].cumsum()[::-1].tolist())
             return [pa.array(rows, pa.list_(pa.int32()))]
 
         return work
@@ -185,55 +213,62 @@ def window_counts(docs: DataFrame, text: str, dictionaries: tuple[bytes, bytes])
     return append_columns(docs, text, [T.StructField("counts", T.ArrayType(T.IntegerType()), False)], make)
 
 
-def _features(low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    return np.stack([np.ones(len(low)), low, low > 0, high, high > 0], 1).astype(float)
+def evidence(level: Column | int) -> dict[str, Column]:
+    """What a text's score is made of, in few values: windows of contrast ``level`` and of
+    the next one, and the share of the former among all (in doublings of a tenth of a percent)."""
+    low, high = F.element_at("counts", F.lit(level) + 1), F.element_at("counts", F.lit(level) + 2)
+    share = F.try_divide(low * 1000.0, F.element_at("counts", 1))
+    return {"low": F.least(low, F.lit(LOW_CELLS)), "high": F.least(high, F.lit(HIGH_CELLS)),
+            "share": F.floor(F.log2(1 + F.coalesce(share, F.lit(0.0)))).cast("int")}
+
+
+def _features(low: np.ndarray, high: np.ndarray, share: np.ndarray) -> np.ndarray:
+    return np.stack([np.ones(len(low)), low > 0, np.log1p(low), high > 0, np.log1p(high), share], 1).astype(float)
 
 
-def _fit(low, high, toxic, n) -> tuple[np.ndarray, float]:
+def _fit(low, high, share, toxic, n) -> tuple[np.ndarray, float]:
     """Logistic curve over cells with counts ``n`` of which ``toxic``; its log-likelihood."""
-    x, w = _features(low, high), np.zeros(5)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-x @ w))
-        grad = x.T @ (toxic - n * p) - 0.01 * w
-        hess = (x * (n * p * (1 - p))[:, None]).T @ x + 0.01 * np.eye(5)
+    x = _features(low, high, share)
+    w = np.zeros(x.shape[1])
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        grad = x.T @ (toxic - n * p) - RIDGE * w
+        hess = (x * (n * p * (1 - p))[:, None]).T @ x + RIDGE * np.eye(len(w))
         step = np.linalg.solve(hess, grad)
         w += np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-6:
             break
-    p = np.clip(1 / (1 + np.exp(-x @ w)), 1e-9, 1 - 1e-9)
+    p = np.clip(1 / (1 + np.exp(-np.clip(x @ w, -30, 30))), 1e-9, 1 - 1e-9)
     return w, float((toxic * np.log(p) + (n - toxic) * np.log(1 - p)).sum())
 
 
 def calibrate(counted: DataFrame, labels: DataFrame) -> tuple[int, list[float]]:
     """Contrast threshold and curve of most likelihood over all labelled training rows.
 
-    Spark sums the labels over cells of (threshold, counts); the driver gets
-    at most LEVELS * (CELLS + 1)^2 of them.
+    Spark sums the labels over cells of (threshold, evidence), which are all
+    that reaches the driver; their number does not depend on the corpus.
     """
-    at = F.explode(F.sequence(F.lit(1), F.lit(LEVELS - 1)))
-    cell = [F.least(F.element_at("counts", F.col("level") + k), F.lit(CELLS)).alias(name)
-            for k, name in ((0, "low"), (1, "high"))]
-    cells = (counted.select("doc_id", "counts").join(labels, "doc_id")
-             .select("toxic", "counts", at.alias("level")).select("toxic", "level", *cell)
-             .groupBy("level", "low", "high")
+    at = F.explode(F.sequence(F.lit(1), F.lit(LEVELS - 1))).alias("level")
+    cells = (counted.select("doc_id", "counts").join(labels, "doc_id").select("toxic", "counts", at)
+             .withColumns(evidence(F.col("level"))).groupBy("level", "low", "high", "share")
              .agg(F.sum("toxic").alias("toxic"), F.count(F.lit(1)).alias("n")).collect())
     fits = []
     for level in range(1, LEVELS):
         own = [r for r in cells if r["level"] == level]
         if own:
-            w, likelihood = _fit(*(np.array([r[k] for r in own], float) for k in ("low", "high", "toxic", "n")))
+            w, likelihood = _fit(*(np.array([r[k] for r in own], float)
+                                   for k in ("low", "high", "share", "toxic", "n")))
             fits.append((likelihood, -level, w.tolist()))
     if not fits:
-        return 1, [-50.0, 0.0, 0.0, 0.0, 0.0]
+        return 1, [-50.0, 0.0, 0.0, 0.0, 0.0, 0.0]
     _, level, w = max(fits)
     return -level, w
 
 
 def score_column(level: int, w: list[float]) -> Column:
-    low, high = (F.least(F.element_at("counts", level + k), F.lit(CELLS)) for k in (0, 1))
-    z = (w[0] + low * w[1] + F.when(low > 0, w[2]).otherwise(0.0)
-         + high * w[3] + F.when(high > 0, w[4]).otherwise(0.0))
-    return 1 / (1 + F.exp(-z))
+    low, high, share = evidence(level).values()
+    terms = (F.lit(1.0), (low > 0).cast("double"), F.log1p(low), (high > 0).cast("double"), F.log1p(high), share)
+    return 1 / (1 + F.exp(-sum((t * F.lit(v) for t, v in zip(terms, w, strict=True)), F.lit(0.0))))
 
 
 def toxicity(docs: DataFrame, doc_id: str, text: str, labels: DataFrame, row_key: str | None = None,
