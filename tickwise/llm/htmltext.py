@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickwise.llm.common import append_columns, cut, fresh_name
+from tickwise.llm.common import append_columns, fresh_name, written
 from tickwise.llm.urlfilter import host_and_path
 
 # HTML elements by what they do to a page's text.
@@ -50,10 +50,12 @@ CHROME_WORDS = set("ad ads adv advert adverts advertisement advertising sponsor
                    "skip toolbar search login".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
-                   r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
+                   r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)"
+                   r"|</?[a-zA-Z][^>]*(?:>|$)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+")
 DIGITS = re.compile(r"\d+")
+LETTERS = re.compile(r"[^a-z]+")
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -63,9 +65,13 @@ def _attributes(text: str) -> dict[str, str]:
 def _is_chrome(tag: str, attributes: dict[str, str]) -> bool:
     if tag in CHROME or attributes.get("role", "").lower() in CHROME_ROLES or "hidden" in attributes:
         return True
+    if "display:none" in attributes.get("style", "").replace(" ", "").lower():
+        return True
     names = attributes.get("class", "") + " " + attributes.get("id", "")
-    return tag not in ("html", "body", "main", "article") and any(
-        w.lower() in CHROME_WORDS for w in WORDS.findall(names))
+    if tag in ("html", "body", "main", "article") or names == " ":
+        return False
+    return any(w.lower() in CHROME_WORDS for w in WORDS.findall(names)) or any(
+        LETTERS.sub("", n.lower()) in CHROME_WORDS for n in names.split())
 
 
 def parse(page: str) -> tuple[list[tuple[str, tuple[int, ...], int]], list[str]]:
@@ -196,7 +202,7 @@ def extract_text(pages: DataFrame, url: str, html: str, out: str = "text") -> Da
     """``pages`` with the main text of ``html`` in column ``out`` in its place."""
     if out != html and out in pages.columns:
         pages = pages.drop(out)
-    winners = cut(host_paths(pages, url, html))
+    winners = written(host_paths(pages, url, html), "paths")  # with known size
     host, path = (fresh_name(n, pages.columns) for n in ("page_host", "page_path"))
     joined = (pages.withColumn(host, host_and_path(F.col(url))[0])
               .join(winners.select(F.col("host").alias(host), F.col("path").alias(path)), host, "left"))
