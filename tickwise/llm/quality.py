@@ -1,7 +1,7 @@
 """Quality rules (operator 3): a threshold table compiled into one projection.
 
-``METRICS`` names column expressions over a text; ``RULES`` is the table of
-thresholds over ratios of them. ``quality_rules`` turns both into one Spark
+``metrics`` computes counts over a text; ``RULES`` is the table of thresholds
+over their ratios. ``quality_rules`` turns both into one Spark
 projection of built-in functions; nothing is shuffled and no user function runs.
 
 Defined cases: a null text has no words, like an empty one; both fail the base

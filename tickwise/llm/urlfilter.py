@@ -52,8 +52,8 @@ def url_filter(pages: DataFrame, key: str, url: str, rules: DataFrame) -> DataFr
              .agg(F.max("verdict").alias("r_verdict")))  # block over allow
     rules = (rules.withColumn("rule", F.concat("r_host", "r_path"))
              .withColumn("digest", F.sha2("rule", 256)))
-    # one value of a bounded array: path lengths that occur among the rules
-    lengths = rules.agg(F.sort_array(F.collect_set(F.char_length("r_path"))).alias("lengths"))
+    # path lengths that occur among the rules: no more than the longest path has characters
+    lengths = rules.agg(F.sort_array(F.collect_set(F.char_length("r_path")))).first()[0]
 
     host, path = host_and_path(F.col(url))
     rid = fresh_name("row_key", pages.columns)
@@ -62,9 +62,10 @@ def url_filter(pages: DataFrame, key: str, url: str, rules: DataFrame) -> DataFr
     labels = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(
         F.slice(labels, i, F.size(labels)), "."))
-    found = (rows.crossJoin(F.broadcast(lengths))  # a single row
+    found = (rows
              .withColumn("prefixes", F.transform(
-                 F.filter("lengths", lambda n: n <= F.char_length("path")),
+                 F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"),
+                          lambda n: n <= F.char_length("path")),
                  lambda n: F.col("path").substr(F.lit(1), n)))
              .withColumn("suffix", F.explode(suffixes))
              .withColumn("prefix", F.explode_outer("prefixes"))
