@@ -53,6 +53,7 @@ HEAD = "<qqii"
 HEAD_BYTES = struct.calcsize(HEAD)
 STREAM_BYTES = 4 << 20
 PACK_LEVEL = 5
+WRITE_TASKS = 20_000  # at most
 
 MANIFEST = T.StructType([
     T.StructField("shard", T.LongType(), False), T.StructField("file", T.StringType(), False),
@@ -214,7 +215,10 @@ def write_shards(pieces: DataFrame, folder: str, n: int, length: int, shard_slot
                 [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (
                     pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32()), strict=True)], MANIFEST.names)
 
-    placed = pieces.repartition(max(shards, 1), "shard").sortWithinPartitions("shard")
+    # task k writes a range of shards, usually one
+    tasks = max(1, min(shards, WRITE_TASKS))
+    owner = F.floor(F.col("shard") * tasks / max(shards, 1)).cast("int")
+    placed = pieces.repartitionById(tasks, owner).sortWithinPartitions("shard")
     return cut(placed.mapInArrow(run, MANIFEST))
 
 
