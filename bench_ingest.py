@@ -36,6 +36,7 @@ def main() -> None:
     from tickwise.schemas import TICK_FIELDS
     from tickwise.sources import adapters as A
     from tickwise.sources.streams import text_envelope_stream
+    from tickwise.sources.tables import read_ticks
     from tickwise.streaming.ingest import ingest_ticks
 
     ticks = A.ticks(spark, sf_dir).select(*TICK_FIELDS, "seq")
@@ -47,7 +48,7 @@ def main() -> None:
                      os.path.join(run, "ticks"), os.path.join(run, "stream"), available_now=True)
     q.awaitTermination()
     seconds = time.perf_counter() - t0
-    stored = spark.read.parquet(os.path.join(run, "ticks")).count()
+    stored = read_ticks(spark, os.path.join(run, "ticks")).count()
 
     print(json.dumps({"metric": "ingest_ticks_per_second", "value": round(stored / seconds),
                       "unit": "ticks/s", "ticks": stored, "seconds": round(seconds, 3),

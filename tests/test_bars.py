@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import math
 import random
 from decimal import ROUND_HALF_UP, Decimal
 
