@@ -295,7 +295,8 @@ def simhash_components(docs: DataFrame, doc_id: str, text: str, shingle: int = S
     roots = cut(fingerprint_roots(prints, distance=distance))
     lowest = prints.groupBy(F.col("fingerprint").alias("code")).agg(F.min("doc_id").alias("low"))
     members = roots.join(lowest, "code")
-    ids = members.groupBy("root").agg(F.min("low").alias("component_id"))
+    # kept, so that the join deals out both sides and a huge component is split
+    ids = cut(members.groupBy("root").agg(F.min("low").alias("component_id")))
     component = cut(roots.join(ids, "root").select("code", "component_id"))
     return (prints.join(component, prints["fingerprint"] == component["code"])
             .select(F.col("doc_id").alias(doc_id), "fingerprint", "component_id"))
