@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickwise.llm.common import cut, slices, with_row_key, work_dir
+from tickwise.llm.common import cut, slices, with_row_key, work_dir, written
 
 # Fixed values of the seekable format: magic numbers of its skippable frame and footer.
 SKIPPABLE = 0x184D2A5E
@@ -191,11 +191,13 @@ def write_bundles(rows: DataFrame, folder: str, key: str, page_id: str, url: str
     data = rows.select(F.col(key).alias("row_key"), F.col(page_id).cast("long").alias("page_id"),
                        F.col(url).alias("url"), F.coalesce(payload, F.lit("")).alias("payload"))
     data = data.withColumn("digest", F.when(F.octet_length("payload") >= min_bytes, F.sha1("payload")))
-    firsts = (data.filter("digest IS NOT NULL").groupBy("digest")
-              .agg(F.count(F.lit(1)).alias("n"),
-                   F.min(F.struct(F.col("page_id").isNull().alias("late"), "page_id", "row_key")).alias("first"))
-              .filter("n > 1").select("digest", F.col("first.row_key").alias("first_key"),
-                                      F.col("first.page_id").alias("first_page")))
+    # only payloads that repeat; a table of its own, so that the join with the rows
+    # broadcasts it while it is small and else splits a payload that many rows share
+    firsts = written(data.filter("digest IS NOT NULL").groupBy("digest")
+                     .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(
+                         F.col("page_id").isNull().alias("late"), "page_id", "row_key")).alias("first"))
+                     .filter("n > 1").select("digest", F.col("first.row_key").alias("first_key"),
+                                             F.col("first.page_id").alias("first_page")), "firsts")
     data = data.join(firsts, "digest", "left").drop("digest")
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
