@@ -117,6 +117,29 @@ def test_broken_pages(page, want):
     assert htmltext.main_text(page, None) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    # nothing but links, with and without a container that holds no text
+    ("<html><body><a href='/'>Home</a></body></html>", "Home"),
+    ("<body><div class='x'></div><p><a href='/'>Home</a></p><ul><li><a href='/b'>B</a></ul></body>", "Home\nB"),
+    # anchors that are no links, or are never closed, do not spoil what follows
+    ("<body><div>side</div><article><a name=x><p>" + "long text " * 9 + "</p></article></body>", ("long text " * 9).strip()),
+    ("<body><div>side</div><article><p><a href=x>to<p>" + "long text " * 9 + "</article></body>",
+     "to\n" + ("long text " * 9).strip()),
+    ("<body><div>side</div><article><p><a href=x>to</p><p>" + "long text " * 9 + "</p></article></body>",
+     "to\n" + ("long text " * 9).strip())])
+def test_links(page, want):
+    assert htmltext.container_vote(page)
+    assert htmltext.main_text(page, None) == want
+
+
+def test_links_count_where_they_are_open():
+    def linked(page):
+        return [b[2] for b in htmltext.parse(page)[0]]
+    assert linked("<p><a href=x>one</a> two<p>three") == [3, 0]
+    assert linked("<ul><li><a href=x>one<li><a href=y>two</ul><p>three") == [3, 3, 0]
+    assert linked("<a href=x><div>one</div><div>two</div></a><p>three") == [3, 3, 0]
+
+
 def test_extraction_by_consensus(spark):
     # one page of the host has a longer sidebar than article: the host's vote decides
     page = "<body><div class='main'><p>{}</p></div><div class='extra'><p>{}</p></div></body>"

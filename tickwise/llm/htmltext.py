@@ -14,7 +14,8 @@ menu, notice or comment.
 
 Defined cases: null and empty pages, and pages without text, give an empty text;
 a page without a usable URL votes under the empty host; unclosed, unopened and
-wrongly nested tags are tolerated; repeated rows are extracted alike; ties
+wrongly nested tags are tolerated (a link that is never closed links only the
+block it begins in); a page of nothing but links gives its text; repeated rows are extracted alike; ties
 between paths go to the path first in string order.
 """
 
@@ -83,7 +84,8 @@ def parse(page: str) -> tuple[list[tuple[str, tuple[int, ...], int]], list[str]]
     paths: list[str] = [""]
     stack: list[tuple[str, str, bool, tuple[int, ...]]] = [("", "", False, (0,))]
     parts: list[str] = []
-    linked = at = links = 0
+    linked = at = 0
+    link: tuple[int, int] | None = None  # place in the stack and first block of the open link
 
     def flush() -> None:
         nonlocal linked
@@ -98,9 +100,26 @@ def parse(page: str) -> tuple[list[tuple[str, tuple[int, ...], int]], list[str]]
         if raw and not stack[-1][2]:
             text = entities.unescape(raw) if "&" in raw else raw
             parts.append(text)
-            if links:
+            if link:
                 linked += len(text)
 
+    def opened(tag: str) -> int:
+        return next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
+
+    def cut(depth: int, closed: bool = False) -> None:
+        """Close the elements from ``depth`` on; a link among them that no </a> closed ends with its first block."""
+        del stack[depth:]
+        if link and link[0] >= depth:
+            unlink(closed)
+
+    def unlink(closed: bool) -> None:
+        nonlocal link, linked
+        if not closed and len(blocks) > link[1]:
+            linked = 0
+            for i in range(link[1] + 1, len(blocks)):
+                blocks[i] = (*blocks[i][:2], 0, *blocks[i][3:])
+        link = None
+
     end = len(page)
     while at < end:
         m = TOKEN.search(page, at)
@@ -115,11 +134,9 @@ def parse(page: str) -> tuple[list[tuple[str, tuple[int, ...], int]], list[str]]
         if m[1]:
             if tag in BLOCKS:
                 flush()
-            if tag == "a":
-                links = max(0, links - 1)
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
+            depth = opened(tag)
             if depth:
-                del stack[depth:]
+                cut(depth, tag == "a")
             continue
         if tag in RAW:
             close = re.compile(f"</{re.escape(tag)}(?:[\\s/][^>]*)?(?:>|$)", re.I).search(page, at)
@@ -132,12 +149,14 @@ def parse(page: str) -> tuple[list[tuple[str, tuple[int, ...], int]], list[str]]
             flush()
         if tag in VOID:
             continue
-        if tag == "a":
-            links += 1
+        if tag == "a" and (depth := opened("a")):  # links do not nest
+            if link:
+                unlink(False)
+            del stack[depth]
         # a paragraph ends where another block begins, an item where the next one does
         if tag in BLOCKS:
             while stack[-1][0] == "p" or stack[-1][0] == tag == "li":
-                stack.pop()
+                cut(len(stack) - 1)
         attributes = _attributes(m[3])
         name, path, hidden, around = stack[-1]
         if tag in CONTAINERS:
@@ -146,8 +165,11 @@ def parse(page: str) -> tuple[list[tuple[str, tuple[int, ...], int]], list[str]]
             paths.append(path)
             around = (*around, len(paths) - 1)
         if not m[3].endswith("/") or tag in BLOCKS:
+            if tag == "a" and "href" in attributes:
+                link = (len(stack), len(blocks))
             stack.append((tag, path, hidden or _is_chrome(tag, attributes), around))
     flush()
+    cut(1)
     return blocks, paths
 
 
@@ -155,14 +177,17 @@ def best_container(blocks, paths) -> int:
     """The number of the container with the most unlinked text for its size.
 
     Among containers that hold nearly all of the best score the innermost wins,
-    so that a page's body does not beat the article that holds its text.
+    so that a page's body does not beat the article that holds its text. Where no
+    container has more text than links, all text is taken as main text.
     """
-    score = [0.0] * len(paths)
+    score: dict[int, float] = {}  # of the containers that hold a block
     for text, around, linked in blocks:
         for c in around:
-            score[c] += len(text) - 1.5 * linked
-    top = max(score)
-    return max(c for c, s in enumerate(score) if s >= 0.9 * top)
+            score[c] = score.get(c, 0.0) + len(text) - 1.5 * linked
+    top = max(score.values())
+    if top <= 0:
+        return max(c for c in score if all(c in around for _, around, _ in blocks))
+    return max(c for c, s in score.items() if s >= 0.9 * top)
 
 
 def container_vote(page: str) -> str | None:
