@@ -140,6 +140,25 @@ def test_links_count_where_they_are_open():
     assert linked("<a href=x><div>one</div><div>two</div></a><p>three") == [3, 3, 0]
 
 
+BODY = "long text " * 50
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<article><h1>Title</h1><div class=body><p>{}</div><p>Closing</p></article>", "Title\n{}\nClosing"),
+    ("<article><section class=lead>Lead</section><section class=body><p>{}</section></article>", "Lead\n{}"),
+    ("<div class=post><div class=lead>Lead</div><div class=body><p>{}</div></div><div>side</div>", "Lead\n{}"),
+    ("<p>Own text of the body</p><div class=body><p>{}</div>", "Own text of the body\n{}"),
+    # links alone do not widen it
+    ("<div class=page><ul><li><a href=x>Home</a></ul><div class=body><p>{}</div></div>", "{}")])
+def test_nothing_around_the_best_container_is_lost(page, want):
+    page, want = f"<body>{page.format(BODY)}</body>", want.format(BODY.strip())
+    assert htmltext.main_text(page, None) == want
+    assert htmltext.main_text(page, htmltext.container_vote(page)) == want
+    # nor where the host's other pages have no text around it
+    inner = [p for p in htmltext.parse(page)[1] if p.endswith(".body")][0]
+    assert htmltext.main_text(page, inner) == want
+
+
 def test_extraction_by_consensus(spark):
     # one page of the host has a longer sidebar than article: the host's vote decides
     page = "<body><div class='main'><p>{}</p></div><div class='extra'><p>{}</p></div></body>"

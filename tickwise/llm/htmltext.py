@@ -5,7 +5,9 @@ text that a container holds, less the text inside links. Each page casts a vote
 for the generalised path of its best container (tags and classes, digits
 replaced), and Spark adds up the votes of each host. Pass two extracts every
 page again from the winning container of its host, or, where the page has none
-of that path, from its own best one. Votes carry a page's share, so a host's
+of that path, from its own best one; either is widened to the lowest container
+that leaves no main text beside it. Boxes directly in the body are told apart by
+the votes alone. Votes carry a page's share, so a host's
 winner is the path that holds the most text over most pages.
 
 What never counts as main text: navigation, headers, footers, sidebars, forms,
@@ -23,6 +25,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -56,6 +59,7 @@ TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$
 ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+")
 DIGITS = re.compile(r"\d+")
+BODY = re.compile(r"^$|/body(\.[^/]*)?$")
 LETTERS = re.compile(r"[^a-z]+")
 
 
@@ -177,8 +181,9 @@ def best_container(blocks, paths) -> int:
     """The number of the container with the most unlinked text for its size.
 
     Among containers that hold nearly all of the best score the innermost wins,
-    so that a page's body does not beat the article that holds its text. Where no
-    container has more text than links, all text is taken as main text.
+    so that a page's body does not beat the article that holds its text; ``whole``
+    then adds what the article holds around it. Where no container has more text
+    than links, all text is taken as main text.
     """
     score: dict[int, float] = {}  # of the containers that hold a block
     for text, around, linked in blocks:
@@ -187,7 +192,30 @@ def best_container(blocks, paths) -> int:
     top = max(score.values())
     if top <= 0:
         return max(c for c in score if all(c in around for _, around, _ in blocks))
-    return max(c for c, s in score.items() if s >= 0.9 * top)
+    return whole({max(c for c, s in score.items() if s >= 0.9 * top)}, blocks, paths).pop()
+
+
+def whole(chosen, blocks, paths) -> set[int]:
+    """The containers ``chosen``, each widened until no main text of its surroundings is left out.
+
+    Main text is a block with more text than links. Boxes directly in the body
+    compete with each other, so a body is taken only for text of its own.
+    """
+    held, own, above = Counter(), Counter(), {}
+    for text, around, linked in blocks:
+        for i, c in enumerate(around):
+            if c in chosen:
+                above[c] = around[:i]
+        if len(text) > 1.5 * linked:
+            held.update(around)
+            own[around[-1]] += 1
+    out = set()
+    for c, outer in above.items():
+        for a in reversed(outer):
+            if own[a] if BODY.search(paths[a]) else held[a] > held[c]:
+                c = a
+        out.add(c)
+    return out
 
 
 def container_vote(page: str) -> str | None:
@@ -197,16 +225,14 @@ def container_vote(page: str) -> str | None:
 
 
 def main_text(page: str, path: str | None) -> str:
-    """The text in containers of ``path``, or in the page's best one if it has none."""
+    """The text in and around containers of ``path``, or in the page's best one if it has none."""
     blocks, paths = parse(page)
     if not blocks:
         return ""
-    chosen = {c for c, p in enumerate(paths) if p == path}
-    picked = [text for text, around, _ in blocks if chosen.intersection(around)]
-    if not picked:
-        best = best_container(blocks, paths)
-        picked = [text for text, around, _ in blocks if best in around]
-    return "\n".join(picked)
+    chosen = whole({c for c, p in enumerate(paths) if p == path}, blocks, paths)
+    if not chosen:
+        chosen = {best_container(blocks, paths)}
+    return "\n".join(text for text, around, _ in blocks if chosen.intersection(around))
 
 
 def host_paths(pages: DataFrame, url: str, html: str) -> DataFrame:
