@@ -159,6 +159,34 @@ def test_nothing_around_the_best_container_is_lost(page, want):
     assert htmltext.main_text(page, inner) == want
 
 
+@pytest.mark.parametrize("part, want", [
+    ("<figure><img src=x><figcaption>Figure 1</figcaption></figure>", "Figure 1"),
+    ("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p>", "so x=1 holds"),
+    ("<section id='discussion'><p>Discussed</p></section>", "Discussed"),
+    ("<h2 id='related-work'>Related work</h2>", "Related work"),
+    ("<h2 class='section-header'>Part</h2><h3 class=header>Sub</h3>", "Part\nSub"),
+    ("<div class='search-results-study'><div><p>Found</p></div></div>", "Found"),
+    ("<p>a <span class='search-term'>word</span></p>", "a word"),
+    # named furniture stays out
+    ("<section class='comments'><p>nice</p></section><div class='ad-box'>Buy</div><div id=shareButtons>x</div>", None),
+    ("<div class=search-study><p>Found</p><div class=ad>Buy</div></div>", "Found")])
+@pytest.mark.parametrize("tag", ["article", "div class=post"])
+def test_content_of_an_article_is_no_furniture(tag, part, want):
+    page = f"<body><{tag}><p>{BODY}</p>{part}<p>End</p></{tag.split()[0]}></body>"
+    want = "\n".join(t for t in (BODY.strip(), want, "End") if t)
+    assert htmltext.main_text(page, None) == want
+    assert htmltext.main_text(page, htmltext.container_vote(page)) == want
+
+
+def test_parts_of_names_are_furniture_outside_the_article():
+    page = ("<body>{}<div class='page-header-x'><p>Site</p></div><div class=post><p>" + BODY
+            + "</p></div><section id=comments><p>nice</p></section></body>")
+    assert htmltext.main_text(page.format(""), None) == BODY.strip()
+    assert htmltext.main_text(page.format("<p>Intro</p>"), None) == "Intro\n" + BODY.strip()
+    # unless the page has nothing else
+    assert htmltext.main_text("<div class='search-results-study'><p>Found</p></div>", None) == "Found"
+
+
 def test_extraction_by_consensus(spark):
     # one page of the host has a longer sidebar than article: the host's vote decides
     page = "<body><div class='main'><p>{}</p></div><div class='extra'><p>{}</p></div></body>"

@@ -11,8 +11,10 @@ the votes alone. Votes carry a page's share, so a host's
 winner is the path that holds the most text over most pages.
 
 What never counts as main text: navigation, headers, footers, sidebars, forms,
-scripts and styles by tag or role, and elements whose class or id says advert,
-menu, notice or comment.
+scripts and styles by tag or role, and elements whose class or id is a name for
+adverts, menus, notices or comments. A block with such a word only as a part of its
+name (search-results-study), or a section with such an id, counts as furniture
+outside the container chosen and directly in a body; headings never do by name.
 
 Defined cases: null and empty pages, and pages without text, give an empty text;
 a page without a usable URL votes under the empty host; unclosed, unopened and
@@ -37,9 +39,9 @@ from tickwise.llm.urlfilter import host_and_path
 
 # HTML elements by what they do to a page's text.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style noscript template textarea title svg math iframe object canvas".split())
+RAW = set("script style noscript template textarea title svg iframe object canvas".split())
 CHROME = set("nav header footer aside form menu dialog button select option label fieldset "
-             "figcaption audio video map head".split())
+             "audio video map head".split())
 BLOCKS = set("address article aside blockquote body center dd details dialog dir div dl dt fieldset "
              "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav "
              "ol p pre section summary table tbody td tfoot th thead tr ul".split())
@@ -53,6 +55,11 @@ CHROME_WORDS = set("ad ads adv advert adverts advertisement advertising sponsor
                    "disqus respond share sharing social related recommended pagination pager "
                    "skip toolbar search login".split())
 
+# Words that say nothing against a name of furniture, as in ad-box or share_buttons.
+NEUTRAL_WORDS = set("box block container wrapper wrap inner outer list links link buttons button bar icons "
+                    "slot unit area top bottom left right site posts articles stories".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
                    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)"
                    r"|</?[a-zA-Z][^>]*(?:>|$)", re.S)
@@ -67,26 +74,39 @@ def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(text)} if "=" in text else {}
 
 
-def _is_chrome(tag: str, attributes: dict[str, str]) -> bool:
+def _is_chrome(tag: str, attributes: dict[str, str]) -> int:
+    """2 for furniture, 1 for a block that is furniture outside an article only, else 0."""
     if tag in CHROME or attributes.get("role", "").lower() in CHROME_ROLES or "hidden" in attributes:
-        return True
+        return 2
     if "display:none" in attributes.get("style", "").replace(" ", "").lower():
-        return True
-    names = attributes.get("class", "") + " " + attributes.get("id", "")
-    if tag in ("html", "body", "main", "article") or names == " ":
-        return False
-    return any(w.lower() in CHROME_WORDS for w in WORDS.findall(names)) or any(
-        LETTERS.sub("", n.lower()) in CHROME_WORDS for n in names.split())
+        return 2
+    classes, ident = attributes.get("class", ""), attributes.get("id", "")
+    if tag in ("html", "body", "main", "article") or tag in HEADINGS or not (classes or ident):
+        return 0
+    # the id of a section is most often a title of its own
+    if any(map(_is_furniture, classes.split())) or tag != "section" and _is_furniture(ident):
+        return 2
+    words = WORDS.findall(f"{classes} {ident}")
+    return int(tag in BLOCKS and any(w.lower() in CHROME_WORDS for w in words))
+
+
+def _is_furniture(name: str) -> bool:
+    """Whether a class or id is a word of furniture, or several with nothing but neutral ones."""
+    words = {w.lower() for w in WORDS.findall(name)}
+    return LETTERS.sub("", name.lower()) in CHROME_WORDS or (
+        not words.isdisjoint(CHROME_WORDS) and words <= CHROME_WORDS | NEUTRAL_WORDS)
 
 
-def parse(page: str) -> tuple[list[tuple[str, tuple[int, ...], int]], list[str]]:
+def parse(page: str) -> tuple[list[tuple[str, tuple[int, ...], int, int]], list[str]]:
     """Blocks of main text in page order, and the generalised path of every container.
 
-    A block is (text, containers around it by number, characters of it in links).
+    A block is (text, containers around it by number, characters of it in links,
+    how many of the containers hold all of the possible furniture it is in, or 0).
     """
-    blocks: list[tuple[str, tuple[int, ...], int]] = []
+    blocks: list[tuple[str, tuple[int, ...], int, int]] = []
     paths: list[str] = [""]
-    stack: list[tuple[str, str, bool, tuple[int, ...]]] = [("", "", False, (0,))]
+    # tag, path, whether hidden, containers, how many of them hold the possible furniture
+    stack: list[tuple[str, str, bool, tuple[int, ...], int]] = [("", "", False, (0,), 0)]
     parts: list[str] = []
     linked = at = 0
     link: tuple[int, int] | None = None  # place in the stack and first block of the open link
@@ -95,7 +115,7 @@ def parse(page: str) -> tuple[list[tuple[str, tuple[int, ...], int]], list[str]]
         nonlocal linked
         if parts:
             if text := " ".join("".join(parts).split()):
-                blocks.append((text, stack[-1][3], min(linked, len(text))))
+                blocks.append((text, stack[-1][3], min(linked, len(text)), stack[-1][4]))
             parts.clear()
         linked = 0
 
@@ -162,7 +182,12 @@ def parse(page: str) -> tuple[list[tuple[str, tuple[int, ...], int]], list[str]]
             while stack[-1][0] == "p" or stack[-1][0] == tag == "li":
                 cut(len(stack) - 1)
         attributes = _attributes(m[3])
-        name, path, hidden, around = stack[-1]
+        _, path, hidden, around, doubt = stack[-1]
+        chrome = _is_chrome(tag, attributes)
+        if tag == "main":
+            doubt = 0
+        elif chrome == 1 and not doubt:
+            doubt = len(around)
         if tag in CONTAINERS:
             names = ".".join(sorted(DIGITS.sub("#", attributes.get("class", "")).split()))
             path = f"{path}/{tag}" + (f".{names}" if names else "")
@@ -171,7 +196,7 @@ def parse(page: str) -> tuple[list[tuple[str, tuple[int, ...], int]], list[str]]
         if not m[3].endswith("/") or tag in BLOCKS:
             if tag == "a" and "href" in attributes:
                 link = (len(stack), len(blocks))
-            stack.append((tag, path, hidden or _is_chrome(tag, attributes), around))
+            stack.append((tag, path, hidden or chrome == 2, around, doubt))
     flush()
     cut(1)
     return blocks, paths
@@ -185,13 +210,14 @@ def best_container(blocks, paths) -> int:
     then adds what the article holds around it. Where no container has more text
     than links, all text is taken as main text.
     """
+    plain = [b for b in blocks if not b[3]] or blocks
     score: dict[int, float] = {}  # of the containers that hold a block
-    for text, around, linked in blocks:
+    for text, around, linked, _ in plain:
         for c in around:
             score[c] = score.get(c, 0.0) + len(text) - 1.5 * linked
     top = max(score.values())
     if top <= 0:
-        return max(c for c in score if all(c in around for _, around, _ in blocks))
+        return max(c for c in score if all(c in b[1] for b in plain))
     return whole({max(c for c, s in score.items() if s >= 0.9 * top)}, blocks, paths).pop()
 
 
@@ -202,7 +228,7 @@ def whole(chosen, blocks, paths) -> set[int]:
     compete with each other, so a body is taken only for text of its own.
     """
     held, own, above = Counter(), Counter(), {}
-    for text, around, linked in blocks:
+    for text, around, linked, _ in [b for b in blocks if not b[3]] or blocks:
         for i, c in enumerate(around):
             if c in chosen:
                 above[c] = around[:i]
@@ -232,7 +258,10 @@ def main_text(page: str, path: str | None) -> str:
     chosen = whole({c for c, p in enumerate(paths) if p == path}, blocks, paths)
     if not chosen:
         chosen = {best_container(blocks, paths)}
-    return "\n".join(text for text, around, _ in blocks if chosen.intersection(around))
+    articles = {c for c in chosen if not BODY.search(paths[c])}
+    doubtful = all(b[3] for b in blocks)  # a page with nothing else
+    return "\n".join(text for text, around, _, doubt in blocks if (
+        articles.intersection(around[:doubt]) if doubt and not doubtful else chosen.intersection(around)))
 
 
 def host_paths(pages: DataFrame, url: str, html: str) -> DataFrame:
