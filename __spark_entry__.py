@@ -20,7 +20,7 @@ from tickwise.operators import checks as C
 from tickwise.operators import reports as R
 from tickwise.operators.bars import daily_bars
 from tickwise.operators.decode import decode_ticks, parse_envelopes
-from tickwise.operators.encode import encode_snapshots
+from tickwise.operators.encode import RECORD_TICKS, encode_snapshots
 from tickwise.operators.snapshot import last_updated, market_snapshot
 from tickwise.operators.ticks import (
     closing_ticks, session_scan, session_ticks, tick_rejects, unknown_symbols,
@@ -114,14 +114,15 @@ def q_ingested_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ticks as envelopes in text files, ingested by the streaming query and read from the store."""
     t, _ = _dims(spark, sf_dir)
     source, store = _scratch(spark, "envelopes"), _scratch(spark, "store")
-    encode_snapshots(t).select("value").write.text(source)
+    # the source reads a file as one text
+    encode_snapshots(t, max_ticks=RECORD_TICKS).select("value").write.option("maxRecordsPerFile", 64).text(source)
     ingest_ticks(text_envelope_stream(spark, source), store, _scratch(spark, "ingest"),
                  available_now=True).awaitTermination()
     return read_ticks(spark, store).select(*TICK_FIELDS, "trade_date")
 
 
 def q_envelope_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records and ticks of every poll."""
+    """Records and ticks of every poll; each is one record, so it must fit a value of 2 GB."""
     t, _ = _dims(spark, sf_dir)
     records = parse_envelopes(encode_snapshots(t))
     return records.groupBy(F.col("envelope_timestamp").alias("timestamp")).agg(
@@ -243,7 +244,7 @@ def q_check_foreign_key(spark, sf_dir):
 
 def q_envelope_roundtrip(spark, sf_dir):
     t, _ = _dims(spark, sf_dir)
-    return decode_ticks(encode_snapshots(t))
+    return decode_ticks(encode_snapshots(t, max_ticks=RECORD_TICKS))
 
 
 def q_preview(spark, sf_dir):

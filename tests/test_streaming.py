@@ -250,3 +250,18 @@ def test_kafka_source_and_sink_options(spark, monkeypatch):
     kafka_sink("b:9092", acks="all")(spark.createDataFrame([("[]",)], "value string"), 0)
     assert sent == {"format": "kafka", "kafka.bootstrap.servers": "b:9092", "topic": "stock-market-producer",
                     "acks": "all", "saved": True}
+
+
+def test_an_hour_of_more_ticks_than_an_envelope_has_positions(spark, scratch):
+    import __spark_entry__ as entry
+    from tickwise.functions.order import POSITION_LIMIT
+    n = POSITION_LIMIT + 5000
+    for name in ("supplier", "nation", "region"):
+        spark.read.parquet(f"{SF001}/{name}.parquet").write.parquet(f"{scratch}/{name}.parquet")
+    events = spark.read.parquet(f"{SF001}/events.parquet")
+    made = {"event_id": F.col("id"), "user_id": F.col("id") % 3, "value": F.lit(1.0), "props": F.lit('{"k": 1}'),
+            "ts": F.lit("2024-01-02 10:30:00")}
+    spark.range(n).select(*[made.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in events.schema]
+                          ).write.parquet(f"{scratch}/events.parquet")
+    for query in (entry.q_ingested_ticks, entry.q_envelope_roundtrip):
+        assert query(spark, scratch).groupBy("timestamp").count().collect() == [("2024-01-02 10:00:00", n)]
