@@ -80,7 +80,7 @@ def _scratch(spark: SparkSession, name: str) -> str:
 
 
 def q_upsert_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bars of the first half of the ticks, then a re-run of the recent trade dates over all ticks.
+    """Bars of the whole history, then a re-run of the recent trade dates.
 
     The first run takes a session from ``EARLY_OPEN``, so that its highs and lows
     differ from the re-run's. Both go through the sink; the result is what the
@@ -88,8 +88,7 @@ def q_upsert_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     t, c = _dims(spark, sf_dir)
     path = _scratch(spark, "prices")
-    half = t.agg((F.max("seq") / 2).cast("long")).first()[0]
-    upsert_bars(spark, daily_bars(t.filter(F.col("seq") <= half), c, EARLY_OPEN), path)
+    upsert_bars(spark, daily_bars(t, c, EARLY_OPEN), path)
     rerun = daily_bars(t.filter(F.col("trade_date") >= F.lit(RERUN_FROM).cast("date")), c)
     upsert_bars(spark, rerun, path, c)
     return read_prices(spark, path)

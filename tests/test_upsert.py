@@ -8,10 +8,14 @@ from decimal import Decimal
 
 import pytest
 
-from tests.conftest import plan_text
+from pyspark.sql import functions as F
+
+from tests.conftest import SF001, plan_text
+from tickwise.operators.bars import daily_bars
 from tickwise.operators.checks import ConstraintViolation
 from tickwise.schemas import PRICES_SCHEMA
 from tickwise.sinks.prices import merge_bars, upsert_bars
+from tickwise.sources import adapters as A
 from tickwise.sources.tables import read_prices
 
 D1, D2, D3 = dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 1, 3)
@@ -123,3 +127,18 @@ def test_upsert_refuses_bars_that_break_the_constraints(spark, scratch):
         with pytest.raises(ConstraintViolation):
             upsert_bars(spark, bars, path, **kw)
     assert not os.path.exists(path)
+
+
+def test_first_load_takes_ticks_whose_numbers_do_not_follow_time(spark, tmp_path):
+    import __spark_entry__ as entry
+    for name in ("supplier", "nation", "region"):
+        spark.read.parquet(f"{SF001}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    events = spark.read.parquet(f"{SF001}/events.parquet")
+    last = events.agg(F.max("event_id")).first()[0]
+    backward = (F.lit(last) - F.col("event_id")).cast(events.schema["event_id"].dataType)
+    events.withColumn("event_id", backward).write.parquet(f"{tmp_path}/events.parquet")
+    first = F.col("date") < entry.RERUN_FROM
+    got = entry.q_upsert_bars(spark, str(tmp_path)).filter(first).select("company_id", "date")
+    want = daily_bars(A.ticks(spark, str(tmp_path)), A.companies(spark, str(tmp_path)), entry.EARLY_OPEN
+                      ).filter(first).select("company_id", "date")
+    assert want.count() > 0 and want.exceptAll(got).count() == 0 and got.exceptAll(want).count() == 0
