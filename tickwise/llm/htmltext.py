@@ -7,8 +7,10 @@ replaced), and Spark adds up the votes of each host. Pass two extracts every
 page again from the winning container of its host, or, where the page has none
 of that path, from its own best one; either is widened to the lowest container
 that leaves no main text beside it. Boxes directly in the body are told apart by
-the votes alone. Votes carry a page's share, so a host's
-winner is the path that holds the most text over most pages.
+the votes alone. A page has one
+vote, so a host's winner is the path that is best on most of its pages; a page that
+has little text on that path still takes it, its other boxes being taken for what
+the host puts beside its articles.
 
 What never counts as main text: navigation, headers, footers, sidebars, forms,
 scripts and styles by tag or role, and elements whose class or id is a name for
