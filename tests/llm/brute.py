@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import xxhash
@@ -128,3 +131,66 @@ def bpe(rows):
         out.append((d, len(ids), hashlib.sha256(raw).hexdigest(),
                     hashlib.sha256(t.decode(ids, skip_special_tokens=False).encode()).hexdigest()))
     return out
+
+
+def rebuilt(rows):
+    """conv -> [(role, text)] of each (conv, turn, role, text): openings shared within a hundred ids."""
+    by = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            by[c].append((turn is not None, turn or 0, role or "", text or ""))
+    turns = {c: [x[2:] for x in sorted(v)] for c, v in by.items()}
+    out = {}
+    for c, own in turns.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        out[c] = turns.get(c - int(math.fmod(c, 100)), [])[:h] + own[h:]
+    return out
+
+
+def trie(convs):
+    """(conv_id, depth, parent, n_convs, n_children, n_leaves, saved_tokens, ends) of every node of conv -> turns."""
+    members = defaultdict(list)
+    for c, turns in convs.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+    kids = Counter(k[:-1] for k in members if k)
+    leaves, saved = Counter(), Counter()
+    for k, m in members.items():
+        for d in range(len(k) + 1):
+            leaves[k[:d]] += not kids[k]
+            saved[k[:d]] += (len(m) - 1) * len(k[-1][1]) if k else 0
+    return sorted((min(m), len(k), min(members[k[:-1]]) if k else None, len(m), kids[k], leaves[k], saved[k],
+                   hashlib.sha256(",".join(str(c) for c in sorted(m) if len(convs[c]) == len(k)).encode()).hexdigest())
+                  for k, m in members.items())
+
+
+def filter_audit(docs, labels):
+    """Every row of the audit, from (doc_id, text, lang) and (doc_id, quality, toxic)."""
+    first, flags = {}, []
+    for d, t, _ in docs:
+        if d is not None:
+            first[t or ""] = min(d, first.get(t or "", d))
+    for d, t, part in docs:
+        t = t or ""
+        w = re.findall(r"[^\x20\x09-\x0D]+", t)
+        flags.append((part or "", {
+            "A": len(w) < 200, "B": 100 * len(set(w)) < 50 * len(w),
+            "C": 100 * len(re.findall("[A-Z]", t)) > 3 * len(t), "D": bool(re.search(r"[#$%&*|]", t)),
+            "E": d is not None and first[t] < d},
+            any(x == d and q == 1 for x, q, _ in labels if d is not None),
+            any(x == d and v == 1 for x, _, v in labels if d is not None)))
+    out = []
+    for part in {p for p, *_ in flags}:
+        rows, total, one = [f for f in flags if f[0] == part], Counter(), []
+        for order in itertools.permutations("ABCDE"):
+            left = rows
+            for step, x in enumerate(order):
+                fails = [r for r in left if r[1][x]]
+                left = [r for r in left if not r[1][x]]
+                total[x] += len(fails)
+                one.append((part, "".join(order), step + 1, len(left), len(fails),
+                            sum(r[1][x] for r in rows) - len(fails),
+                            sum(r[1][x] and sum(r[1].values()) == 1 for r in rows),
+                            sum(r[2] for r in fails), sum(r[3] for r in fails)))
+        out += [(*r, total[r[1][r[2] - 1]]) for r in one]
+    return sorted(out)

@@ -55,5 +55,5 @@ def empty_dir(spark, tmp_path_factory):
     """All tables without rows."""
     folder = str(tmp_path_factory.mktemp("empty"))
     tables = {t: spark.read.parquet(f"{SF001}/{t}.parquet").limit(0)
-              for t in ("documents", "benchmark", "labels", "pages")}
+              for t in ("documents", "benchmark", "labels", "pages", "conversations")}
     return write(spark, folder, **tables)

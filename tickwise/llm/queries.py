@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm import bpe, decontaminate, htmltext, linededup, quality, shards, simhash, toxicity, urlfilter, warc
+from tickwise.llm import (
+    bpe, convtrie, decontaminate, filteraudit, htmltext, langid, linededup, quality, shards, simhash, toxicity,
+    urlfilter, warc,
+)
 from tickwise.llm.common import with_row_key
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -88,6 +91,26 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_chars", F.char_length("text").cast("long"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = convtrie.ordered_turns(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+    conv = F.col("conv")
+    shared = F.crc32(conv.cast("string").cast("binary")) % 6
+    return convtrie.trie_nodes(*convtrie.with_shared_openings(turns, conv - conv % 100, shared, most=5))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filteraudit.filter_audit(table(spark, sf_dir, "documents"), "doc_id", "text", "lang",
+                                    table(spark, sf_dir, "labels"))
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, key = with_row_key(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), "doc_id")
+    third = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    model = langid.fit(docs.filter(third != 1), key, "text", "lang")
+    asked = docs.select("doc_id", F.coalesce(third == 1, F.lit(False)).alias("held_out"), "text")
+    return langid.identify(asked, "text", model)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
@@ -99,6 +122,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_shards": op8_shards,
     "op9_bpe": op9_bpe,
     "op10_html_text": op10_html_text,
+    "op11_conversation_trie": op11_conversation_trie,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_language_id": op13_language_id,
 }
 
 # ------------------------------------------------------------------ DuckDB SQL
@@ -186,4 +212,80 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)"""
 
-ORACLES: dict[str, str] = {"op6_decontaminate": _OP6, "op3_quality_rules": _OP3, "op4_warc": _OP4, "op5_url_filter": _OP5}
+# CRC-32 of the decimal id, from its definition: eight steps for every byte.
+_OP11 = """
+WITH RECURSIVE t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT c, list({'role': role, 'text': text} ORDER BY p) AS turns FROM t GROUP BY c),
+crc AS (
+  SELECT c, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, length(c::VARCHAR) + 1),
+             lambda i: ascii(substr(c::VARCHAR, i::INT, 1))::BIGINT)),
+           lambda acc, b: list_reduce(list_concat([xor(acc, b)], range(8)),
+             lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::BIGINT) ELSE v >> 1 END)),
+         4294967295::BIGINT) % 6 AS h
+  FROM o),
+s AS (
+  SELECT o.c, list_concat(coalesce(b.turns[1:h], []), o.turns[h + 1:]) AS turns
+  FROM o JOIN crc USING (c) LEFT JOIN o b ON b.c = o.c - o.c % 100),
+m AS (SELECT c, len(turns) AS len, turns, unnest(range(len(turns) + 1)) AS d FROM s),
+n AS (
+  SELECT min(c) AS conv_id, d, turns[1:d] AS seq, count(*) AS n,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE len = d), '')) AS ends,
+         (count(*) - 1) * coalesce(length(any_value(turns[d].text)), 0) AS w
+  FROM m GROUP BY ALL),
+k AS (SELECT d - 1 AS d, seq[1:d - 1] AS seq, count(*) AS kids FROM n WHERE d > 0 GROUP BY ALL),
+f AS (SELECT n.*, coalesce(kids, 0) AS kids FROM n LEFT JOIN k USING (d, seq)),
+a AS (SELECT kids, w, seq[1:e] AS seq, e FROM (SELECT *, unnest(range(d + 1)) AS e FROM f)),
+sub AS (SELECT seq, sum(w) AS saved, count(*) FILTER (WHERE kids = 0) AS leaves FROM a GROUP BY ALL)
+SELECT f.conv_id, f.d AS depth, p.conv_id AS parent_conv_id, f.n AS n_convs, f.kids AS n_children,
+       sub.leaves AS n_leaves, sub.saved::BIGINT AS saved_tokens, f.ends AS ends_sha256
+FROM f JOIN sub USING (seq) LEFT JOIN f p ON p.d = f.d - 1 AND p.seq = f.seq[1:f.d - 1]"""
+
+_OP12 = """
+WITH w AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+         min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first
+  FROM documents),
+l AS (SELECT doc_id, max(coalesce(quality = 1, false)) AS good, max(coalesce(toxic = 1, false)) AS toxic
+      FROM labels GROUP BY doc_id),
+x AS (
+  SELECT part, [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+                100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 3 * length(t),
+                regexp_matches(t, '[#$%&*|]'), coalesce(doc_id > first, false)] AS f,
+         coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+  FROM w LEFT JOIN l USING (doc_id)),
+g AS (
+  SELECT part, f, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+  FROM x GROUP BY ALL),
+o AS (
+  SELECT a || b || c || d || e AS filter_order
+  FROM (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS a), (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS b),
+       (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c), (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS d),
+       (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS e)
+  WHERE len(list_distinct([a, b, c, d, e])) = 5),
+y AS (
+  SELECT part, filter_order, step, n, good, toxic, filter,
+         f[ascii(filter) - 64] AS fails,
+         len(list_filter(range(1, step), lambda i: f[ascii(substr(filter_order, i::INT, 1)) - 64])) > 0 AS gone,
+         len(list_filter(f, lambda z: z)) AS n_fails
+  FROM g, (SELECT *, substr(filter_order, step::INT, 1) AS filter FROM (SELECT *, unnest(range(1, 6)) AS step FROM o))),
+z AS (
+  SELECT part, filter_order, step, filter,
+         coalesce(sum(n) FILTER (WHERE NOT gone AND NOT fails), 0) AS kept,
+         coalesce(sum(n) FILTER (WHERE NOT gone AND fails), 0) AS removed,
+         coalesce(sum(n) FILTER (WHERE gone AND fails), 0) AS redundant,
+         coalesce(sum(n) FILTER (WHERE fails AND n_fails = 1), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (WHERE NOT gone AND fails), 0) AS good_lost,
+         coalesce(sum(toxic) FILTER (WHERE NOT gone AND fails), 0) AS toxic_lost
+  FROM y GROUP BY ALL)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+       redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+       toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, filter))::BIGINT AS shapley
+FROM z"""
+
+ORACLES: dict[str, str] = {
+    "op3_quality_rules": _OP3, "op4_warc": _OP4, "op5_url_filter": _OP5, "op6_decontaminate": _OP6,
+    "op11_conversation_trie": _OP11, "op12_filter_audit": _OP12}
