@@ -172,8 +172,95 @@ def test_same_source_through_a_new_checkpoint_has_the_same_order_keys(spark, scr
     _ingest(spark, src, store, os.path.join(scratch, "c1"))
     once = sorted(r.seq for r in read_ticks(spark, store).collect())
     _ingest(spark, src, store, os.path.join(scratch, "c2"), max_files_per_trigger=1)
-    both = sorted(r.seq for r in read_ticks(spark, store).collect())
-    assert len(set(once)) == 6 and both == sorted(once * 2)
+    assert len(set(once)) == 6 and sorted(r.seq for r in read_ticks(spark, store).collect()) == once
+    # so does it after a compaction that has removed what it merged; what is new comes in
+    assert compact_ticks(spark, store) and compact_ticks(spark, store, grace_seconds=0) is None
+    _write_lines(f"{src}/9.txt", _envelope(("AAAA", "2024-01-02 18:00:00", 9.0)))
+    _ingest(spark, src, store, os.path.join(scratch, "c3"))
+    again = sorted(r.seq for r in read_ticks(spark, store).collect())
+    assert len(again) == 7 and set(again) > set(once)
+
+
+def test_batch_that_died_before_its_ledger_entry_is_not_read_and_not_covered(spark, scratch):
+    import shutil
+    src, store, ckpt = (os.path.join(scratch, x) for x in ("in", "ticks", "c1"))
+    for k in range(3):
+        _write_lines(f"{src}/{k}.txt", _envelope(("AAAA", "2024-01-02 18:00:00", float(k))))
+    _ingest(spark, src, store, ckpt, max_files_per_trigger=1)
+    (writer,) = {r.writer for r in read_ticks(spark, store).select("writer").distinct().collect()}
+    shutil.rmtree(f"{store}/ledger/batches/writer={writer}/batch_id=1")
+    assert read_ticks(spark, store).count() == 2
+    _ingest(spark, src, store, os.path.join(scratch, "c2"))  # another checkpoint makes up for it
+    assert sorted(r.current_price for r in read_ticks(spark, store).collect()) == [0.0, 1.0, 2.0]
+
+
+def test_ranges_merge_and_gaps_stay_open(spark):
+    from tickwise.sinks.ledger import drop_covered, merge_ranges
+    rows = [("t", 0, 0, 4), ("t", 0, 3, 6), ("t", 0, 7, 9), ("t", 0, 11, 11), ("t", 1, 0, 0), ("u", 0, 5, 5), ("t", 0, 1, 2)]
+    merged = merge_ranges(spark.createDataFrame(rows, "source string, partition int, first long, last long"))
+    assert sorted(map(tuple, merged.select("source", "partition", "first", "last").collect())) == [
+        ("t", 0, 0, 9), ("t", 0, 11, 11), ("t", 1, 0, 0), ("u", 0, 5, 5)]
+    records = spark.createDataFrame([("t", p, o) for p in (0, 1) for o in range(13)], "topic string, partition int, offset long")
+    left = drop_covered(records, merged)
+    assert sorted((r.partition, r.offset) for r in left.collect()) == [(0, 10), (0, 12)] + [(1, o) for o in range(1, 13)]
+
+
+def _files_read(df):
+    return len(df.select(F.input_file_name().alias("f")).distinct().filter("f <> ''").collect())
+
+
+def test_compaction_shrinks_what_is_read(spark, scratch):
+    src, store, ckpt = (os.path.join(scratch, x) for x in ("in", "ticks", "ckpt"))
+    for k in range(6):
+        _write_lines(f"{src}/{k}.txt", *[_envelope((f"S{s}", f"2024-01-0{1 + k % 2} 18:00:00", float(k))) for s in range(20)])
+    _ingest(spark, src, store, ckpt, max_files_per_trigger=1)
+    rows = sorted(map(str, read_ticks(spark, store).collect()))
+    listed = lambda: sum(f.endswith(".parquet") and "ledger" not in d and "merged" not in d and "log" not in d
+                         for d, _, fs in os.walk(store) for f in fs)
+    landed = listed()
+    compact_ticks(spark, store)
+    compact_ticks(spark, store, grace_seconds=0)  # removes the landing folders
+    assert listed() < landed and not os.listdir(f"{store}/merged") and sorted(map(str, read_ticks(spark, store).collect())) == rows
+    # a date's files hold ranges of symbols in order
+    for r in (spark.read.parquet(f"{store}/compacted").select(F.input_file_name().alias("f"), "symbol", "trade_date")
+              .groupBy("trade_date", "f").agg(F.min("symbol").alias("a"), F.max("symbol").alias("b")).groupBy("trade_date")
+              .agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("spans")).collect()):
+        assert all(x.b <= y.a for x, y in zip(r.spans, r.spans[1:]))
+
+
+def _latest_prices(spark, latest):
+    return {r.symbol: r.current_price for r in read_latest(spark, latest).collect()}
+
+
+@pytest.mark.parametrize("stateful", [True, False])
+def test_latest_table_survives_new_checkpoints(spark, scratch, stateful):
+    from tickwise.streaming.latest import keep_latest
+    src, latest = os.path.join(scratch, "in"), os.path.join(scratch, "latest")
+
+    def run(n):
+        ckpt = os.path.join(scratch, f"c{n}")
+        stream = text_envelope_stream(spark, src, max_files_per_trigger=1)
+        q = (keep_latest(stream, latest, ckpt, available_now=True) if stateful else
+             ingest_ticks(stream, os.path.join(scratch, f"store{n}"), ckpt, available_now=True, latest_path=latest))
+        q.awaitTermination(180)
+
+    def write(k, *quotes):
+        _write_lines(f"{src}/{k:02d}.txt", _envelope(*quotes))
+        os.utime(f"{src}/{k:02d}.txt", (1_700_000_000 + k, 1_700_000_000 + k))
+
+    for k in range(10):
+        write(k, ("AAAA", "2024-01-02 09:00:00", float(k)), (f"Q{k}", "2024-01-02 09:00:00", 1.0))
+    run(1)
+    assert _latest_prices(spark, latest) == {"AAAA": 9.0, **{f"Q{k}": 1.0 for k in range(10)}}
+    # a new checkpoint reads everything again: at no time does the table go back
+    versions = set(os.listdir(latest))
+    write(10, ("AAAA", "2024-01-02 09:00:01", 10.0))
+    run(2)
+    assert _latest_prices(spark, latest)["AAAA"] == 10.0 and len(_latest_prices(spark, latest)) == 11
+    assert len(set(os.listdir(latest)) - versions) == 1  # only the new tick made a version
+    write(11, ("AAAA", "2024-01-02 09:00:02", 11.0), (None, "2024-01-02 09:00:02", 1.0))
+    run(2)  # the same checkpoint goes on
+    assert _latest_prices(spark, latest)["AAAA"] == 11.0
 
 
 def test_compaction_keeps_every_tick_once(spark, scratch):

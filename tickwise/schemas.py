@@ -44,12 +44,22 @@ LANDING_SCHEMA = T.StructType(TICK_STORE_SCHEMA.fields + [
     T.StructField("batch_id", T.LongType(), True),
 ])
 
-# One row for each batch that a compaction run has merged.
-LOG_SCHEMA = T.StructType([
+# In the landed files also: the place of the tick's record in its source.
+PLACE_FIELDS = [
+    T.StructField("source", T.StringType(), True),
+    T.StructField("partition", T.IntegerType(), True),
+    T.StructField("offset", T.LongType(), True),
+]
+
+# One row for each finished compaction run, and the batches that it has merged.
+RUN_SCHEMA = T.StructType([
     T.StructField("run", T.StringType(), True),
-    T.StructField("trade_date", T.DateType(), True),
+    T.StructField("finished", T.TimestampType(), True),
+])
+MERGED_SCHEMA = T.StructType([
     T.StructField("writer", T.StringType(), True),
     T.StructField("batch_id", T.LongType(), True),
+    T.StructField("run", T.StringType(), True),
 ])
 
 PRICE_TYPE = T.DecimalType(10, 2)

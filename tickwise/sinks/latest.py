@@ -1,22 +1,26 @@
-"""The latest tick of every symbol, kept as a small versioned table.
+"""The latest tick of every symbol, kept as a small versioned table (MKT-1, JOB-3).
 
-Version N is what is latest after micro-batch N. A batch reads the newest
-version below its own and writes its own folder, so a re-run batch gives the same
-version again; readers take the newest finished one. The table has one row per
-symbol, so a poll of it costs the number of listings, not the history. One
-query writes to it.
+A version holds one row per symbol: the tick of highest ``seq`` among the version before
+and the new ticks. ``seq`` is the record's place in its source, so versions are
+ordered by what they hold, not by the batch numbers of whichever query writes: a
+query restarted on a new checkpoint goes on from the newest version, ticks that
+are read again change nothing, and a re-run batch is harmless. A version is read
+when its job has finished. One query writes to the table at a time.
+
+A poll costs the number of listings, not the history.
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickwise.functions.display import present
 from tickwise.schemas import SEQ_TYPE
+from tickwise.sinks.files import child_names, finished_versions, remove
 
 VALUES = ("open", "current_price", "percent_change", "volume", "ts")
 LATEST_SCHEMA = T.StructType([
@@ -26,39 +30,40 @@ LATEST_SCHEMA = T.StructType([
 KEPT_VERSIONS = 8
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    """Finished versions, oldest first (at most a few folders)."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
-    names = [s.getPath() for s in fs.listStatus(root)]
-    done = [p for p in names if p.getName().startswith("version=")
-            and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-    return sorted(int(p.getName().split("=")[1]) for p in done)
-
-
 def _read(spark: SparkSession, path: str, version: int) -> DataFrame:
     return spark.read.schema(LATEST_SCHEMA).parquet(os.path.join(path, f"version={version}"))
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
     """The newest version; empty before the first batch."""
-    versions = _versions(spark, path)
+    versions = finished_versions(spark, path)
     return _read(spark, path, versions[-1]) if versions else spark.createDataFrame([], LATEST_SCHEMA)
 
 
-def update_latest(ticks: DataFrame, path: str, batch_id: int) -> None:
-    """Write version ``batch_id``: the latest tick per symbol of the version before and ``ticks``."""
-    spark = ticks.sparkSession
-    versions = _versions(spark, path)
-    before = [v for v in versions if v < batch_id]
-    old = _read(spark, path, before[-1]) if before else spark.createDataFrame([], LATEST_SCHEMA)
-    new = ticks.filter(F.col("symbol").isNotNull()).select(
-        "symbol", *[present(c).alias(c) for c in VALUES[:-1]], "ts", "seq")
-    merged = (old.unionByName(new).groupBy("symbol")
-              .agg(*[F.max_by(c, "seq").alias(c) for c in VALUES], F.max("seq").alias("seq")))
-    merged.coalesce(1).write.mode("overwrite").parquet(os.path.join(path, f"version={batch_id}"))
-    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+def newest_values() -> list[Column]:
+    """The aggregates of the newest tick of a group, on numbers and times only."""
+    return [*[F.max_by(c, "seq").alias(c) for c in VALUES], F.max("seq").alias("seq")]
+
+
+def quoted(ticks: DataFrame) -> DataFrame:
+    """What the table holds of a tick; ticks without a symbol are left out, NaN is a missing number."""
+    return ticks.filter(F.col("symbol").isNotNull()).select(
+        "symbol", *[present(c).alias(c) for c in VALUES[:-1]], "ts", F.col("seq").cast(SEQ_TYPE).alias("seq"))
+
+
+def update_latest(new: DataFrame, path: str) -> bool:
+    """Add a version with the ticks ``new`` (columns of the table); False if they change nothing."""
+    spark = new.sparkSession
+    versions = finished_versions(spark, path)
+    old = read_latest(spark, path)
+    newest = new.groupBy("symbol").agg(*newest_values()).checkpoint()
+    known = old.select("symbol", F.col("seq").alias("known"))
+    later = newest.join(known, "symbol", "left").filter("known IS NULL OR seq > known")
+    if later.isEmpty():
+        return False
+    merged = old.unionByName(newest).groupBy("symbol").agg(*newest_values())
+    number = max([int(n.split("=")[1]) for n in child_names(spark, path) if n.startswith("version=")], default=-1) + 1
+    merged.coalesce(1).write.mode("overwrite").parquet(os.path.join(path, f"version={number}"))
     for v in versions[:-KEPT_VERSIONS]:  # long superseded
-        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(os.path.join(path, f"version={v}")), True)
+        remove(spark, os.path.join(path, f"version={v}"))
+    return True

@@ -37,18 +37,21 @@ def text_envelope_stream(spark: SparkSession, path: str, max_files_per_trigger:
     """Envelopes as text lines in files under ``path``.
 
     A file is read as one text, so that its lines can be numbered; the files
-    of this stand-in are small.
+    of this stand-in are small. ``source`` is the file's path: the ledger tells files
+    apart by it, while two files of one modification time may share ``seq`` numbers,
+    as these hold a path as one of PARTITION_LIMIT numbers.
     """
     reader = spark.readStream.format("text").option("wholetext", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     files = reader.load(path).select(
-        "value", F.col("_metadata.file_modification_time").alias("timestamp"),
+        "value", F.col("_metadata.file_path").alias("source"),
+        F.col("_metadata.file_modification_time").alias("timestamp"),
         F.pmod(F.xxhash64("_metadata.file_path"), F.lit(PARTITION_LIMIT)).cast("int").alias("partition"))
-    lines = files.select("timestamp", "partition",
+    lines = files.select("source", "timestamp", "partition",
                          F.posexplode(F.split("value", "\n")).alias("offset", "value"))
     return lines.filter(F.length("value") > 0).select(
-        "value", "timestamp", "partition", F.col("offset").cast("long").alias("offset"))
+        "value", "source", "timestamp", "partition", F.col("offset").cast("long").alias("offset"))
 
 
 def clock_stream(spark: SparkSession, rows_per_second: int = DEFAULT_CLOCK_ROWS_PER_SECOND

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickwise.schemas import LANDING_SCHEMA, LOG_SCHEMA, PRICES_SCHEMA, TABLES
-from tickwise.sinks.ticks import landed_batches, read_or_empty
+from tickwise.schemas import LANDING_SCHEMA, PRICES_SCHEMA, TABLES
+from tickwise.sinks.files import read_or_empty
+from tickwise.sinks.ticks import finished_runs, landed_batches
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
@@ -36,7 +37,7 @@ def read_ticks(spark: SparkSession, path: str, start_date: str | None = None,
     """SRC-3: scan the tick store (layout: ``sinks.ticks``); a trade-date range prunes partitions."""
     compacted = read_or_empty(spark, os.path.join(path, "compacted"),
                               T.StructType([*LANDING_SCHEMA.fields, T.StructField("run", T.StringType())]))
-    runs = read_or_empty(spark, os.path.join(path, "log"), LOG_SCHEMA).select("run").distinct()
+    runs = finished_runs(spark, path).select("run").distinct()
     df = (compacted.join(runs, "run", "left_semi").select(*LANDING_SCHEMA.names)
           .unionByName(landed_batches(spark, path)))
     if start_date is not None:

@@ -1,14 +1,17 @@
 """JOB-2: envelope stream -> decoded ticks -> tick store (STR-1..3, SNK-2/5, FLT-7, AGG-7).
 
-A checkpointed micro-batch query; each batch is decoded and written with an
+A checkpointed micro-batch query. A batch first leaves out the records that the
+store's ledger covers, so each tick is stored once even if a source is read again
+through a new checkpoint (``sinks.ledger``); the rest is decoded and written with an
 idempotent overwrite of its own folders (``sinks.ticks``), so a restart on the
-same checkpoint neither loses nor duplicates ticks, and several queries can
-write to one store. A failing batch fails the query (the error is not
-swallowed). With ``startingOffsets=earliest`` the source replays from the start
+same checkpoint neither loses nor duplicates ticks, and several queries over
+different sources can write to one store. A failing batch fails the query (the error
+is not swallowed). With ``startingOffsets=earliest`` the source replays from the start
 only on the first run; afterwards the checkpoint rules.
 
-AGG-7: the counts of each batch (envelopes, malformed ones, ticks) are taken
-during the write and logged; ``metrics`` may name a list or bounded deque.
+AGG-7: the counts of each batch (envelopes, malformed ones, ticks; all without
+covered records) are taken during the write and logged; ``metrics`` may name a
+list or bounded deque.
 """
 
 from __future__ import annotations
@@ -21,8 +24,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickwise.operators.decode import decode_envelopes
 from tickwise.session import stream_checkpoint
-from tickwise.sinks.latest import update_latest
-from tickwise.sinks.ticks import with_ingest_columns, write_tick_batch, writer_id
+from tickwise.sinks.latest import quoted, update_latest
+from tickwise.sinks.ledger import covered, drop_covered
+from tickwise.sinks.ticks import read_batch, write_tick_batch, writer_id
 
 log = logging.getLogger(__name__)
 
@@ -40,14 +44,15 @@ def make_batch_writer(ticks_path: str, checkpoint: str, value_col: str = "value"
         # envelopes) writes nothing -- the dynamic overwrite touches no
         # partition -- so no separate emptiness job (a second read of the
         # batch from the source) is run before the write.
+        spark = batch.sparkSession
         if not own:
-            own.append(writer_id(batch.sparkSession, checkpoint))
+            own.append(writer_id(spark, checkpoint))
         obs = Observation(f"envelopes_{batch_id}")
-        ticks = decode_envelopes(batch, value_col, observation=obs)
-        write_tick_batch(ticks, batch_id, ticks_path, own[0])
+        fresh = drop_covered(batch, covered(spark, ticks_path, own[0], batch_id))
+        write_tick_batch(decode_envelopes(fresh, value_col, observation=obs), batch_id, ticks_path, own[0])
         if latest_path is not None:
-            update_latest(with_ingest_columns(decode_envelopes(batch, value_col), batch_id, own[0]),
-                          latest_path, batch_id)
+            # from the batch's own files: the source is not read again
+            update_latest(quoted(read_batch(spark, ticks_path, own[0], batch_id)), latest_path)
         counted.append({"batch_id": batch_id, **obs.get})
         log.info("batch %s: %s", batch_id, obs.get)
     return write_batch
@@ -61,7 +66,8 @@ def ingest_ticks(source: DataFrame, ticks_path: str, checkpoint: str | None = No
 
     ``source`` is a stream with a ``value`` column and the order columns
     (``sources.streams``). With ``latest_path`` the table of latest ticks that
-    the publisher polls is kept up to date (one query per such table).
+    the publisher polls is kept up to date from the landed batches (one query per such
+    table; ``streaming.latest.keep_latest`` does so from the source alone).
     """
     location = checkpoint or stream_checkpoint(source.sparkSession, query_name)
     writer = (source.writeStream
