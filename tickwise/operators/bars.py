@@ -48,7 +48,12 @@ def daily_bars(ticks: DataFrame, companies: DataFrame,
                open_time: str = DEFAULT_OPEN_TIME,
                close_time: str = DEFAULT_CLOSE_TIME) -> DataFrame:
     """Bars ``(company_id, date, open, high, low, close, volume)``."""
-    agg = session_aggregates(ticks, open_time, close_time).filter(F.col("mark_seq").isNotNull())
+    return bars_of(session_aggregates(ticks, open_time, close_time), companies)
+
+
+def bars_of(aggregates: DataFrame, companies: DataFrame) -> DataFrame:
+    """The bars of ``session_aggregates`` rows: those with a closing mark and a listed symbol."""
+    agg = aggregates.filter(F.col("mark_seq").isNotNull())
     bars = lookup(agg, company_keys(companies), "symbol", "inner")
     return bars.select(
         "company_id", "date",

@@ -2,28 +2,24 @@
 
 ``prices`` is a Parquet table partitioned by ``date``. An upsert touches only
 the dates present in the new bars: existing rows of those dates whose key is
-not re-delivered are kept, re-delivered keys are replaced, and the touched
-date partitions are swapped by one dynamic-overwrite job. The merged rows are
-first checkpointed to the shared checkpoint folder, so the write never
-re-reads files it is replacing, and a lost executor recomputes from the
-checkpoint.
+not re-delivered are kept, re-delivered keys are replaced. The merged rows are
+first checkpointed to the shared checkpoint folder, so a lost executor recomputes
+from the checkpoint.
 
-What is atomic: the job writes to a staging folder and moves finished date
-folders in at commit, so a failure before commit changes nothing. The folders
-are moved one after another; a driver lost during that step leaves some dates
-new and some old (each whole). Running the upsert again completes it.
+An upsert becomes visible as a whole: the rows of its dates are written beside
+the old ones, and one manifest switches all dates at once (``sinks.dated``). A job
+that dies at any point before leaves the old table.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tickwise.operators.checks import ConstraintViolation, check_primary_key, require_valid
-from tickwise.operators.joins import sized_broadcast
 from tickwise.schemas import BAR_KEY, BAR_VALUE_COLUMNS, PRICES_SCHEMA
 from tickwise.session import checkpoint_root
+from tickwise.sinks.dated import publish_dates, touched_rows
 
 
 def merge_bars(existing: DataFrame, new: DataFrame) -> DataFrame:
@@ -44,15 +40,6 @@ def merge_bars(existing: DataFrame, new: DataFrame) -> DataFrame:
     return merged.select(*cols)
 
 
-def _existing_prices(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(PRICES_SCHEMA).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":  # anything else must not pass for "no table yet"
-            raise
-        return None
-
-
 def upsert_bars(spark: SparkSession, bars: DataFrame, prices_path: str,
                 companies: DataFrame | None = None) -> DataFrame:
     """Write ``bars`` into the prices table at ``prices_path``; returns the merged rows.
@@ -61,26 +48,13 @@ def upsert_bars(spark: SparkSession, bars: DataFrame, prices_path: str,
     given, reference listed companies; else nothing is written.
     """
     checkpoint_root(spark)
-    cols = [f.name for f in PRICES_SCHEMA.fields]
     new = bars.select(*[F.col(f.name).cast(f.dataType) for f in PRICES_SCHEMA.fields])
     new = new.checkpoint(eager=True)  # computed once, reused for dates, keys and rows
     if companies is not None:
         require_valid("prices", new, {"companies": companies})
     elif not check_primary_key(new, list(BAR_KEY)).isEmpty():
         raise ConstraintViolation("prices: primary_key")
-    existing = _existing_prices(spark, prices_path)
-    if existing is not None:
-        touched = new.select("date").distinct()
-        # semi join on the partition column: dynamic partition pruning reads
-        # only the touched dates of the existing table
-        existing = existing.join(sized_broadcast(touched), "date", "left_semi")
-        merged = merge_bars(existing, new).checkpoint(eager=True)
-    else:
-        merged = new
-    # a rebalance gathers a date's rows but splits a large date into several files
-    (merged.select(*cols).hint("rebalance", "date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date")
-        .parquet(prices_path))
+    existing = touched_rows(spark, prices_path, PRICES_SCHEMA, new.select("date").distinct())
+    merged = new if existing is None else merge_bars(existing, new).checkpoint(eager=True)
+    publish_dates(spark, merged, prices_path, PRICES_SCHEMA)
     return merged

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickwise.schemas import LANDING_SCHEMA, PRICES_SCHEMA, TABLES
+from tickwise.sinks.dated import read_dated
 from tickwise.sinks.files import read_or_empty
 from tickwise.sinks.ticks import finished_runs, landed_batches
 
@@ -48,7 +49,9 @@ def read_ticks(spark: SparkSession, path: str, start_date: str | None = None,
 
 
 def read_prices(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(PRICES_SCHEMA).parquet(path)
+    """The prices table as the last finished upsert left it; empty if there was none."""
+    prices = read_dated(spark, path, PRICES_SCHEMA)
+    return prices if prices is not None else spark.createDataFrame([], PRICES_SCHEMA)
 
 
 def preview(df: DataFrame, n: int = 1, order: str = "seq") -> DataFrame:
