@@ -4,9 +4,12 @@ A rule is a host and a path, written ``host/path``. It fits a URL of that host
 or a subdomain of it whose path starts with the rule's path; the longest
 fitting rule wins, and of equal ones ``block`` wins over ``allow``. A URL is
 expanded into one expression for each of its host suffixes and each path length
-that occurs among the rules; expressions and rules meet in an equi-join on the
-first four bytes of a SHA-256, after which the whole digest and the expression
-are compared. Everything is built from DataFrame functions.
+that occurs among the rules. Rules are grouped by the first four bytes of their
+SHA-256. An expression meets the rules of its prefix, and these alone are confirmed
+by whole digest, expression and host. Everything is built from DataFrame functions.
+
+The prefix table has one row per prefix with its rules and is broadcast where its
+checked size allows. The join has the prefix as its one key.
 
 Defined cases: a null URL or one without ``://`` has an empty host and path and
 fits no rule; a URL that fits no rule gets the default verdict; a rule with a
@@ -21,9 +24,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwise.llm.common import fresh_name
+from tickwise.operators.joins import sized_broadcast
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 DEFAULT_VERDICT = "allow"
+PREFIX_DIGITS = 8  # hexadecimal digits of four bytes
 RULES_SCHEMA = "host string, path string, verdict string"
 
 
@@ -71,15 +76,15 @@ def url_filter(pages: DataFrame, key: str, url: str, rules: DataFrame) -> DataFr
              .withColumn("prefix", F.explode_outer("prefixes"))
              .withColumn("expression", F.concat("suffix", "prefix"))
              .withColumn("digest", F.sha2("expression", 256)))
-    best = F.max(F.when(F.col("r.rule").isNotNull(), F.struct(
-        F.char_length("r.rule").alias("n"), F.col("r.r_verdict").alias("verdict"),
-        F.col("r.rule").alias("rule"))))
-    joined = found.alias("f").join(
-        rules.alias("r"),
-        (F.substring("f.digest", 1, 8) == F.substring("r.digest", 1, 8))
-        & (F.col("f.digest") == F.col("r.digest"))
-        & (F.col("f.expression") == F.col("r.rule")) & (F.col("f.suffix") == F.col("r.r_host")),
-        "left")
-    return (joined.groupBy(f"f.{rid}", "k", "host", "path").agg(best.alias("best"))
+    found = found.withColumn("prefix_key", F.substring("digest", 1, PREFIX_DIGITS))
+    # the rules of a prefix stand in one row: as many as share four bytes of a digest
+    buckets = rules.groupBy(F.substring("digest", 1, PREFIX_DIGITS).alias("prefix_key")).agg(
+        F.collect_list(F.struct("digest", "rule", "r_host", "r_verdict")).alias("rules"))
+    met = found.join(sized_broadcast(buckets), "prefix_key", "left")
+    fits = F.filter("rules", lambda r: (r["digest"] == F.col("digest")) & (r["rule"] == F.col("expression"))
+                    & (r["r_host"] == F.col("suffix")))
+    own = F.array_max(F.transform(fits, lambda r: F.struct(
+        F.char_length(r["rule"]).alias("n"), r["r_verdict"].alias("verdict"), r["rule"].alias("rule"))))
+    return (met.select("*", own.alias("own")).groupBy(rid, "k", "host", "path").agg(F.max("own").alias("best"))
             .select(F.col("k").alias(key), "host", "path", F.col("best.rule").alias("rule"),
                     F.coalesce("best.verdict", F.lit(DEFAULT_VERDICT)).alias("verdict")))
