@@ -5,7 +5,7 @@ the driver (its size is bounded by the vocabulary) and broadcast as text. Every
 task builds one ``Tokenizer`` from it and encodes whole texts: special tokens
 are cut out, the rest is normalised and split into words, and the pieces of a
 word are merged with a segment tree over the ranks of adjacent pairs. Words
-recur, so their ids are kept in memos of bounded size.
+recur, so the ids of short ones are kept in memos of bounded size.
 
 Defined cases: a null text counts as empty; an empty text has no ids and
 decodes to the empty string; rows are independent, so repeated rows and ties
@@ -30,8 +30,10 @@ from tickwise.llm.common import append_columns
 WHITE_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 NOT_SPACES = "\x1c\x1d\x1e\x1f"
 
-# Entries of each of a task's memos, which are emptied when full.
+# Bounds of each of a task's memos, which are emptied when full: entries, and bytes of
+# an entry, beyond which a word or chunk is not kept.
 MEMO_WORDS = 400_000
+MEMO_BYTES = 64
 
 # A leaf without a mergeable pair.
 NONE = 1 << 62
@@ -138,17 +140,19 @@ class Tokenizer:
         raw = word.encode("utf-8")
         symbols = [self.first[b] for b in raw[:-1]] + [self.last[raw[-1]]]
         ids = np.array(merge_pairs(symbols, self.ranks, self.merged), "<u4").tobytes()
-        if len(self.by_word) >= MEMO_WORDS:
-            self.by_word.clear()
-        self.by_word[word] = ids
+        if len(raw) <= MEMO_BYTES:
+            if len(self.by_word) >= MEMO_WORDS:
+                self.by_word.clear()
+            self.by_word[word] = ids
         return ids
 
     def chunk(self, chunk: str) -> bytes:
         known = self.by_word.get
         ids = b"".join([known(w) or self.word(w) for w in self.words.findall(chunk)])
-        if len(self.by_chunk) >= MEMO_WORDS:
-            self.by_chunk.clear()
-        self.by_chunk[chunk] = ids
+        if len(chunk) <= MEMO_BYTES:
+            if len(self.by_chunk) >= MEMO_WORDS:
+                self.by_chunk.clear()
+            self.by_chunk[chunk] = ids
         return ids
 
     def encode(self, text: str) -> bytes:

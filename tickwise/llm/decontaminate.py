@@ -38,6 +38,7 @@ from tickwise.llm.common import append_columns, cut, slices, utf8, written
 
 WINDOW_WORDS = 10
 SHINGLE_WORDS = 3
+MEMO_BYTES = 64
 MEMO_WORDS = 400_000
 VOCABULARY_WORDS = 200_000
 PIECE_BYTES = 1 << 20
@@ -57,12 +58,14 @@ def word_hash(word: bytes) -> int:
 
 
 class WordHashes(dict):
-    """Hashes of all words; emptied when full."""
+    """Hashes of words; short ones are kept, and the memo is emptied when full."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        value = self[word] = word_hash(word)
+        value = word_hash(word)
+        if len(word) <= MEMO_BYTES:
+            if len(self) >= MEMO_WORDS:
+                self.clear()
+            self[word] = value
         return value
 
 
