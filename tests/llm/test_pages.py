@@ -200,3 +200,68 @@ def test_extraction_by_consensus(spark):
 def test_extraction_of_odd_rows(spark, pages_dir):
     rows = queries.op10_html_text(spark, pages_dir).collect()
     assert len(rows) == len(PAGES) and all(r.n_chars == len(r.text) for r in rows)
+
+
+def test_deep_nesting_takes_linear_memory():
+    import tracemalloc
+    page = "<div>" * 100_000 + "deep text"
+    tracemalloc.start()
+    assert htmltext.main_text(page, None) == "deep text"
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6
+    # so do closing tags that close nothing
+    assert htmltext.main_text("<b>" * 20_000 + "</i>" * 20_000 + "x", None) == "x"
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<div hidden>gone</div><p>stays</p>", "stays"), ("<div hidden=''>gone</div><p>stays</p>", "stays"),
+    ("<script data-x=it's>var x = 1;</script><p>text</p>", "text"),
+    ("<p title='a>b' lang=\"x>y\">in</p>", "in"), ("<p data-note=5\">in</p>", "in"),
+    ("<p x='never closed>in</p>", "in")])
+def test_odd_attributes(page, want):
+    assert htmltext.main_text(page, None) == want
+
+
+def test_an_article_keeps_its_header_and_topics():
+    body = f"<p>{BODY}</p>"
+    head = f"<article><header><h1>Title</h1><p>Lead</p></header><div class=body>{body}</div></article>"
+    for page in (head, f"<body><header><p>Site</p></header>{head}</body>"):
+        for path in (None, htmltext.container_vote(page)):
+            assert htmltext.main_text(page, path) == f"Title\nLead\n{BODY.strip()}"
+    for part in ("<div class='sharing'><p>About sharing</p></div>", "<p class='search'>About sharing</p>",
+                 "<table id='search'><tr><td>About sharing</table>"):
+        assert htmltext.main_text(f"<article>{body}{part}</article>", None) == f"{BODY.strip()}\nAbout sharing"
+    # but a box of links of that name is furniture, and so is one outside the article
+    links = "<div class='related'><ul><li><a href=x>More</a><li><a href=y>Even more</a></ul></div>"
+    assert htmltext.main_text(f"<article>{body}{links}</article>", None) == BODY.strip()
+    assert htmltext.main_text(f"<article>{body}</article><div class=related><p>Read on</p></div>", None) == BODY.strip()
+
+
+@pytest.mark.parametrize("layout", [
+    "<html><body><nav><a href=/>Home</a></nav><main><article>{}</article></main><footer>f</footer></body></html>",
+    "<body><div id=wrap><div class='ad'>Buy</div><div class='post p-{n}'>{}</div><aside><p>side</p></aside></div></body>",
+    "<table><tr><td><ul><li><a href=a>a</a></ul><td class=content>{}</table>",
+    "<article><header><h1>{first}</h1></header><section>{rest}</section></article>"])
+def test_known_texts_come_back_from_any_layout(layout):
+    import html
+
+    import duckdb
+
+    from tests.conftest import SF001
+    texts = duckdb.sql(f"SELECT text FROM '{SF001}/documents.parquet' WHERE length(text) BETWEEN 300 AND 5000").fetchall()
+    for n, (text,) in enumerate(texts[:60]):
+        want = [x for line in text.split("\n") if (x := " ".join(line.split()))]
+        blocks = [f"<p>{html.escape(x)}</p>" for x in want]
+        page = layout.format("\n".join(blocks), n=n, first=html.escape(want[0]), rest="\n".join(blocks[1:]))
+        for path in (None, htmltext.container_vote(page)):
+            assert htmltext.main_text(page, path) == "\n".join(want)
+
+
+def test_url_expressions_and_rules_join_on_the_hash_prefix_alone(spark):
+    import re
+
+    from tests.conftest import SF001, plan_text
+    txt = plan_text(queries.op5_url_filter(spark, SF001))
+    keys = re.findall(r"(?:Left|Right) keys \[(\d+)\]: (.*)", txt)
+    assert keys and all(n == "1" and "prefix_key" in k for n, k in keys)

@@ -17,6 +17,12 @@ scripts and styles by tag or role, and elements whose class or id is a name for
 adverts, menus, notices or comments. A block with such a word only as a part of its
 name (search-results-study), or a section with such an id, counts as furniture
 outside the container chosen and directly in a body; headings never do by name.
+Inside an article or main element, a header is the article's own, and a name that
+may as well be a topic (sharing, search, related) makes furniture only of a block that
+is more links than text.
+
+Memory is linear in the page: a container knows its parent, a path is built for a
+winner only, and other containers are told from it by a digest of their path.
 
 Defined cases: null and empty pages, and pages without text, give an empty text;
 a page without a usable URL votes under the empty host; unclosed, unopened and
@@ -32,6 +38,7 @@ import re
 from collections import Counter
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,25 +67,30 @@ CHROME_WORDS = set("ad ads adv advert adverts advertisement advertising sponsor
 # Words that say nothing against a name of furniture, as in ad-box or share_buttons.
 NEUTRAL_WORDS = set("box block container wrapper wrap inner outer list links link buttons button bar icons "
                     "slot unit area top bottom left right site posts articles stories".split())
+# Words of furniture that are topics of articles as well.
+TOPICS = set("search share sharing social related recommended discussion header respond login overlay skip".split())
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 
+# a quote begins a value only after an equals sign; elsewhere it is a character like others
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
-                   r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)"
-                   r"|</?[a-zA-Z][^>]*(?:>|$)", re.S)
-ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+                   r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]+|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*)(?:>|$)", re.S)
+ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+")
 DIGITS = re.compile(r"\d+")
-BODY = re.compile(r"^$|/body(\.[^/]*)?$")
 LETTERS = re.compile(r"[^a-z]+")
 
 
 def _attributes(text: str) -> dict[str, str]:
-    return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(text)} if "=" in text else {}
+    if "=" not in text and "hidden" not in text.lower():
+        return {}
+    return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(text)}
 
 
-def _is_chrome(tag: str, attributes: dict[str, str]) -> int:
+def _is_chrome(tag: str, attributes: dict[str, str], article: bool) -> int:
     """2 for furniture, 1 for a block that is furniture outside an article only, else 0."""
-    if tag in CHROME or attributes.get("role", "").lower() in CHROME_ROLES or "hidden" in attributes:
+    if tag in CHROME and not (article and tag == "header"):
+        return 2
+    if attributes.get("role", "").lower() in CHROME_ROLES or "hidden" in attributes:
         return 2
     if "display:none" in attributes.get("style", "").replace(" ", "").lower():
         return 2
@@ -86,7 +98,8 @@ def _is_chrome(tag: str, attributes: dict[str, str]) -> int:
     if tag in ("html", "body", "main", "article") or tag in HEADINGS or not (classes or ident):
         return 0
     # the id of a section is most often a title of its own
-    if any(map(_is_furniture, classes.split())) or tag != "section" and _is_furniture(ident):
+    names = classes.split() + ([ident] if tag != "section" else [])
+    if any(_is_furniture(n) and not (article and n.lower() in TOPICS) for n in names):
         return 2
     words = WORDS.findall(f"{classes} {ident}")
     return int(tag in BLOCKS and any(w.lower() in CHROME_WORDS for w in words))
@@ -99,16 +112,66 @@ def _is_furniture(name: str) -> bool:
         not words.isdisjoint(CHROME_WORDS) and words <= CHROME_WORDS | NEUTRAL_WORDS)
 
 
-def parse(page: str) -> tuple[list[tuple[str, tuple[int, ...], int, int]], list[str]]:
-    """Blocks of main text in page order, and the generalised path of every container.
-
-    A block is (text, containers around it by number, characters of it in links,
-    how many of the containers hold all of the possible furniture it is in, or 0).
+class Containers:
+    """The containers of a page by number: parent, own name and path digest of each; 0 is the page."""
+
+    def __init__(self):
+        self.parent, self.name, self.body = [-1], [""], [True]
+        self._state = [xxhash.xxh3_128()]
+
+    def add(self, parent: int, name: str, body: bool) -> int:
+        state = self._state[parent].copy()
+        state.update(f"/{name}".encode("utf-8", "replace"))
+        self._state.append(state)
+        self.parent.append(parent)
+        self.name.append(name)
+        self.body.append(body)
+        return len(self.parent) - 1
+
+    def __len__(self) -> int:
+        return len(self.parent)
+
+    def __getitem__(self, c: int) -> str:
+        """The generalised path of a container."""
+        if c >= len(self.parent):
+            raise IndexError(c)
+        names = []
+        while c > 0:
+            names.append(self.name[c])
+            c = self.parent[c]
+        return "".join("/" + n for n in reversed(names))
+
+    def at(self, path: str) -> set[int]:
+        """The containers of a path."""
+        wanted = xxhash.xxh3_128_digest(path.encode("utf-8", "replace"))
+        return {c for c, state in enumerate(self._state) if state.digest() == wanted}
+
+    def sums(self, own: dict[int, float]) -> list[float]:
+        """For every container the sum over itself and all within it."""
+        out = [own.get(c, 0) for c in range(len(self.parent))]
+        for c in range(len(out) - 1, 0, -1):  # parents have smaller numbers
+            out[self.parent[c]] += out[c]
+        return out
+
+    def within(self, chosen: set[int]) -> list[bool]:
+        """For every container whether it is one of ``chosen`` or inside one."""
+        out: list[bool] = []
+        for c, parent in enumerate(self.parent):
+            out.append(c in chosen or c > 0 and out[parent])
+        return out
+
+
+def parse(page: str) -> tuple[list[tuple[str, int, int, int]], Containers]:
+    """Blocks of main text in page order, and the containers.
+
+    A block is (text, innermost container, characters of it in links, innermost
+    container around all of the possible furniture it is in, or -1).
     """
-    blocks: list[tuple[str, tuple[int, ...], int, int]] = []
-    paths: list[str] = [""]
-    # tag, path, whether hidden, containers, how many of them hold the possible furniture
-    stack: list[tuple[str, str, bool, tuple[int, ...], int]] = [("", "", False, (0,), 0)]
+    blocks: list[tuple[str, int, int, int]] = []
+    paths = Containers()
+    # tag, whether hidden, innermost container, container of the possible furniture
+    stack: list[tuple[str, bool, int, int]] = [("", False, 0, -1)]
+    open_tags: Counter = Counter()
     parts: list[str] = []
     linked = at = 0
     link: tuple[int, int] | None = None  # place in the stack and first block of the open link
@@ -117,23 +180,26 @@ def parse(page: str) -> tuple[list[tuple[str, tuple[int, ...], int, int]], list[
         nonlocal linked
         if parts:
             if text := " ".join("".join(parts).split()):
-                blocks.append((text, stack[-1][3], min(linked, len(text)), stack[-1][4]))
+                blocks.append((text, stack[-1][2], min(linked, len(text)), stack[-1][3]))
             parts.clear()
         linked = 0
 
     def add(raw: str) -> None:
         nonlocal linked
-        if raw and not stack[-1][2]:
+        if raw and not stack[-1][1]:
             text = entities.unescape(raw) if "&" in raw else raw
             parts.append(text)
             if link:
                 linked += len(text)
 
     def opened(tag: str) -> int:
+        if not open_tags[tag]:
+            return 0
         return next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
 
     def cut(depth: int, closed: bool = False) -> None:
         """Close the elements from ``depth`` on; a link among them that no </a> closed ends with its first block."""
+        open_tags.subtract(x[0] for x in stack[depth:])
         del stack[depth:]
         if link and link[0] >= depth:
             unlink(closed)
@@ -179,32 +245,37 @@ def parse(page: str) -> tuple[list[tuple[str, tuple[int, ...], int, int]], list[
             if link:
                 unlink(False)
             del stack[depth]
+            open_tags["a"] -= 1
         # a paragraph ends where another block begins, an item where the next one does
         if tag in BLOCKS:
             while stack[-1][0] == "p" or stack[-1][0] == tag == "li":
                 cut(len(stack) - 1)
         attributes = _attributes(m[3])
-        _, path, hidden, around, doubt = stack[-1]
-        chrome = _is_chrome(tag, attributes)
+        _, hidden, inner, doubt = stack[-1]
+        chrome = _is_chrome(tag, attributes, bool(open_tags["article"] or open_tags["main"]))
         if tag == "main":
-            doubt = 0
-        elif chrome == 1 and not doubt:
-            doubt = len(around)
+            doubt = -1
+        elif chrome == 1 and doubt < 0:
+            doubt = inner
         if tag in CONTAINERS:
             names = ".".join(sorted(DIGITS.sub("#", attributes.get("class", "")).split()))
-            path = f"{path}/{tag}" + (f".{names}" if names else "")
-            paths.append(path)
-            around = (*around, len(paths) - 1)
+            inner = paths.add(inner, tag + (f".{names}" if names else ""), tag == "body")
         if not m[3].endswith("/") or tag in BLOCKS:
             if tag == "a" and "href" in attributes:
                 link = (len(stack), len(blocks))
-            stack.append((tag, path, hidden or chrome == 2, around, doubt))
+            open_tags[tag] += 1
+            stack.append((tag, hidden or chrome == 2, inner, doubt))
     flush()
     cut(1)
     return blocks, paths
 
 
-def best_container(blocks, paths) -> int:
+def _plain(blocks) -> list:
+    """The blocks that are in no possible furniture; all if there are none such."""
+    return [b for b in blocks if b[3] < 0] or blocks
+
+
+def best_container(blocks, paths: Containers) -> int:
     """The number of the container with the most unlinked text for its size.
 
     Among containers that hold nearly all of the best score the innermost wins,
@@ -212,37 +283,40 @@ def best_container(blocks, paths) -> int:
     then adds what the article holds around it. Where no container has more text
     than links, all text is taken as main text.
     """
-    plain = [b for b in blocks if not b[3]] or blocks
-    score: dict[int, float] = {}  # of the containers that hold a block
-    for text, around, linked, _ in plain:
-        for c in around:
-            score[c] = score.get(c, 0.0) + len(text) - 1.5 * linked
-    top = max(score.values())
+    plain, own, held = _plain(blocks), Counter(), Counter()
+    for text, c, linked, _ in plain:
+        own[c] += len(text) - 1.5 * linked
+        held[c] += 1
+    score, held = paths.sums(own), paths.sums(held)
+    top = max(s for s, n in zip(score, held, strict=True) if n)
     if top <= 0:
-        return max(c for c in score if all(c in b[1] for b in plain))
-    return whole({max(c for c, s in score.items() if s >= 0.9 * top)}, blocks, paths).pop()
+        return max(c for c, n in enumerate(held) if n == len(plain))
+    return whole({max(c for c, s in enumerate(score) if held[c] and s >= 0.9 * top)}, blocks, paths).pop()
 
 
-def whole(chosen, blocks, paths) -> set[int]:
+def whole(chosen, blocks, paths: Containers) -> set[int]:
     """The containers ``chosen``, each widened until no main text of its surroundings is left out.
 
     Main text is a block with more text than links. Boxes directly in the body
     compete with each other, so a body is taken only for text of its own.
     """
-    held, own, above = Counter(), Counter(), {}
-    for text, around, linked, _ in [b for b in blocks if not b[3]] or blocks:
-        for i, c in enumerate(around):
-            if c in chosen:
-                above[c] = around[:i]
-        if len(text) > 1.5 * linked:
-            held.update(around)
-            own[around[-1]] += 1
+    plain = _plain(blocks)
+    main = Counter(c for text, c, linked, _ in plain if len(text) > 1.5 * linked)
+    any_text, held = paths.sums(Counter(b[1] for b in plain)), paths.sums(main)
+    widened: dict[tuple[int, float], int] = {}  # by parent and text held; -1 for no wider one
     out = set()
-    for c, outer in above.items():
-        for a in reversed(outer):
-            if own[a] if BODY.search(paths[a]) else held[a] > held[c]:
-                c = a
-        out.add(c)
+    for first in chosen:
+        if not any_text[first]:
+            continue
+        place = (paths.parent[first], held[first])
+        if place not in widened:
+            c, a, best = first, paths.parent[first], -1
+            while a >= 0:
+                if main[a] if paths.body[a] else held[a] > held[c]:
+                    c = best = a
+                a = paths.parent[a]
+            widened[place] = best
+        out.add(first if widened[place] < 0 else widened[place])
     return out
 
 
@@ -257,13 +331,14 @@ def main_text(page: str, path: str | None) -> str:
     blocks, paths = parse(page)
     if not blocks:
         return ""
-    chosen = whole({c for c, p in enumerate(paths) if p == path}, blocks, paths)
+    chosen = whole(paths.at(path), blocks, paths) if path is not None else set()
     if not chosen:
         chosen = {best_container(blocks, paths)}
-    articles = {c for c in chosen if not BODY.search(paths[c])}
-    doubtful = all(b[3] for b in blocks)  # a page with nothing else
-    return "\n".join(text for text, around, _, doubt in blocks if (
-        articles.intersection(around[:doubt]) if doubt and not doubtful else chosen.intersection(around)))
+    inside = paths.within(chosen)
+    article = paths.within({c for c in chosen if not paths.body[c]})
+    doubtful = all(b[3] >= 0 for b in blocks)  # a page with nothing else
+    return "\n".join(text for text, c, linked, doubt in blocks if (
+        article[doubt] and len(text) > 1.5 * linked if doubt >= 0 and not doubtful else inside[c]))
 
 
 def host_paths(pages: DataFrame, url: str, html: str) -> DataFrame:
