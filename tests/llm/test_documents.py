@@ -101,6 +101,25 @@ def test_toxicity_on_odd_rows(spark, edge_dir):
     assert all(0 <= s <= 1 and p == (s >= 0.3) for _, _, s, p in got)
 
 
+@pytest.mark.parametrize("toxic", [lambda k: k % 2, lambda k: 1, lambda k: 0])
+def test_toxicity_with_nothing_to_tell_by_keeps_every_document(spark, tmp_path, toxic):
+    from tests.llm.conftest import write
+    folder = write(spark, str(tmp_path),
+                   documents=docs_frame(spark, [(k, f"plain words of text number {k % 7}") for k in range(40)]),
+                   labels=spark.createDataFrame([(k, 1, toxic(k)) for k in range(40)], "doc_id long, quality int, toxic int"))
+    got = run(spark, "op1_toxicity", folder, "doc_id", "score", "predicted")
+    assert len(got) == 40 and {r[1:] for r in got} == {(0.0, 0)}
+    docs = queries.table(spark, folder, "documents")
+    assert corpus_pipeline.STAGES[0][1](spark, docs, folder).count() == 40
+
+
+def test_small_samples_are_dictionaries_whole():
+    from tickwise.llm import toxicity
+    samples = [f"sample {i}".encode() for i in range(300)]
+    assert toxicity._dictionary(8192, samples, 16) == b" ".join(samples)
+    assert toxicity._dictionary(1024, samples[:30], 16) == b" ".join(samples[:30])
+
+
 def test_toxicity_on_held_out_labels(spark):
     scores = queries.op1_toxicity(spark, "/root/testdata/sf0.1")
     labels = queries.table(spark, "/root/testdata/sf0.1", "labels")
@@ -226,3 +245,16 @@ def test_pipeline_against_brute_force(spark):
 def test_pipeline_stages_on_empty_tables(spark, empty_dir, stage):
     docs = queries.table(spark, empty_dir, "documents")
     assert corpus_pipeline.STAGES[stage][1](spark, docs, empty_dir).collect() == []
+
+
+def test_memos_do_not_follow_text_without_spaces():
+    import random
+    import tracemalloc
+    rng = random.Random(1)
+    tokenizer = bpe.Tokenizer(bpe.read_vocabulary(queries.TOKENIZER))
+    tracemalloc.start()
+    for _ in range(60):
+        tokenizer.encode("".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(3000)))
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 1e6 and not tokenizer.by_chunk

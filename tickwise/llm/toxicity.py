@@ -9,17 +9,21 @@ score curve are calibrated on all labelled training rows.
 
 Training. Toxic windows are the words that hold a run of bytes which stands in
 significantly more contexts of toxic than of ordinary texts, in a bounded sample: ``TOXIC_TEXTS`` and ``ORDINARY_TEXTS``
-labelled texts by hash order. The ordinary dictionary is trained on the texts of
-that sample of at most ``SAMPLE_BYTES`` bytes. Both bounds are parameters; what
-reaches the driver is bounded by them. Scoring and calibration read every text.
+labelled texts by hash order; the ``TOXIC_WORDS`` strongest runs and most frequent words
+of them make the toxic dictionary. The ordinary dictionary is trained on ``DICTIONARY_TEXTS``
+ordinary texts of that sample of at most ``SAMPLE_BYTES`` bytes, by hash order. These bounds are parameters; what
+reaches the driver is bounded by them. Samples of less than ``TRAINED_FROM`` times a
+dictionary's size are too few to train on and are the dictionary themselves, whole.
+Scoring and calibration read every text.
 
 A window is compressed between two runs of a padding character, with literals
 left uncompressed, so that a length counts what the dictionary did not explain.
 
 Defined cases: null and empty texts have no windows and get the score of a text
 without toxic windows; a document with several labels is toxic if any says so;
-null labels and labels of unknown documents are ignored; without toxic or
-without ordinary labels every score is the share of toxic labels (0 if none);
+null labels and labels of unknown documents are ignored; where there is nothing to
+tell by (no toxic labels, no ordinary ones, or no run of bytes that is significantly
+more frequent in either) no document is called toxic: every score is 0;
 repeated documents are scored alike, other columns are dropped.
 """
 
@@ -41,10 +45,12 @@ from tickwise.llm.decontaminate import words_of
 
 TOXIC_TEXTS = 2000
 ORDINARY_TEXTS = 4000
+DICTIONARY_TEXTS = 2000
 SAMPLE_BYTES = 16_384
 TOXIC_WORDS = 20_000
 TOXIC_DICTIONARY = 8_192
 ORDINARY_DICTIONARY = 112_640
+TRAINED_FROM = 4  # samples of so many dictionaries' size are trained on; fewer are taken whole
 WINDOW_BYTES = 24
 GRAM_BYTES = 5
 RATE = 8  # times as frequent among toxic contexts as among ordinary ones
@@ -133,18 +139,18 @@ def _grams(window: str) -> Column:
 
 
 def _dictionary(size: int, samples: list[bytes], segment: int) -> bytes:
-    """A trained dictionary, or the samples themselves where there is too little to train on."""
+    """A dictionary trained on the samples, or all of them where they are too few to train on."""
     joined = b" ".join(samples)
-    if len(joined) > 4 * size:
+    if len(joined) > TRAINED_FROM * size:
         try:
             return zstandard.train_dictionary(size, samples, k=segment, d=6).as_bytes()
         except zstandard.ZstdError:
             pass
-    return joined[-size:] or b" "
+    return joined or b" "
 
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str, text: str) -> tuple[bytes, bytes] | None:
-    """The toxic and the ordinary dictionary; None without labels of both kinds."""
+    """The toxic and the ordinary dictionary; None without labels of both kinds or a run that tells them apart."""
     order = F.xxhash64("doc_id")
     ids = None
     for kind, most in ((1, TOXIC_TEXTS), (0, ORDINARY_TEXTS)):
@@ -186,7 +192,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str, text: str) -> tuple[b
     random.Random(0).shuffle(words)
     toxic = [b" " + b" ".join(words[i:i + 16]) + b" " for i in range(0, len(words), 16)]
     rows = (sample.filter((F.col("toxic") == 0) & (F.octet_length("text") <= SAMPLE_BYTES))
-            .orderBy(F.xxhash64("text"), "text").limit(TOXIC_TEXTS).collect())
+            .orderBy(F.xxhash64("text"), "text").limit(DICTIONARY_TEXTS).collect())
     # what marks a word as toxic is left out of the ordinary windows
     marked = {bytes(r["gram"]) for r in marks.collect()}
     ordinary = [b" " + b" ".join(w for w in windows_of(r["text"].encode())
@@ -283,8 +289,7 @@ def toxicity(docs: DataFrame, doc_id: str, text: str, labels: DataFrame, row_key
     names = [c for c in rows.columns if c != "text"]
     dictionaries = train(docs, labels, doc_id, text)
     if dictionaries is None:
-        share = labels.agg(F.coalesce(F.avg("toxic"), F.lit(0.0))).first()[0]
-        scored = rows.select(*names, F.lit(float(share)).alias("score"))
+        scored = rows.select(*names, F.lit(0.0).alias("score"))
     else:
         counted = cut(window_counts(rows, "text", dictionaries))
         scored = counted.select(*names, score_column(*calibrate(counted, labels)).alias("score"))
