@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickwise.llm.common import append_columns
+from tickwise.llm.common import append_columns, cut
 
 FILTERS = "ABCDE"
 # Fixed values of the contract: the limits of the conditions.
@@ -93,7 +93,7 @@ def contingency(rows: DataFrame, flags: DataFrame) -> DataFrame:
     ``rows`` as from ``judged``, ``flags`` as from ``label_flags``.
     """
     # equal rows of one id are counted before the join, so a repeated id is no hot key
-    rows = rows.groupBy("doc_id", "digest", "fails", "part").agg(F.count(F.lit(1)).alias("n"))
+    rows = cut(rows.groupBy("doc_id", "digest", "fails", "part").agg(F.count(F.lit(1)).alias("n")))
     rows = rows.join(flags, "doc_id", "left").select(
         "doc_id", "digest", "fails", "part", "n", *[F.coalesce(c, F.lit(False)).alias(c) for c in ("good", "toxic")])
     kind = ["digest", "fails", "part", "good", "toxic"]
