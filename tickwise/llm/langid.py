@@ -42,7 +42,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickwise.llm.common import append_columns
+from tickwise.llm.common import append_columns, cut, written
+from tickwise.operators.joins import sized_broadcast
 
 UNKNOWN = "und"
 LANDMARKS = 48
@@ -182,16 +183,17 @@ def sample(rows: DataFrame, per_language: int) -> DataFrame:
     One aggregate counts the languages; a hash bound then lets about twice the
     wanted rows through, and only these are ordered, so no language is sorted whole.
     """
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+    counts = written(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")), "languages")
     spread = F.pmod(F.xxhash64("key"), F.lit(1 << 30))
     bound = F.ceil((1 << 30) * (2.0 * per_language + 100) / F.col("rows"))
-    near = (rows.withColumn("spread", spread).join(counts, "lang").filter(F.col("spread") < bound)
+    near = (rows.withColumn("spread", spread).join(sized_broadcast(counts), "lang").filter(F.col("spread") < bound)
             .select("lang", "spread", "key"))
     order = F.struct("spread", "key")
     kept = (near.groupBy("lang").agg(F.slice(F.sort_array(F.collect_list(order)), 1, per_language).alias("chosen"))
             .select("lang", F.posexplode("chosen").alias("place", "row"))
             .select("lang", "place", F.col("row.key").alias("key")))
-    return rows.join(kept, ["lang", "key"]).select("key", "text", "lang", "place")
+    kept = written(kept, "sample")
+    return cut(rows.join(sized_broadcast(kept), ["lang", "key"]).select("key", "text", "lang", "place"))
 
 
 def kernel_rows(rows: DataFrame, landmarks: Landmarks) -> DataFrame:
