@@ -72,7 +72,8 @@ def ordered_turns(conversations: DataFrame, conv_id: str, turn: str, role: str,
         short_digest(F.concat_ws(":", F.octet_length(by), by, said).cast("binary")).alias("id"))
     rows = cut(told.withColumn("chars", F.char_length("text").cast("long")).drop("text"))
     # texts are sorted, and so shuffled, only where turns tie
-    tied = rows.groupBy("conv", "turn", "role").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a <> b")
+    tied = written(rows.groupBy("conv", "turn", "role").agg(F.min("id").alias("a"), F.max("id").alias("b"))
+                   .filter("a <> b"), "tied")
     place = told["conv"].eqNullSafe(tied["conv"]) & told["turn"].eqNullSafe(tied["turn"]) & (told["role"] == tied["role"])
     texts = told.join(tied, place, "left_semi").select("id", "conv", F.col("text").alias("tie")).distinct()
     order = [F.col("conv"), F.col("turn").asc_nulls_first(), F.col("role"), F.col("tie")]
@@ -191,23 +192,23 @@ def burst(suffixes: DataFrame, container_turns: int) -> tuple[DataFrame, DataFra
               .withColumn("bursts", F.array().cast("array<binary>")).withColumn("up", none))
     done = None
     while True:
-        big = cut(active.filter("container IS NOT NULL").groupBy("container")
-                  .agg(F.sum(_depth("path") - F.col("low") + 1).alias("turns"))
-                  .filter(F.col("turns") > container_turns).select("container"))
+        # written tables, as their known sizes decide how they are joined
+        big = written(active.filter("container IS NOT NULL").groupBy("container")
+                      .agg(F.sum(_depth("path") - F.col("low") + 1).alias("turns"))
+                      .filter(F.col("turns") > container_turns).select("container"), "big")
         if big.isEmpty():
             break
         least = F.expr("size(filter(sequence(0, least(octet_length(a), octet_length(b)) div 16), "
                        "i -> substring(a, 1, cast(16 * i AS int)) = substring(b, 1, cast(16 * i AS int)))) - 1")
         shared = ("low", "up", "head", "seg")
-        heads = cut(active.join(big, "container").groupBy("container")
-                    .agg(F.min("path").alias("a"), F.max("path").alias("b"),
-                         *[F.min_by(c, "path").alias(c) for c in ("chars", "row", "next")],
-                         *[F.min(c).alias(c) for c in shared])
-                    .withColumn("high", least)
-                    # the smallest path is the shared run itself if some suffix ends there
-                    .withColumn("ends", F.octet_length("a") == 16 * F.col("high"))
-                    .select(F.col("container").alias("burst"), *shared, "high", "chars",
-                            *[F.when(F.col("ends"), F.col(c)).alias(c) for c in ("row", "next")]))
+        heads = active.join(big, "container").groupBy("container").agg(
+            F.min("path").alias("a"), F.max("path").alias("b"),
+            *[F.min_by(c, "path").alias(c) for c in ("chars", "row", "next")], *[F.min(c).alias(c) for c in shared])
+        # the smallest path is the shared run itself if some suffix ends there
+        ends = F.octet_length("a") == 16 * F.col("high")
+        heads = written(heads.withColumn("high", least).select(
+            F.col("container").alias("burst"), *shared, "high", "chars",
+            *[F.when(ends, F.col(c)).alias(c) for c in ("row", "next")]), "heads")
         done = heads if done is None else done.unionByName(heads)
         here = F.col("high").isNotNull()
         onward = F.when(_depth("path") > F.col("high"), short_digest(F.concat(
