@@ -5,11 +5,12 @@ from __future__ import annotations
 import duckdb
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.conftest import SF001
 from tests.llm import brute
-from tests.llm.conftest import DOCS, ITEMS, docs_frame
+from tests.llm.conftest import DOCS, ITEMS, LONG, docs_frame
 from tickwise.llm import bpe, queries, simhash
 from tickwise.llm.common import with_row_key
 
@@ -142,7 +143,7 @@ def test_shards_hold_every_id_once_in_training_order(spark, edge_dir):
     records = []
     for f in files:
         for slot, raw in shards.read_slots(f.file, f.first_slot, f.records, f.stride):
-            number, doc, offset, n = struct.unpack_from(shards.HEAD, raw)
+            number, doc, offset, n, _ = struct.unpack_from(shards.HEAD, raw)
             records.append((number, slot, doc, offset, np.frombuffer(raw, "<u2", n, shards.HEAD_BYTES).tolist()))
     records.sort()
     n = len(records)
@@ -168,6 +169,62 @@ def test_shards_hold_every_id_once_in_training_order(spark, edge_dir):
     assert shards.read_sequences(manifest, start=n - 7).count() == 7
 
 
+def test_shards_are_the_same_however_the_rows_are_dealt(spark):
+    """Byte by byte, also with documents that span sequences and pieces, repeated rows and id -1."""
+    from tickwise.llm import shards
+    rows = [*DOCS, (-1, "minus one"), (None, "null"), (7, LONG)]
+
+    def files(docs):
+        manifest = shards.materialise(docs, "doc_id", "text", queries.RANKS, public_tokenizers.PATTERN,
+                                      queries.END_OF_TEXT, length=64, shard_slots=16)
+        return [(f.shard, f.records, open(f.file, "rb").read())
+                for f in manifest.orderBy("shard").collect()], manifest
+
+    one, manifest = files(docs_frame(spark, rows).coalesce(1))
+    many, _ = files(docs_frame(spark, rows[::-1]).repartition(7))
+    assert one == many and len(one) > 10
+    firsts = [(r.doc_id, r.doc_offset) for r in shards.read_sequences(manifest).orderBy("sequence").collect()]
+    assert firsts == [(d, o) for _, d, o, _ in shard_sequences(rows, 64)]
+
+
+def shard_sequences(rows, length):
+    """(sequence, document, offset, ids) of all rows in order of their ids, by brute force."""
+    import xxhash
+
+    from tickwise.llm import shards
+    encoding = shards.encoding(bpe.read_vocabulary(queries.RANKS), public_tokenizers.PATTERN)
+    order = sorted(((d is not None, d or 0, xxhash.xxh3_128_digest((t or "").encode()), t or "") for d, t in rows))
+    run = [(d if known else None, k, i) for known, d, _, t in order
+           for k, i in enumerate([*encoding.encode_ordinary(t), queries.END_OF_TEXT])]
+    return [(s, *run[at][:2], [i for _, _, i in run[at:at + length]])
+            for s, at in enumerate(range(0, len(run), length))]
+
+
+def test_shards_query_against_brute_force(spark, edge_dir):
+    import hashlib
+    import struct
+
+    import numpy as np
+
+    from tickwise.llm import shards
+    got = sorted(tuple(r) for r in queries.op8_shards(spark, edge_dir).select(
+        "sequence", "slot", "doc_id", "doc_offset", "n_tokens", "ids_sha256").collect())
+    want = shard_sequences(DOCS, shards.LENGTH)
+    slots = shards.Permutation(len(want))(np.arange(len(want))).tolist()
+    assert got == [(s, slots[s], d, o, len(ids), hashlib.sha256(struct.pack(f"<{len(ids)}H", *ids)).hexdigest())
+                   for s, d, o, ids in want]
+
+
+def test_shards_are_read_back_by_several_tasks(spark, tmp_path, monkeypatch):
+    from tickwise.llm import shards
+    monkeypatch.setattr(shards, "TASK_BYTES", 1 << 16)
+    manifest = shards.materialise(docs_frame(spark), "doc_id", "text", queries.RANKS, public_tokenizers.PATTERN,
+                                  queries.END_OF_TEXT, length=64, shard_slots=16)
+    read = shards.read_sequences(manifest)
+    tasks = read.select(F.spark_partition_id().alias("task")).distinct().count()
+    assert read.count() == manifest.agg(F.sum("records")).first()[0] and tasks > 2
+
+
 def test_simhash_finds_dense_groups_and_splits_large_buckets(spark):
     import random
 

@@ -1,27 +1,32 @@
 """Training-order materialisation of token ids (operator 8).
 
-Documents are tokenized (byte-level BPE), joined into streams (an end-of-text id after each) and
-cut into sequences of ``length`` ids, a few MB of texts at a time. A keyed Feistel network with cycle-walking
-permutes the numbers 0..N-1 of all sequences: sequence i gets global slot
-``permute(i)``. Slots lie in shards of ``shard_slots``, one file each, in which
-every record has the same size. Slot s is record ``s % shard_slots`` of shard
-``s // shard_slots``: reading in training order is sequential, and goes on from
-any slot by one seek.
-
-Steps: (1) one pass tokenizes and writes token ids to a work table, a stream of
-them for each task; (2) the streams' sequence counts (one row for each task) give
-every stream its first number; (3) sequences are sent to the task that owns their
-shard, packed by shard and compressed; (4) that task writes its shards in slot
-order and checks that no slot is missing; (5) the manifest, which Spark commits,
-names the shard files of the attempts that succeeded.
+Documents are tokenized (byte-level BPE). In the order of their ids (null first,
+then by a digest of the text) and with an end-of-text id after each they are one
+long run of ids, cut into sequences of ``length`` ids. A keyed Feistel network
+with cycle-walking permutes the numbers 0..N-1 of all sequences: sequence i gets
+global slot ``permute(i)``. Slots lie in shards of ``shard_slots``, one file each,
+in which every record has the same size. Slot s is record ``s % shard_slots`` of
+shard ``s // shard_slots``: reading in training order is sequential, and goes on
+from any slot by one seek. The shards depend on the rows and the key alone, byte
+by byte, not on how the rows are dealt to tasks.
+
+Steps: (1) one pass tokenizes; a task writes its ids to one file, a few MB of texts
+at a time, and lists the documents and token counts of each such piece; (2) counts
+are sorted by document and summed up, first in each range, then (one row for each
+range) over the ranges, so that every document knows its first place in the run;
+(3) documents are split where sequences end, and the parts are sent to the task
+that owns their shard, packed by shard and compressed; (4) that task writes its
+shards in slot order and checks that no id is missing; (5) the manifest, which
+Spark commits, names the shard files of the attempts that succeeded.
 
 Records, little-endian: sequence number int64, document id int64 and token offset
-int32 of its first id, number of ids int32, then ``length`` ids uint16, padded
-with the end-of-text id (only the last sequence of a few MB of texts is shorter).
+int32 of its first id, number of ids int32, flags int32 (1: the document id is
+null), then ``length`` ids uint16, padded with the end-of-text id (only the last
+sequence is shorter).
 
 Defined cases: null and empty texts contribute their end-of-text id alone; a null
-document id is written as -1; repeated rows are separate documents; an empty
-table gives an empty manifest.
+document id is flagged, any integer is an id; repeated rows are separate documents;
+an empty table gives an empty manifest.
 """
 
 from __future__ import annotations
@@ -35,6 +40,7 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import tiktoken
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -49,11 +55,18 @@ LENGTH = 1024
 SHARD_SLOTS = 1 << 14
 ROUNDS = 6
 KEY = 20_240_601
-HEAD = "<qqii"
+HEAD = "<qqiii"
 HEAD_BYTES = struct.calcsize(HEAD)
-STREAM_BYTES = 4 << 20
+HEAD_TYPE = np.dtype([("sequence", "<i8"), ("doc_id", "<i8"), ("doc_offset", "<i4"), ("n_tokens", "<i4"),
+                      ("flags", "<i4")])
+NULL_ID = 1
+# a part of a document inside one sequence: its slot in the shard and place in the sequence
+PART_TYPE = np.dtype([("doc_id", "<i8"), ("doc_offset", "<i4"), ("place", "<i4"), ("at", "<i4"), ("n", "<i4"),
+                      ("flags", "<i4")])
+PIECE_BYTES = 4 << 20
 PACK_LEVEL = 5
-WRITE_TASKS = 20_000  # at most
+TASK_BYTES = 32 << 20  # ids that one task moves, or records that it reads back
+MAX_TASKS = 20_000
 
 MANIFEST = T.StructType([
     T.StructField("shard", T.LongType(), False), T.StructField("file", T.StringType(), False),
@@ -108,107 +121,177 @@ def encoding(ranks: str, pattern: str) -> tiktoken.Encoding:
 
 
 def token_pieces(docs: DataFrame, doc_id: str, text: str, ranks: str, pattern: str, end_id: int,
-                 length: int) -> DataFrame:
-    """(stream, first, sequences, n, ids, docs, starts): joined ids of a few MB of texts in each row.
+                 folder: str) -> DataFrame:
+    """(piece, file, place, packed, n, docs, digests, counts): the ids of a few MB of texts in each row.
 
-    ``ids`` are compressed, ``n`` is their number. Rows are written to a work table. A stream is what one task wrote; ``first``
-    counts the sequences of its earlier pieces. ``starts`` are the places in
-    ``ids`` where ``docs`` begin.
+    ``packed`` bytes of ``file`` from ``place`` on are the compressed ids, ``n`` of
+    them, of ``docs`` one after the other, ``counts`` each. Computed once.
     """
     shared = docs.sparkSession.sparkContext.broadcast((ranks, pattern))
     end = struct.pack("<H", end_id)
 
     def run(batches):
-        encode, first = encoding(*shared.value).encode_ordinary, 0
-        packer = zstandard.ZstdCompressor(level=PACK_LEVEL)
-        stream = TaskContext.get().partitionId()
+        encode = encoding(*shared.value).encode_ordinary
+        packer, task = zstandard.ZstdCompressor(level=PACK_LEVEL), TaskContext.get()
+        name = f"{folder}/tokens-{task.partitionId():06d}-{task.taskAttemptId()}.bin"
+        out, pieces = None, []
         for batch in batches:
-            for part in slices(batch, "text", STREAM_BYTES):
-                ids = [-1 if i is None else i for i in part.column(0).to_pylist()]
-                encoded = [np.array(encode(t.decode("utf-8", "replace")), "<u2").tobytes() + end
-                           for t in utf8(part.column(1))]
-                starts = [0, *(n // 2 for n in accumulate(map(len, encoded)))]
-                sequences = -(-starts[-1] // length)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([stream], pa.int32()), pa.array([first], pa.int64()),
-                     pa.array([sequences], pa.int64()), pa.array([starts[-1]], pa.int64()),
-                     pa.array([packer.compress(b"".join(encoded))], pa.binary()),
-                     pa.array([ids], pa.list_(pa.int64())), pa.array([starts[:-1]], pa.list_(pa.int64()))],
-                    ["stream", "first", "sequences", "n", "ids", "docs", "starts"])
-                first += sequences
+            for part in slices(batch, "text", PIECE_BYTES):
+                if out is None:
+                    fs, path = open_uri(name)
+                    fs.create_dir(path.rpartition("/")[0], recursive=True)
+                    out, place = fs.open_output_stream(path, compression=None), 0
+                texts = list(utf8(part.column(1)))
+                encoded = [np.array(encode(t.decode("utf-8", "replace")), "<u2").tobytes() + end for t in texts]
+                counts = [len(ids) // 2 for ids in encoded]
+                packed = packer.compress(b"".join(encoded))
+                out.write(packed)
+                pieces.append(((task.partitionId() << 32) + len(pieces), name, place, len(packed), sum(counts),
+                               part.column(0).to_pylist(), [xxhash.xxh3_128_digest(t) for t in texts], counts))
+                place += len(packed)
+        if out:
+            out.close()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*pieces, strict=True), (
+                    pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()),
+                    pa.list_(pa.binary()), pa.list_(pa.int32())), strict=True)],
+                ["piece", "file", "place", "packed", "n", "docs", "digests", "counts"])
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return written(rows.mapInArrow(run, "stream int, first long, sequences long, n long, ids binary, "
-                                        "docs array<long>, starts array<long>"), "tokens", "none")
+    return cut(rows.mapInArrow(run, "piece long, file string, place long, packed long, n long, "
+                                    "docs array<long>, digests array<binary>, counts array<int>"))
+
+
+def first_places(pieces: DataFrame) -> tuple[DataFrame, dict[int, int], int]:
+    """Where each document begins in the run of all ids.
+
+    Returns (piece, pos, part, start) for every document of every piece, the first
+    place of each ``part``, to which ``start`` is to be added, and the number of ids.
+    """
+    docs = pieces.select("piece", F.posexplode(F.arrays_zip("docs", "digests", "counts"))).select(
+        "piece", "pos", F.col("col.docs").alias("doc"), F.col("col.digests").alias("digest"),
+        F.col("col.counts").alias("n"))
+    # equal rows have equal ids, so that their order among themselves tells nothing
+    order = ("doc", "digest", "piece", "pos")
+
+    def run(batches):
+        part, start = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            ends = start + np.cumsum(batch.column("n").to_numpy().astype(np.int64))
+            if len(ends):
+                begin = np.concatenate([[start], ends[:-1]])
+                start = int(ends[-1])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("piece"), batch.column("pos"), pa.array([part] * len(ends), pa.int32()),
+                     pa.array(begin, pa.int64()), batch.column("n")], ["piece", "pos", "part", "start", "n"])
+
+    placed = docs.repartitionByRange(*order).sortWithinPartitions(*order).select("piece", "pos", "n")
+    starts = written(placed.mapInArrow(run, "piece long, pos int, part int, start long, n int"), "places")
+    sizes = starts.groupBy("part").agg(F.sum(F.col("n").cast("long")).alias("n")).collect()  # one row a task
+    sizes.sort(key=lambda r: r["part"])
+    bases = dict(zip((r["part"] for r in sizes), [0, *accumulate(r["n"] for r in sizes)], strict=False))
+    return starts.drop("n"), bases, sum(r["n"] for r in sizes)
 
 
-def shard_records(pieces: DataFrame, bases: dict[int, int], n: int, length: int, shard_slots: int,
-                  end_id: int, key: int) -> DataFrame:
-    """(shard, places, records): the sequences of each piece, packed and compressed by shard."""
+def _spread(begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """begin[0], begin[0] + 1, ... (n[0] numbers), then begin[1], ... and so on."""
+    return np.arange(n.sum()) + np.repeat(begin - (np.cumsum(n) - n), n)
+
+
+def shard_parts(pieces: DataFrame, total: int, length: int, shard_slots: int, key: int,
+                starts: DataFrame, bases: dict[int, int]) -> DataFrame:
+    """(shard, n, parts): the parts of each piece's documents, packed and compressed by shard."""
     shared = pieces.sparkSession.sparkContext.broadcast(bases)
+    slots_in_all = -(-total // length)
 
     def run(batches):
-        permute, packer = Permutation(n, key), zstandard.ZstdCompressor(level=PACK_LEVEL)
+        permute, packer = Permutation(slots_in_all, key), zstandard.ZstdCompressor(level=PACK_LEVEL)
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             for r in batch.to_pylist():
-                count, starts = r["sequences"], np.array(r["starts"], np.int64)
-                ids = unpack.decompress(r["ids"], max_output_size=2 * r["n"])
-                numbers = shared.value[r["stream"]] + r["first"] + np.arange(count)
-                own = np.searchsorted(starts, np.arange(count) * length, "right") - 1
-                pad = ids + struct.pack("<H", end_id) * (count * length - len(ids) // 2)
-                records = []
-                for i, (number, d) in enumerate(zip(numbers.tolist(), own.tolist(), strict=True)):
-                    left = min(length, len(ids) // 2 - i * length)
-                    records.append(struct.pack(HEAD, number, r["docs"][d], i * length - int(starts[d]), left)
-                                   + pad[2 * i * length:2 * (i + 1) * length])
-                slots = permute(numbers)
+                fs, path = open_uri(r["file"])
+                with fs.open_input_file(path) as f:
+                    ids = np.frombuffer(unpack.decompress(f.read_at(r["packed"], r["place"]),
+                                                          max_output_size=2 * r["n"]), "<u2")
+                begin = np.array([shared.value[s["part"]] + s["start"] for s in r["starts"]], np.int64)
+                counts = np.array(r["counts"], np.int64)
+                first = begin // length
+                splits = (begin + counts - 1) // length - first + 1
+                doc = np.repeat(np.arange(len(counts)), splits)
+                sequence = _spread(first, splits)
+                low = np.maximum(begin[doc], sequence * length)
+                n = np.minimum((begin + counts)[doc], (sequence + 1) * length) - low
+                slots = permute(sequence)
                 order = np.argsort(slots // shard_slots, kind="stable")
-                shards, begin = np.unique((slots // shard_slots)[order], return_index=True)
-                parts = np.split(order, begin[1:])
+                parts = np.zeros(len(order), PART_TYPE)
+                parts["doc_id"] = np.array([i or 0 for i in r["docs"]], np.int64)[doc]
+                parts["flags"] = np.array([NULL_ID * (i is None) for i in r["docs"]])[doc]
+                parts["doc_offset"], parts["place"] = low - begin[doc], slots % shard_slots
+                parts["at"], parts["n"] = low % length, n
+                source = (np.cumsum(counts) - counts)[doc] + low - begin[doc]
+                parts, source = parts[order], source[order]
+                shards, at = np.unique((slots // shard_slots)[order], return_index=True)
+                ends = [*at[1:].tolist(), len(order)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(shards, pa.int64()),
-                     pa.array([(slots[k] % shard_slots).tolist() for k in parts], pa.list_(pa.int32())),
-                     pa.array([packer.compress(b"".join(records[j] for j in k.tolist())) for k in parts],
-                              pa.binary())], ["shard", "places", "records"])
+                     pa.array([e - a for a, e in zip(at.tolist(), ends, strict=True)], pa.int32()),
+                     pa.array([packer.compress(parts[a:e].tobytes() + ids[_spread(
+                         source[a:e], parts["n"][a:e].astype(np.int64))].tobytes())
+                         for a, e in zip(at.tolist(), ends, strict=True)], pa.binary())], ["shard", "n", "parts"])
 
-    return pieces.mapInArrow(run, "shard long, places array<int>, records binary")
+    tasks = max(1, min(MAX_TASKS, 2 * total // TASK_BYTES))
+    of_piece = starts.repartition(tasks, "piece").groupBy("piece").agg(
+        F.sort_array(F.collect_list(F.struct("pos", "part", "start"))).alias("starts"))  # a few MB of texts
+    joined = pieces.drop("digests").repartition(tasks, "piece").join(of_piece, "piece")
+    return joined.mapInArrow(run, "shard long, n int, parts binary")
 
 
-def write_shards(pieces: DataFrame, folder: str, n: int, length: int, shard_slots: int) -> DataFrame:
+def write_shards(parts: DataFrame, folder: str, total: int, length: int, shard_slots: int, key: int,
+                 end_id: int) -> DataFrame:
     """Write every shard in slot order; returns the manifest, computed once."""
-    stride = HEAD_BYTES + 2 * length
+    stride, n = HEAD_BYTES + 2 * length, -(-total // length)
     shards = -(-n // shard_slots)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         attempt, unpack = TaskContext.get().taskAttemptId(), zstandard.ZstdDecompressor()
-        shard, buffer, seen = None, None, 0
+        permute, shard, seen, rows = Permutation(n, key), None, np.array([]), []
+
+        def fresh(shard: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            """Padded records with the numbers of their sequences; their ids, seen ids."""
+            slots = np.arange(shard * shard_slots, min((shard + 1) * shard_slots, n))
+            records = np.zeros(len(slots), np.dtype([("head", HEAD_TYPE), ("ids", "<u2", (length,))]))
+            records["ids"] = end_id
+            records["head"]["sequence"] = permute(slots, backwards=True)
+            records["head"]["n_tokens"] = np.minimum(length, total - records["head"]["sequence"] * length)
+            return records, records.view("<u2").reshape(-1), np.zeros(len(slots), np.int64)
 
         def close() -> list[tuple]:
             if shard is None:
                 return []
-            size = min(shard_slots, n - shard * shard_slots)
-            if seen != size or not filled.all():
-                raise ValueError(f"shard {shard} has {seen} of {size} records")
+            if (seen != records["head"]["n_tokens"]).any():
+                raise ValueError(f"shard {shard} has {seen.sum()} of {records['head']['n_tokens'].sum()} ids")
             name = f"{folder}/shard-{shard:08d}-{attempt}.bin"
             fs, path = open_uri(name)
             fs.create_dir(path.rpartition("/")[0], recursive=True)
             with fs.open_output_stream(path, compression=None) as out:
-                out.write(buffer)
-            return [(shard, name, shard * shard_slots, size, stride)]
+                out.write(records.view(np.uint8).data)
+            return [(shard, name, shard * shard_slots, len(records), stride)]
 
-        rows, filled = [], np.array([])
         for batch in batches:
             for r in batch.to_pylist():
                 if r["shard"] != shard:
                     rows += close()
-                    shard, seen = r["shard"], 0
-                    size = min(shard_slots, n - shard * shard_slots)
-                    buffer, filled = bytearray(size * stride), np.zeros(size, bool)
-                records = np.frombuffer(unpack.decompress(r["records"]), np.uint8).reshape(-1, stride)
-                np.frombuffer(buffer, np.uint8).reshape(-1, stride)[r["places"]] = records
-                filled[r["places"]] = True
-                seen += len(r["places"])
+                    shard = r["shard"]
+                    records, flat, seen = fresh(shard)
+                raw = unpack.decompress(r["parts"])
+                own = np.frombuffer(raw, PART_TYPE, r["n"])
+                sizes = own["n"].astype(np.int64)
+                to = own["place"].astype(np.int64) * (stride // 2) + HEAD_BYTES // 2 + own["at"]
+                flat[_spread(to, sizes)] = np.frombuffer(raw, "<u2", offset=own.nbytes)
+                np.add.at(seen, own["place"], sizes)
+                first = own[own["at"] == 0]
+                for field in ("doc_id", "doc_offset", "flags"):
+                    records["head"][field][first["place"]] = first[field]
         rows += close()
         if rows:
             yield pa.RecordBatch.from_arrays(
@@ -216,9 +299,9 @@ def write_shards(pieces: DataFrame, folder: str, n: int, length: int, shard_slot
                     pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32()), strict=True)], MANIFEST.names)
 
     # task k writes a range of shards, usually one
-    tasks = max(1, min(shards, WRITE_TASKS))
+    tasks = max(1, min(shards, MAX_TASKS))
     owner = F.floor(F.col("shard") * tasks / max(shards, 1)).cast("int")
-    placed = pieces.repartitionById(tasks, owner).sortWithinPartitions("shard")
+    placed = parts.repartitionById(tasks, owner).sortWithinPartitions("shard")
     return cut(placed.mapInArrow(run, MANIFEST))
 
 
@@ -227,13 +310,11 @@ def materialise(docs: DataFrame, doc_id: str, text: str, ranks_path: str, patter
                 key: int = KEY) -> DataFrame:
     """Tokenize ``docs`` and write them as shards in training order; returns the manifest."""
     folder = folder or work_dir(docs.sparkSession, "shards")
-    pieces = token_pieces(docs, doc_id, text, read_vocabulary(ranks_path), pattern, end_id, length)
-    sizes = pieces.groupBy("stream").agg(F.sum("sequences").alias("n")).collect()  # one row a task
-    sizes.sort(key=lambda r: r["stream"])
-    bases = dict(zip((r["stream"] for r in sizes), [0, *accumulate(r["n"] for r in sizes)], strict=False))
-    n = sum(r["n"] for r in sizes)
-    records = shard_records(pieces, bases, n, length, shard_slots, end_id, key)
-    return write_shards(records, folder, n, length, shard_slots)
+    pieces = token_pieces(docs, doc_id, text, read_vocabulary(ranks_path), pattern, end_id,
+                          work_dir(docs.sparkSession, "tokens"))
+    starts, bases, total = first_places(pieces)
+    parts = shard_parts(pieces, total, length, shard_slots, key, starts, bases)
+    return write_shards(parts, folder, total, length, shard_slots, key, end_id)
 
 
 def read_slots(file: str, first_slot: int, records: int, stride: int, start: int = 0,
@@ -257,9 +338,9 @@ def read_sequences(manifest: DataFrame, start: int = 0) -> DataFrame:
             for r in batch.to_pylist():
                 out = []
                 for slot, raw in read_slots(r["file"], r["first_slot"], r["records"], r["stride"], start):
-                    number, doc, offset, n = struct.unpack_from(HEAD, raw)
+                    number, doc, offset, n, flags = struct.unpack_from(HEAD, raw)
                     ids = raw[HEAD_BYTES:HEAD_BYTES + 2 * n]
-                    out.append((slot, number, None if doc == -1 else doc, offset, n,
+                    out.append((slot, number, None if flags & NULL_ID else doc, offset, n,
                                 hashlib.sha256(ids).hexdigest()))
                 if out:
                     yield pa.RecordBatch.from_arrays(
@@ -267,5 +348,8 @@ def read_sequences(manifest: DataFrame, start: int = 0) -> DataFrame:
                             pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string()),
                             strict=True)], SEQUENCE.names)
 
-    return (manifest.filter(F.col("first_slot") + F.col("records") > start)
-            .repartition("shard").mapInArrow(run, SEQUENCE))
+    # the rows of the manifest are few, the files they name are not
+    wanted = manifest.filter(F.col("first_slot") + F.col("records") > start)
+    size = wanted.agg(F.sum(F.col("records") * F.col("stride"))).first()[0] or 0
+    tasks = max(1, min(MAX_TASKS, -(-size // TASK_BYTES)))
+    return wanted.repartitionById(tasks, F.pmod("shard", F.lit(tasks)).cast("int")).mapInArrow(run, SEQUENCE)
