@@ -44,6 +44,8 @@ from tickwise.llm.common import cut, slices, with_row_key, work_dir, written
 SKIPPABLE = 0x184D2A5E
 SEEKABLE = 0x8F92EAB1
 
+READ_BYTES = 16 << 20  # of records that one task reads back
+READ_TASKS = 20_000
 FRAME_BYTES = 1 << 20
 LEVEL = 3
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the URL namespace of RFC 4122
@@ -232,7 +234,10 @@ def write_bundles(rows: DataFrame, folder: str, key: str, page_id: str, url: str
 
 def read_bundles(index: DataFrame, payloads: bool = True) -> DataFrame:
     """The records that ``index`` names, each frame fetched by its place in the seek table."""
-    placed = index.repartition("bundle", "frame").sortWithinPartitions("bundle", "frame", "offset")
+    # the rows of the index are few, the records they name are not
+    size = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(1, min(READ_TASKS, -(-size // READ_BYTES)))
+    placed = index.repartition(tasks, "bundle", "frame").sortWithinPartitions("bundle", "frame", "offset")
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name = reader = frame = None
