@@ -29,7 +29,9 @@ from tickwise.plans.daily_report import daily_report
 from tickwise.plans.incremental import incremental_bars, read_backlog
 from tickwise.schemas import TICK_FIELDS
 from tickwise.session import checkpoint_root
+from tickwise.sinks.counts import COUNTS, read_counts
 from tickwise.sinks.prices import upsert_bars
+from tickwise.sinks.quarantine import PLACE, read_quarantine, replay_quarantine
 from tickwise.sinks.ticks import compact_ticks, write_tick_batch
 from tickwise.sources import adapters as A
 from tickwise.sources.seed import assign_ids
@@ -130,6 +132,42 @@ def q_ingested_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ticks(spark, store).select(*TICK_FIELDS, "trade_date")
 
 
+def q_repaired_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ticks as envelopes, some of which arrive torn, are put in quarantine, repaired and replayed.
+
+    The repair is replayed twice and the source read once more afterwards; each tick is stored once.
+    """
+    t, _ = _dims(spark, sf_dir)
+    source, store = _scratch(spark, "envelopes"), _scratch(spark, "store")
+    value, torn = F.col("value"), F.pmod(F.xxhash64("value"), F.lit(3)) == 0
+    (encode_snapshots(t, max_ticks=RECORD_TICKS)
+        .select(F.when(torn, value.substr(F.lit(1), F.length("value") - 1)).otherwise(value).alias("value"))
+        .write.option("maxRecordsPerFile", 64).text(source))
+
+    def ingest() -> None:
+        ingest_ticks(text_envelope_stream(spark, source), store, _scratch(spark, "ingest"),
+                     available_now=True).awaitTermination()
+
+    ingest()
+    repaired = read_quarantine(spark, store).filter("reason = 'not JSON'").select(
+        *PLACE, F.concat(F.col("value").cast("string"), F.lit("]")).alias("value")).checkpoint()
+    for _ in range(2):
+        replay_quarantine(spark, store, repaired)
+    ingest()
+    return read_ticks(spark, store).select(*TICK_FIELDS, "trade_date")
+
+
+def q_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-7: the kept counts of all batches of an ingest through two checkpoints, summed up."""
+    t, _ = _dims(spark, sf_dir)
+    source, store = _scratch(spark, "envelopes"), _scratch(spark, "store")
+    encode_snapshots(t, max_ticks=RECORD_TICKS).select("value").write.option("maxRecordsPerFile", 64).text(source)
+    for _ in range(2):
+        ingest_ticks(text_envelope_stream(spark, source), store, _scratch(spark, "ingest"),
+                     available_now=True).awaitTermination()
+    return read_counts(spark, store).agg(*[F.sum(c).alias(c) for c in COUNTS])
+
+
 def _land(t: DataFrame, k: int, n: int, store: str) -> None:
     """Land part ``k`` of ``n`` of the ticks, dealt by hash, so that batches are out of order."""
     part = t.filter(F.pmod(F.xxhash64("seq"), F.lit(n)) == k)
@@ -331,6 +369,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "preview": q_preview,
         "envelope_records": q_envelope_records,
         "ingested_ticks": q_ingested_ticks,
+        "repaired_ingest": q_repaired_ingest,
+        "batch_counts": q_batch_counts,
         "daily_report_csv": q_daily_report_csv,
         "dirty_tick_rejects": q_dirty_tick_rejects,
         "dirty_daily_bars": q_dirty_daily_bars,
@@ -387,6 +427,12 @@ prices AS (
 _WITH_TICKS = "WITH " + _TICKS + ",\n" + _COMPANIES + "\n"
 _WITH_PRICES = "WITH " + _TICKS + ",\n" + _COMPANIES + ",\n" + _PRICES + "\n"
 
+_INGESTED = _WITH_TICKS + """
+SELECT current_price, CAST(user_id AS INTEGER) AS id, name, open,
+       ROUND((current_price - open) / NULLIF(open, 0) * 100, 2) AS percent_change,
+       symbol, timestamp, volume, trade_date
+FROM t"""
+
 # The reports over the bars of one day, joined to their companies.
 _REPORT_SQL = {
     "top_volume": "SELECT name, symbol, volume FROM day ORDER BY volume DESC NULLS FIRST, symbol LIMIT 5",
@@ -502,10 +548,11 @@ WHERE hour(ts) BETWEEN 8 AND 18 AND NOT EXISTS (SELECT 1 FROM companies c WHERE
         "preview": _WITH_TICKS + "SELECT symbol, timestamp, current_price FROM t ORDER BY seq LIMIT 1",
         "envelope_records": _WITH_TICKS + """
 SELECT timestamp, CAST(1 AS BIGINT) AS n_records, count(*) AS n_ticks FROM t GROUP BY timestamp""",
-        "ingested_ticks": _WITH_TICKS + """
-SELECT current_price, CAST(user_id AS INTEGER) AS id, name, open,
-       ROUND((current_price - open) / NULLIF(open, 0) * 100, 2) AS percent_change,
-       symbol, timestamp, volume, trade_date
+        "ingested_ticks": _INGESTED,
+        "repaired_ingest": _INGESTED,
+        "batch_counts": _WITH_TICKS + f"""
+SELECT CAST(count(DISTINCT (ts, CAST(seq AS BIGINT) // {RECORD_TICKS})) AS BIGINT) AS envelopes, CAST(0 AS BIGINT) AS malformed,
+       count(*) AS ticks
 FROM t""",
         "dirty_tick_rejects": _DIRTY + """
 SELECT seq, symbol, timestamp, reason AS reject_reason FROM judged WHERE reason IS NOT NULL""",

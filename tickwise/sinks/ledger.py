@@ -66,8 +66,8 @@ def merged_cover(spark: SparkSession, store: str) -> DataFrame:
     return spark.read.schema(RANGE_SCHEMA).parquet(os.path.join(root, f"version={versions[-1]}"))
 
 
-def covered(spark: SparkSession, store: str, writer: str, batch_id: int) -> DataFrame:
-    """Ranges that batches other than this one have stored."""
+def covered(spark: SparkSession, store: str, writer: str = "", batch_id: int = -1) -> DataFrame:
+    """Ranges that batches other than this one (of all batches, if none is named) have stored."""
     own = (F.col("writer") == writer) & (F.col("batch_id") == batch_id)
     others = commits(spark, store).filter(~own & F.col("first").isNotNull()).select(*RANGE_SCHEMA.names)
     return merged_cover(spark, store).unionByName(others)

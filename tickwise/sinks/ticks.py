@@ -7,6 +7,7 @@ Layout under the store::
     compacted/run=R/trade_date=D/               landed batches merged by run R
     merged/run=R/                               which batches run R has merged
     log/                                        finished runs
+    counts/, quarantine/                        ``sinks.counts``, ``sinks.quarantine``
 
 A batch is written with dynamic partition overwrite of its own folders. ``W`` is
 the id that Spark keeps in the query's checkpoint, so a re-run batch replaces
@@ -34,6 +35,7 @@ from pyspark.sql import functions as F
 from tickwise.functions.order import ORDER_COLUMNS, ingest_seq
 from tickwise.functions.time import parse_tick_ts
 from tickwise.schemas import LANDING_SCHEMA, MERGED_SCHEMA, PLACE_FIELDS, RUN_SCHEMA, TICK_FIELDS
+from tickwise.sinks.counts import batch_folder, merge_counts
 from tickwise.sinks.files import child_names, read_or_empty, remove
 from tickwise.sinks.ledger import commit_batch, commits, merge_ledger, source_column
 
@@ -136,9 +138,9 @@ def compact_ticks(spark: SparkSession, ticks_path: str, grace_seconds: int = GRA
 
 
 def remove_merged(spark: SparkSession, ticks_path: str, grace_seconds: int = GRACE_SECONDS) -> None:
-    """Remove the landing and ledger folders of batches that runs merged at least ``grace_seconds`` ago.
+    """Remove the landing, ledger and count folders of batches that runs merged at least ``grace_seconds`` ago.
 
-    The ledger's merged version covers them by then; a run's list of batches goes last.
+    The merged versions of ledger and counts hold them by then; a run's list of batches goes last.
     """
     old = (finished_runs(spark, ticks_path).filter(
         F.col("finished") <= F.current_timestamp() - F.make_dt_interval(secs=F.lit(grace_seconds))))
@@ -146,6 +148,7 @@ def remove_merged(spark: SparkSession, ticks_path: str, grace_seconds: int = GRA
     gone = merged.collect()  # the batches of one compaction interval
     if not gone:
         return
+    merge_counts(spark, ticks_path)
     landing = os.path.join(ticks_path, "landing")
     dates = [d for d in child_names(spark, landing) if d.startswith("trade_date=")]
     for r in gone:
@@ -153,5 +156,6 @@ def remove_merged(spark: SparkSession, ticks_path: str, grace_seconds: int = GRA
             remove(spark, os.path.join(landing, d, f"writer={r['writer']}", f"batch_id={r['batch_id']}"))
         remove(spark, os.path.join(ticks_path, "ledger", "batches", f"writer={r['writer']}",
                                    f"batch_id={r['batch_id']}"))
+        remove(spark, batch_folder(ticks_path, r["writer"], r["batch_id"]))
     for run in {r["run"] for r in gone}:
         remove(spark, os.path.join(ticks_path, "merged", f"run={run}"))

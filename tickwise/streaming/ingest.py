@@ -10,8 +10,10 @@ is not swallowed). With ``startingOffsets=earliest`` the source replays from the
 only on the first run; afterwards the checkpoint rules.
 
 AGG-7: the counts of each batch (envelopes, malformed ones, ticks; all without
-covered records) are taken during the write and logged; ``metrics`` may name a
-list or bounded deque.
+covered records) are taken during the write, logged, and kept with the store
+(``sinks.counts``); ``metrics`` may name a list or bounded deque. Malformed envelopes
+are put aside by their place (``sinks.quarantine``); only a batch that has some is
+read again for it.
 """
 
 from __future__ import annotations
@@ -24,8 +26,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickwise.operators.decode import decode_envelopes
 from tickwise.session import stream_checkpoint
+from tickwise.sinks.counts import write_counts
 from tickwise.sinks.latest import quoted, update_latest
 from tickwise.sinks.ledger import covered, drop_covered
+from tickwise.sinks.quarantine import quarantine_batch
 from tickwise.sinks.ticks import read_batch, write_tick_batch, writer_id
 
 log = logging.getLogger(__name__)
@@ -53,8 +57,12 @@ def make_batch_writer(ticks_path: str, checkpoint: str, value_col: str = "value"
         if latest_path is not None:
             # from the batch's own files: the source is not read again
             update_latest(quoted(read_batch(spark, ticks_path, own[0], batch_id)), latest_path)
-        counted.append({"batch_id": batch_id, **obs.get})
-        log.info("batch %s: %s", batch_id, obs.get)
+        counts = obs.get
+        if counts["malformed"]:
+            quarantine_batch(fresh, ticks_path, own[0], batch_id, value_col)
+        write_counts(spark, ticks_path, own[0], batch_id, counts)
+        counted.append({"batch_id": batch_id, **counts})
+        log.info("batch %s: %s", batch_id, counts)
     return write_batch
 
 
