@@ -21,6 +21,7 @@ from tickwise.operators import reports as R
 from tickwise.operators.bars import daily_bars
 from tickwise.operators.decode import decode_ticks, parse_envelopes
 from tickwise.operators.encode import RECORD_TICKS, encode_snapshots
+from tickwise.operators.keycheck import stored_conflicts
 from tickwise.operators.snapshot import last_updated, market_snapshot
 from tickwise.operators.ticks import (
     closing_ticks, session_scan, session_ticks, tick_rejects, unknown_symbols,
@@ -321,6 +322,12 @@ def q_check_primary_key(spark, sf_dir):
     return C.check_primary_key(closing_ticks(t), ["symbol", "trade_date"])
 
 
+def q_stored_conflicts(spark, sf_dir):
+    # the dirty ticks as new rows: their readable keys against the stored ticks
+    t, _ = _dims(spark, sf_dir)
+    return stored_conflicts(A.dirty_ticks(spark, sf_dir), t, ["symbol", "timestamp"])
+
+
 def q_check_foreign_key(spark, sf_dir):
     return C.check_foreign_key(A.table(spark, sf_dir, "events"), "user_id",
                                A.table(spark, sf_dir, "supplier"), "s_suppkey")
@@ -365,6 +372,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "check_unique": q_check_unique,
         "check_primary_key": q_check_primary_key,
         "check_foreign_key": q_check_foreign_key,
+        "stored_conflicts": q_stored_conflicts,
         "envelope_roundtrip": q_envelope_roundtrip,
         "preview": q_preview,
         "envelope_records": q_envelope_records,
@@ -606,6 +614,10 @@ SELECT symbol, trade_date, count(*) AS n_rows,
 FROM t WHERE hour(ts) = 18
 GROUP BY symbol, trade_date
 HAVING symbol IS NULL OR trade_date IS NULL OR count(*) > 1""",
+        "stored_conflicts": _DIRTY.split("timed AS (")[0].rstrip().rstrip(",") + """
+SELECT * FROM (SELECT symbol, timestamp, count(*) AS n_new FROM dirty
+               WHERE symbol IS NOT NULL AND timestamp IS NOT NULL GROUP BY ALL)
+JOIN (SELECT symbol, timestamp, count(*) AS n_stored FROM t GROUP BY ALL) USING (symbol, timestamp)""",
         "check_foreign_key": """
 SELECT e.* FROM events e
 WHERE e.user_id IS NOT NULL

@@ -26,10 +26,39 @@ def read_reference_table(spark: SparkSession, name: str, path: str) -> DataFrame
     return read_table(spark, path, TABLES[name].schema)
 
 
+def quantile_bounds(keys: DataFrame, column: str, parts: int, accuracy: int = 10_000) -> list:
+    """At most ``parts - 1`` increasing values that cut ``column`` into ranges of like row counts.
+
+    ``keys`` is any table with the key, say the copy that the last load left. One
+    aggregate with partial sketches; ``parts - 1`` numbers reach the driver.
+    """
+    if parts < 2:
+        return []
+    at = [i / parts for i in range(1, parts)]
+    cuts = keys.agg(F.percentile_approx(column, at, accuracy)).first()[0] or []
+    return sorted(set(cuts))
+
+
+def range_predicates(column: str, bounds: list) -> list[str]:
+    """SQL conditions that every row meets exactly one of, NULL keys and rows beyond the bounds too."""
+    if not bounds:
+        return ["1 = 1"]
+    inner = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(bounds, bounds[1:], strict=False)]
+    return [f"{column} < {bounds[0]} OR {column} IS NULL", *inner, f"{column} >= {bounds[-1]}"]
+
+
 def read_jdbc_table(spark: SparkSession, url: str, table: str, schema: T.StructType | None = None,
-                    **options: str) -> DataFrame:
-    """The same table read through JDBC (needs the driver jar on the classpath)."""
-    df = spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**options).load()
+                    key: str | None = None, bounds: list | None = None, **options: str) -> DataFrame:
+    """The same table read through JDBC (needs the driver jar on the classpath).
+
+    With a numeric ``key`` and ``bounds`` (``quantile_bounds``) the read is one task and
+    connection for each range; otherwise it is a single one. Ranges of like row counts
+    hold where ids have gaps, which equal strides between two ends would not.
+    """
+    if key is not None:
+        df = spark.read.jdbc(url, table, predicates=range_predicates(key, bounds or []), properties=options)
+    else:
+        df = spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**options).load()
     return df.to(schema) if schema is not None else df
 
 
