@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import random
+
 import duckdb
+import numpy as np
 import public_tokenizers
 import pytest
+import tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -74,6 +78,24 @@ def test_bpe_on_odd_rows(spark, edge_dir):
     assert got == sorted(brute.bpe(DOCS), key=repr)
 
 
+def test_bpe_of_every_code_point_equals_the_library():
+    theirs = tokenizers.Tokenizer.from_file(queries.TOKENIZER)
+    mine = bpe.Tokenizer(bpe.read_vocabulary(queries.TOKENIZER), bpe.unicode_tables())
+    tables = bpe.unicode_tables()
+    odd = [c for k in ("classes", "inert") for a, b in tables[k] for c in range(a, b + 1)]
+    odd += map(ord, tables["lower"])
+    assert len(odd) > 10_000
+    frames = ["x%sy", "7%s8", "!%s?", "a%s\u0323\u0301", "e\u0301%s\u0327%s", "Σ%s Ⱥ", "\U00011935%s\U00011930"]
+    texts = [" ".join(f.replace("%s", chr(c)) for f in frames) for c in odd]
+    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    texts += [every[i:i + 512] for i in range(0, len(every), 512)]
+    rng = random.Random(3)
+    pool = "".join(map(chr, odd)) + "aZ1 '!\u0301\u0327\u0345\u0334" * 1000
+    texts += ["".join(rng.choices(pool, k=40)) for _ in range(5000)]
+    for text, want in zip(texts, theirs.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert np.frombuffer(mine.encode(text), "<u4").tolist() == want.ids, ascii(text)
+
+
 def test_bpe_against_the_library(spark):
     got = run(spark, "op9_bpe", SF001, "doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
     assert got == sorted(brute.bpe(documents(SF001)), key=repr)
@@ -308,7 +330,7 @@ def test_memos_do_not_follow_text_without_spaces():
     import random
     import tracemalloc
     rng = random.Random(1)
-    tokenizer = bpe.Tokenizer(bpe.read_vocabulary(queries.TOKENIZER))
+    tokenizer = bpe.Tokenizer(bpe.read_vocabulary(queries.TOKENIZER), bpe.unicode_tables())
     tracemalloc.start()
     for _ in range(60):
         tokenizer.encode("".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(3000)))

@@ -7,6 +7,11 @@ are cut out, the rest is normalised and split into words, and the pieces of a
 word are merged with a segment tree over the ranks of adjacent pairs. Words
 recur, so the ids of short ones are kept in memos of bounded size.
 
+The library's Unicode tables (letters, digits, lower case, normalisation) are of
+other Unicode versions than Python's and the ``regex`` module's. ``unicode_tables``
+asks the installed library once on the driver where they differ, over all code
+points; a text with such a character is cut by the library's tables.
+
 Defined cases: a null text counts as empty; an empty text has no ids and
 decodes to the empty string; rows are independent, so repeated rows and ties
 change nothing; other columns pass through unchanged.
@@ -16,12 +21,15 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from collections.abc import Callable, Iterable
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
+from tokenizers import Regex, normalizers, pre_tokenizers
 
 from tickwise.llm.common import append_columns
 
@@ -50,6 +58,61 @@ def byte_symbols() -> list[str]:
     return [symbols[b] for b in range(256)]
 
 
+def _ranges(codes: Iterable[int]) -> list[tuple[int, int]]:
+    """Sorted code points as ranges (first, last)."""
+    out: list[tuple[int, int]] = []
+    for c in codes:
+        if out and c == out[-1][1] + 1:
+            out[-1] = out[-1][0], c
+        else:
+            out.append((c, c))
+    return out
+
+
+def _class(ranges: Iterable[tuple[int, int]]) -> str:
+    """The inside of a character class."""
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges)
+
+
+@cache
+def unicode_tables() -> dict:
+    """Where the library's Unicode tables differ from those used here, over all code points.
+
+    ``L``, ``N``: the library's letters and digits as ranges; ``classes``: the code points
+    that are in one of them here or there only; ``lower``: the library's lower case of those
+    that have another one here; ``inert``: those that normalise here and not in the library.
+    """
+    codes = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    every = "".join(map(chr, codes))
+
+    def differing(theirs: Callable[[str], str], ours: Callable[[str], str]) -> list[int]:
+        return [c for c in codes if theirs(chr(c)) != ours(chr(c))]
+
+    tables: dict = {}
+    classes: set[int] = set()
+    for name in ("L", "N"):
+        split = pre_tokenizers.Split(Regex(rf"\p{{{name}}}"), "removed", invert=True)
+        theirs = {ord(every[a]) for _, (a, _) in split.pre_tokenize_str(every)}
+        classes |= theirs ^ set(map(ord, regex.findall(rf"\p{{{name}}}", every)))
+        tables[name] = _ranges(sorted(theirs))
+    tables["classes"] = _ranges(sorted(classes))
+    lower = normalizers.Lowercase().normalize_str
+    tables["lower"] = {chr(c): lower(chr(c)) for c in differing(lower, str.lower)}
+
+    def nfd(text: str) -> str:
+        return unicodedata.normalize("NFD", text)
+
+    # decomposition, composition, and the class of a mark between marks of the lowest and a high one
+    their_nfd, their_nfc = normalizers.NFD().normalize_str, normalizers.NFC().normalize_str
+    inert = {ord(d) for c in differing(their_nfd, nfd) for d in nfd(chr(c)) + chr(c)}
+    for frame in ("%s", "a%s\u0334", "a\u0345%s"):
+        inert.update(ord(d) for c in differing(lambda c, f=frame: their_nfc(f % nfd(c)),
+                                               lambda c, f=frame: unicodedata.normalize("NFC", f % nfd(c)))
+                     for d in nfd(chr(c)) + chr(c))
+    tables["inert"] = _ranges(sorted(inert))
+    return tables
+
+
 def merge_pairs(symbols: list[int], ranks: dict[int, int], merged: list[int]) -> list[int]:
     """Merge ``symbols`` by rank until no adjacent pair is mergeable.
 
@@ -104,7 +167,7 @@ def merge_pairs(symbols: list[int], ranks: dict[int, int], merged: list[int]) ->
 class Tokenizer:
     """Encoder and decoder of one vocabulary; ``encode`` returns little-endian uint32 ids."""
 
-    def __init__(self, text: str):
+    def __init__(self, text: str, tables: dict):
         data = json.loads(text)
         model = data["model"]
         vocab = model["vocab"]
@@ -123,15 +186,27 @@ class Tokenizer:
                      if p["type"] == "Split")
         self.words = regex.compile(split.replace(r"\s", WHITE_SPACE))
         self.spaces = regex.compile(f"[{WHITE_SPACE}]+")
+        # the same by the library's own tables, for what holds a character that they see otherwise
+        self.their_words = regex.compile(split.replace(r"\s", WHITE_SPACE).replace(r"\p{L}", _class(tables["L"]))
+                                         .replace(r"\p{N}", _class(tables["N"])))
+        self.lower = tables["lower"]
+        self.classes, self.inert, self.lowered = (
+            regex.compile(f"([{_class(ranges)}])" if ranges else "(?!)")
+            for ranges in (tables["classes"], tables["inert"], _ranges(sorted(map(ord, tables["lower"])))))
         self.by_word: dict[str, bytes] = {}
         self.by_chunk: dict[str, bytes] = {}
 
     def chunks(self, text: str) -> list[str]:
         """The normalised text between white space; no word of the split pattern holds any."""
         if not text.isascii():
-            text = unicodedata.normalize("NFC", text)
+            # a character that does nothing in the library's normalisation ends what others compose
+            parts = self.inert.split(text) if self.inert.search(text) else [text]
+            text = "".join(p if k % 2 else unicodedata.normalize("NFC", p) for k, p in enumerate(parts))
         # character by character: no rule for a sigma at the end of a word
-        text = "".join(c.lower() for c in text) if "Σ" in text else text.lower()
+        if "Σ" in text or (not text.isascii() and self.lowered.search(text)):
+            text = "".join([self.lower[c] if c in self.lower else c.lower() for c in text])
+        else:
+            text = text.lower()
         if any(c in text for c in NOT_SPACES):
             return [c for c in self.spaces.split(text) if c]
         return text.split()
@@ -148,7 +223,8 @@ class Tokenizer:
 
     def chunk(self, chunk: str) -> bytes:
         known = self.by_word.get
-        ids = b"".join([known(w) or self.word(w) for w in self.words.findall(chunk)])
+        words = self.words if chunk.isascii() or not self.classes.search(chunk) else self.their_words
+        ids = b"".join([known(w) or self.word(w) for w in words.findall(chunk)])
         if len(chunk) <= MEMO_BYTES:
             if len(self.by_chunk) >= MEMO_WORDS:
                 self.by_chunk.clear()
@@ -181,13 +257,13 @@ def bpe_encode(df: DataFrame, text: str, path: str, ids: str = "ids",
 
     With ``decoded``, a second column holds the text that the ids decode to.
     """
-    vocabulary = df.sparkSession.sparkContext.broadcast(read_vocabulary(path))
+    vocabulary = df.sparkSession.sparkContext.broadcast((read_vocabulary(path), unicode_tables()))
     fields = [T.StructField(ids, T.BinaryType(), False)]
     if decoded:
         fields.append(T.StructField(decoded, T.StringType(), False))
 
     def make():
-        tokenizer = Tokenizer(vocabulary.value)
+        tokenizer = Tokenizer(*vocabulary.value)
 
         def work(texts: list[bytes]) -> list[pa.Array]:
             encoded = [tokenizer.encode(t.decode("utf-8", "replace")) for t in texts]
@@ -203,10 +279,10 @@ def bpe_encode(df: DataFrame, text: str, path: str, ids: str = "ids",
 
 def bpe_decode(df: DataFrame, ids: str, path: str, text: str = "text") -> DataFrame:
     """``df`` with the text that the binary column ``ids`` decodes to in its place."""
-    vocabulary = df.sparkSession.sparkContext.broadcast(read_vocabulary(path))
+    vocabulary = df.sparkSession.sparkContext.broadcast((read_vocabulary(path), unicode_tables()))
 
     def make():
-        tokenizer = Tokenizer(vocabulary.value)
+        tokenizer = Tokenizer(*vocabulary.value)
         return lambda values: [pa.array([tokenizer.decode(v) for v in values], pa.string())]
 
     return append_columns(df, ids, [T.StructField(text, T.StringType(), False)], make)
