@@ -287,6 +287,53 @@ def test_thresholds_keep_the_pigeonhole_sum():
         assert sum(t + 1 for _, t in plan) == simhash.DISTANCE + 1
 
 
+def correlated_codes():
+    """Codes whose upper half repeats the lower one, with a few bits changed here and there."""
+    rng = random.Random(5)
+    codes = {lo | lo << 32 for lo in (rng.getrandbits(32) for _ in range(600))}
+    for c in sorted(codes)[:300]:
+        for flips in (1, 2, 3, 4):
+            for b in rng.sample(range(64), flips):
+                c ^= 1 << b
+            codes.add(c)
+    return sorted(codes)
+
+
+def test_estimate_knows_correlated_bits():
+    rng = np.random.default_rng(6)  # unrelated codes: the estimate is of candidates that are no links
+    low = rng.random((2000, 32)) < 0.5
+    bits = np.concatenate([low, low ^ (rng.random(low.shape) < 0.05)], 1).astype(float)
+    differ = simhash.differences(len(bits), bits.T @ bits)
+    group = [*range(6), *range(32, 38)]  # six bits and their copies
+    x = (bits[:, None, group] != bits[None, :, group]).sum(2)[np.triu_indices(len(bits), 1)]
+    for t, share in enumerate(simhash.within(differ, group, 3)):
+        assert abs(share - (x <= t).mean()) < 0.1 * (x <= t).mean(), t
+    alone = simhash.within(np.outer(differ.diagonal(), differ.diagonal()), group, 3)
+    assert alone[0] < 0.2 * (x == 0).mean()  # what bits taken as independent would give
+    assert simhash.within(np.zeros((64, 64)), group, 3) == [1.0] * 4
+
+
+def test_unequal_thresholds_find_every_link(spark, monkeypatch):
+    codes = correlated_codes()
+    monkeypatch.setattr(simhash, "PAIR_COST", 20.0)  # as a larger table would weigh candidates
+    frame = spark.createDataFrame([(int(np.uint64(c).view(np.int64)),) for c in codes], "fingerprint long")
+    plan = simhash.search_plan(*simhash.bit_statistics(frame.toDF("code")))
+    assert len({t for _, t in plan}) > 1 and sum(t + 1 for _, t in plan) == simhash.DISTANCE + 1
+    sets = brute.Sets(range(len(codes)))
+    for i, a in enumerate(codes):
+        for j in range(i):
+            if (a ^ codes[j]).bit_count() <= 3:
+                sets.join(i, j)
+    want = {}
+    for i, c in enumerate(codes):
+        want.setdefault(sets.root(i), set()).add(int(np.uint64(c).view(np.int64)))
+    got = {}
+    for r in simhash.fingerprint_roots(frame).collect():
+        got.setdefault(r.root, set()).add(r.code)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+    assert 1 < max(map(len, got.values())) and len(got) < len(codes)
+
+
 def test_pipeline_stages_on_odd_rows(spark, edge_dir):
     docs = docs_frame(spark)
     for name, stage in corpus_pipeline.STAGES[:-1]:

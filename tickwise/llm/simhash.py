@@ -8,8 +8,9 @@ Search. The 64 bits are grouped into partitions of correlated bits. Partition i
 gets its own threshold t_i >= -1, and if the thresholds satisfy
 ``sum(t_i + 1) = distance + 1``, two fingerprints within ``distance`` bits differ
 in at most t_i bits of some partition (a partition with -1 is not searched). A
-dynamic program picks the thresholds of least estimated work (probe rows plus
-candidate pairs, from bit statistics over all fingerprints). A fingerprint probes
+dynamic program picks the thresholds of least estimated work: probe rows plus
+candidate pairs, estimated from the joint values of every two bits, counted over
+all fingerprints, so that the estimate knows the correlation that groups bits. A fingerprint probes
 every partition value within t_i bits of its own; rows that meet in a bucket are
 verified on all 64 bits.
 
@@ -28,6 +29,7 @@ id that is not null; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import accumulate, combinations
 from math import comb
 
@@ -108,17 +110,76 @@ def bit_statistics(codes: DataFrame) -> tuple[int, np.ndarray]:
     return found.get(BITS * BITS, 0), both
 
 
-def correlated_groups(n: int, both: np.ndarray, parts: int) -> list[list[int]]:
-    """The bits in ``parts`` groups of nearly equal size, correlated bits together."""
+def correlation(n: int, both: np.ndarray) -> np.ndarray:
+    """The absolute correlation of every two bits."""
     p = both.diagonal() / max(n, 1)
     spread = np.sqrt(np.maximum(p * (1 - p), 1e-9))
-    phi = np.abs((both / max(n, 1) - np.outer(p, p)) / np.outer(spread, spread))
+    return np.abs((both / max(n, 1) - np.outer(p, p)) / np.outer(spread, spread))
+
+
+def differences(n: int, both: np.ndarray) -> np.ndarray:
+    """For bits i and j: the share of code pairs that differ in both (on the diagonal: in the bit).
+
+    From the counted joint values of the two bits, so correlated bits show as such.
+    """
+    p11 = both / max(n, 1)
+    p = p11.diagonal()
+    p10, p01 = p[:, None] - p11, p[None, :] - p11
+    return np.clip(2 * (p11 * (1 - p11 - p10 - p01) + p10 * p01), 0.0, 1.0)
+
+
+def within(differ: np.ndarray, group: list[int], distance: int) -> list[float]:
+    """For t up to ``distance``: the estimated share of pairs that differ in at most t bits of ``group``.
+
+    The bits' differences are taken as a tree, in which each depends on the one it shares
+    most information with (the best approximation of their joint distribution by counted pairs).
+    """
+    p = np.clip(differ.diagonal(), 0.0, 1.0)
+
+    def joint(u: int, v: int) -> np.ndarray:
+        """Probabilities of (u differs, v differs)."""
+        d = min(differ[u, v], p[u], p[v])
+        return np.maximum([[1 - p[u] - p[v] + d, p[v] - d], [p[u] - d, d]], 0.0)
+
+    def information(u: int, v: int) -> float:
+        cells, even = joint(u, v), np.outer([1 - p[u], p[u]], [1 - p[v], p[v]])
+        seen = (cells > 1e-12) & (even > 1e-12)
+        return float((cells[seen] * np.log(cells[seen] / even[seen])).sum())
+
+    parent = {group[0]: -1}
+    best = {v: (information(group[0], v), group[0]) for v in group[1:]}
+    while best:
+        v = max(best, key=lambda b: (best[b][0], -b))
+        parent[v] = best.pop(v)[1]
+        for w in best:
+            best[w] = max(best[w], (information(v, w), v), key=lambda x: x[0])
+    # counts[v][d]: distribution of the differing bits in v's subtree, given whether v differs
+    counts = {v: [np.eye(1, distance + 2, d)[0] for d in (0, 1)] for v in group}
+    for v in reversed(parent):
+        u = parent[v]
+        if u < 0:
+            total = (1 - p[v]) * counts[v][0] + p[v] * counts[v][1]
+            return [float(total[:t + 1].sum()) for t in range(distance + 1)]
+        cells = joint(u, v)
+        for d in (0, 1):
+            given = cells[d] / cells[d].sum() if cells[d].sum() > 0 else np.array([1 - p[v], p[v]])
+            child = given[0] * counts[v][0] + given[1] * counts[v][1]
+            counts[u][d] = np.convolve(counts[u][d], child)[:distance + 2]
+    return [1.0] * (distance + 1)
+
+
+def correlated_groups(phi: np.ndarray, parts: int, full: Callable[[list[int]], bool]) -> list[list[int]]:
+    """All bits in at most ``parts`` groups, correlated bits together.
+
+    A group starts with the bit most correlated with what is left and takes the bit most
+    correlated with it until it is ``full``; the last takes the rest.
+    """
     left, groups = set(range(BITS)), []
-    for k in range(parts):
-        size = (BITS - sum(map(len, groups))) // (parts - k)
-        group = [min(left, key=lambda b: (-phi[b, sorted(left)].sum(), b))]
-        left.discard(group[0])
-        while len(group) < size:
+    while left:
+        start = min(left, key=lambda b: (-phi[b, sorted(left)].sum(), b))
+        group = [start]
+        left.discard(start)
+        while left and (len(groups) == parts - 1 or not full(group)):
             best = min(left, key=lambda b: (-phi[b, group].sum(), b))
             group.append(best)
             left.discard(best)
@@ -126,15 +187,6 @@ def correlated_groups(n: int, both: np.ndarray, parts: int) -> list[list[int]]:
     return groups
 
 
-def within(p: np.ndarray, group: list[int], distance: int) -> list[float]:
-    """For t up to ``distance``: the share of pairs that differ in at most t bits of ``group``."""
-    dist = np.array([1.0])
-    for b in group:
-        differ = 2 * p[b] * (1 - p[b])
-        dist = np.convolve(dist, [1 - differ, differ])
-    return [float(dist[:t + 1].sum()) for t in range(distance + 1)]
-
-
 def allocate(costs: list[list[float]], budget: int) -> tuple[float, list[int]]:
     """Thresholds of least total cost with ``sum(t_i + 1) = budget``; costs[i][t + 1] for t >= -1."""
     best: dict[int, tuple[float, list[int]]] = {0: (0.0, [])}
@@ -149,18 +201,30 @@ def allocate(costs: list[list[float]], budget: int) -> tuple[float, list[int]]:
 
 
 def search_plan(n: int, both: np.ndarray, distance: int = DISTANCE) -> list[tuple[list[int], int]]:
-    """(bits, threshold) of the partitions to search, of the least estimated work."""
-    p, plans = both.diagonal() / max(n, 1), []
+    """(bits, threshold) of the partitions to search, of the least estimated work.
+
+    Groupings of equal sizes and of equal information (minus the logarithm of the share of
+    pairs that agree on a group, so that a group of bits that repeat each other gets more of
+    them) are weighed against each other.
+    """
+    phi, differ, plans = correlation(n, both), differences(n, both), []
+
+    def information(group: list[int]) -> float:
+        return -np.log(max(within(differ, group, 0)[0], 1e-30))
+
+    whole = information(list(range(BITS)))
     for parts in range(1, 2 * (distance + 1) + 1):
-        groups = correlated_groups(n, both, parts)
-        costs = []
-        for g in groups:
-            near = within(p, g, distance)
-            costs.append([0.0] + [
-                n * sum(comb(len(g), k) for k in range(t + 1)) + PAIR_COST * n * n / 2 * near[t]
-                for t in range(distance + 1)])
-        cost, chosen = allocate(costs, distance + 1)
-        plans.append((cost, [(g, t) for g, t in zip(groups, chosen, strict=True) if t >= 0]))
+        by_size = correlated_groups(phi, parts, lambda g, k=parts: len(g) * k >= BITS)
+        by_information = correlated_groups(phi, parts, lambda g, k=parts: information(g) * k >= whole)
+        for groups in (by_size, by_information):
+            costs = []
+            for g in groups:
+                near = within(differ, g, distance)
+                costs.append([0.0] + [
+                    n * sum(comb(len(g), k) for k in range(t + 1)) + PAIR_COST * n * n / 2 * near[t]
+                    for t in range(distance + 1)])
+            cost, chosen = allocate(costs, distance + 1)
+            plans.append((cost, [(g, t) for g, t in zip(groups, chosen, strict=True) if t >= 0]))
     return min(plans, key=lambda x: x[0])[1]
 
 
