@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickwise.operators.joins import is_broadcastable
+from tickwise.session import checkpoint_root
 
 BITS_PER_KEY = 16
 KEY_BITS = 4
@@ -66,13 +67,15 @@ def may_hold(stored: DataFrame, keys: list[str], bloom: DataFrame, words: int) -
 def stored_conflicts(new: DataFrame, stored: DataFrame, keys) -> DataFrame:
     """(keys, n_new, n_stored) of the new keys that ``stored`` holds.
 
-    ``new`` is read twice (its key range and count, then its keys): pass a
-    checkpoint or a table, not a costly plan.
+    ``new`` is read once: its distinct keys with their counts are checkpointed to the
+    shared folder, and the key range, the filter and the comparison come from them.
     """
     ks = [keys] if isinstance(keys, str) else list(keys)
+    checkpoint_root(new.sparkSession)
     whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in ks])
     types = {f.name: f.dataType for f in stored.schema.fields}
-    fresh = new.select(*[F.col(k).cast(types[k]).alias(k) for k in ks]).filter(whole)
+    fresh = (new.select(*[F.col(k).cast(types[k]).alias(k) for k in ks]).filter(whole)
+             .groupBy(*ks).agg(F.count(F.lit(1)).alias("n_new")).checkpoint(eager=True))
     n, low, high = fresh.agg(F.count(F.lit(1)), F.min(ks[0]), F.max(ks[0])).first()
     old = stored.select(*ks).filter(whole)
     if n:
@@ -81,6 +84,5 @@ def stored_conflicts(new: DataFrame, stored: DataFrame, keys) -> DataFrame:
         bloom = key_filter(fresh, ks, words)
         if is_broadcastable(bloom):
             old = may_hold(old, ks, bloom, words)
-    counted = fresh.groupBy(*ks).agg(F.count(F.lit(1)).alias("n_new"))
     held = old.groupBy(*ks).agg(F.count(F.lit(1)).alias("n_stored"))
-    return counted.join(held, ks)
+    return fresh.join(held, ks)
