@@ -81,7 +81,7 @@ def test_stored_side_is_not_shuffled_and_pruned(spark, scratch):
 
 
 def test_filter_beyond_the_broadcast_bound_joins_the_keys(spark, monkeypatch):
-    monkeypatch.setattr(keycheck, "is_broadcastable", lambda df: False)
+    monkeypatch.setattr(keycheck.joins, "is_broadcastable", lambda df: False)
     new = spark.createDataFrame([(1, "x"), (4, "y")], KEYS)
     stored = spark.createDataFrame([(1, "x"), (2, "y")], KEYS)
     assert conflicts(new, stored) == [(1, "x", 1, 1)]

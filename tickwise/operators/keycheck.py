@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.operators.joins import is_broadcastable
+from tickwise.operators import joins
 from tickwise.session import checkpoint_root
 
 BITS_PER_KEY = 16
@@ -82,7 +82,7 @@ def stored_conflicts(new: DataFrame, stored: DataFrame, keys) -> DataFrame:
         old = old.filter(F.col(ks[0]).between(F.lit(low).cast(types[ks[0]]), F.lit(high).cast(types[ks[0]])))
         words = -(-n * BITS_PER_KEY // WORD_BITS)
         bloom = key_filter(fresh, ks, words)
-        if is_broadcastable(bloom):
+        if joins.is_broadcastable(bloom):
             old = may_hold(old, ks, bloom, words)
     held = old.groupBy(*ks).agg(F.count(F.lit(1)).alias("n_stored"))
     return fresh.join(held, ks)
