@@ -383,3 +383,37 @@ def test_memos_do_not_follow_text_without_spaces():
     held = tracemalloc.get_traced_memory()[0]
     tracemalloc.stop()
     assert held < 1e6 and not tokenizer.by_chunk
+
+
+def test_a_task_gives_back_the_memory_it_leaves_free(spark, monkeypatch):
+    import re
+    from pathlib import Path
+
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    from tickwise.llm import common
+
+    def held_mb() -> float:
+        found = re.search(r"\nPss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())
+        return int(found[1]) / 1024
+
+    tasks, pins = [], []
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: tasks.append(run))
+
+    def make():
+        memo = []
+
+        def work(texts):
+            memo.extend(bytes(2000) for _ in range(50_000))
+            pins.append(bytes(2000))  # lives on above the memo, as what a worker keeps does
+            return [pa.array([len(t) for t in texts], pa.int64())]
+
+        return work
+
+    common.append_columns(docs, "text", [T.StructField("n", T.LongType())], make)
+    before = held_mb()
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["abc"]})
+    assert [b.to_pydict() for b in tasks[0](iter([batch]))] == [{"doc_id": [1], "n": [3]}]
+    assert held_mb() - before < 30

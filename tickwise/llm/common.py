@@ -9,9 +9,10 @@ are otherwise handled alike.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -90,8 +91,25 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int) -> Iterator[pa.Re
         yield batch.slice(start)
 
 
+def releasing(run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+              ) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` of an Arrow task, after which the worker gives back the memory that it left free.
+
+    Workers go on to serve the tasks of later stages, and allocators keep what one
+    task needed; without this a worker holds the most of all stages it has served.
+    """
+
+    def whole(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # the C library's, where it is glibc
+            trim(0)
+
+    return whole
+
+
 def append_columns(df: DataFrame, source: str, fields: list[T.StructField], make,
-                   keep_source: bool = False, max_bytes: int = 4 << 20) -> DataFrame:
+                   keep_source: bool = False, max_bytes: int = 1 << 20) -> DataFrame:
     """Add columns computed from the string column ``source`` inside Arrow tasks.
 
     ``make()`` runs once per task and returns a function from a list of UTF-8
@@ -110,4 +128,4 @@ def append_columns(df: DataFrame, source: str, fields: list[T.StructField], make
                 new = work(list(utf8(piece.column(source))))
                 yield pa.RecordBatch.from_arrays([piece.column(c) for c in kept] + new, names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(releasing(run), schema)

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickwise.llm.bits import BitTable, bit_table
-from tickwise.llm.common import append_columns, cut, slices, utf8, written
+from tickwise.llm.common import append_columns, cut, releasing, slices, utf8, written
 
 WINDOW_WORDS = 10
 SHINGLE_WORDS = 3
@@ -138,7 +138,7 @@ def item_windows(items: DataFrame, item_id: str, text: str, window: int) -> Data
 
     rows = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"),
                         F.col(text).alias("text"))
-    return rows.mapInArrow(cut_up, "item string, window string, n int").distinct()
+    return rows.mapInArrow(releasing(cut_up), "item string, window string, n int").distinct()
 
 
 def window_shingles(windows: DataFrame, shingle: int) -> DataFrame:
@@ -158,7 +158,7 @@ def window_shingles(windows: DataFrame, shingle: int) -> DataFrame:
                     pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int64()), strict=True)],
                 ["window", "n", "at", "size", "h"])
 
-    return windows.mapInArrow(hash_all, "window string, n int, at int, size int, h long")
+    return windows.mapInArrow(releasing(hash_all), "window string, n int, at int, size int, h long")
 
 
 def scanner_parts(shingles: DataFrame) -> tuple:
@@ -190,7 +190,7 @@ def shingle_counts(docs: DataFrame, text: str, parts: tuple) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n, pa.int64())],
                                                  ["h", "n"])
 
-    return (docs.select(F.col(text).alias("text")).mapInArrow(count, "h long, n long")
+    return (docs.select(F.col(text).alias("text")).mapInArrow(releasing(count), "h long, n long")
             .groupBy("h").agg(F.sum("n").alias("n")))
 
 

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickwise.llm.bits import BitTable, bit_table
-from tickwise.llm.common import cut, fresh_name, slices, utf8, written
+from tickwise.llm.common import cut, fresh_name, releasing, slices, utf8, written
 from tickwise.llm.components import components
 
 SIMILARITY = 0.8
@@ -224,7 +224,7 @@ def band_blocks(docs: DataFrame, text: str, ranges: int, group_lines: int = GROU
             yield _block_batch(cut_up(np.concatenate(keys), np.concatenate(lines)))
 
     return docs.select(F.col(text).alias("text")).mapInArrow(
-        run, "range int, kind int, key long, keys binary, lines binary")
+        releasing(run), "range int, kind int, key long, keys binary, lines binary")
 
 
 def _range_of(keys: np.ndarray, ranges: int) -> np.ndarray:
@@ -328,7 +328,7 @@ def _whole_groups(blocks: DataFrame, ranges: int, group_lines: int, group_bytes:
         if out:
             yield batch()
 
-    return placed.mapInArrow(run, "large boolean, number long, line long").distinct()
+    return placed.mapInArrow(releasing(run), "large boolean, number long, line long").distinct()
 
 
 def candidate_groups(blocks: DataFrame, ranges: int, group_lines: int = GROUP_LINES, group_bytes: int = GROUP_BYTES) -> DataFrame:
@@ -372,7 +372,7 @@ def lines_in(docs: DataFrame, text: str, table: BitTable) -> DataFrame:
                 [pa.array(np.fromiter(new.values(), np.uint64, len(new)).view(np.int64)),
                  pa.array([x.decode("utf-8", "replace") for x in new], pa.string())], ["line", "content"])
 
-    return (docs.select(F.col(text).alias("text")).mapInArrow(run, "line long, content string")
+    return (docs.select(F.col(text).alias("text")).mapInArrow(releasing(run), "line long, content string")
             .groupBy("line").agg(F.collect_set("content").alias("contents"))
             .select("line", F.explode("contents").alias("content")))
 
@@ -481,7 +481,7 @@ def group_edges(groups: DataFrame, contents: DataFrame, similarity: float = SIMI
         if out:
             yield flush()
 
-    return placed.mapInArrow(run, "u binary, v binary")
+    return placed.mapInArrow(releasing(run), "u binary, v binary")
 
 
 def occurrences(docs: DataFrame, row_key: str, text: str) -> DataFrame:
@@ -501,7 +501,7 @@ def occurrences(docs: DataFrame, row_key: str, text: str) -> DataFrame:
                 ["row_key", "at", "digest"])
 
     return (docs.select(F.col(row_key).alias("row_key"), F.col(text).alias("text"))
-            .mapInArrow(run, "row_key long, at int, digest binary"))
+            .mapInArrow(releasing(run), "row_key long, at int, digest binary"))
 
 
 def line_roots(docs: DataFrame, text: str, similarity: float = SIMILARITY, group_lines: int = GROUP_LINES,

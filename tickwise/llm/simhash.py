@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickwise.llm.common import append_columns, cut, written
+from tickwise.llm.common import append_columns, cut, releasing, written
 from tickwise.llm.components import components
 
 BITS = 64
@@ -104,7 +104,7 @@ def bit_statistics(codes: DataFrame) -> tuple[int, np.ndarray]:
                 [pa.array(range(BITS * BITS + 1), pa.int32()),
                  pa.array([*both.ravel().astype(np.int64).tolist(), n], pa.int64())], ["cell", "n"])
 
-    cells = codes.mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    cells = codes.mapInArrow(releasing(count), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     found = {r["cell"]: r["n"] for r in cells.collect()}  # 64 * 64 + 1 numbers
     both = np.array([found.get(i, 0) for i in range(BITS * BITS)], float).reshape(BITS, BITS)
     return found.get(BITS * BITS, 0), both
@@ -334,7 +334,7 @@ def bucket_edges(buckets: DataFrame, distance: int) -> DataFrame:
         if len(bucket) and (out := edges_of(bucket, code)):
             yield out
 
-    return placed.mapInArrow(run, "u long, v long")
+    return placed.mapInArrow(releasing(run), "u long, v long")
 
 
 def fingerprint_roots(prints: DataFrame, fingerprint: str = "fingerprint", distance: int = DISTANCE,

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickwise.llm.common import append_columns, cut, utf8
+from tickwise.llm.common import append_columns, cut, releasing, utf8
 from tickwise.llm.decontaminate import words_of
 
 TOXIC_TEXTS = 2000
@@ -125,7 +125,7 @@ def word_counts(sample: DataFrame) -> DataFrame:
                     [pa.array([w for w, _ in found], pa.binary()), pa.array([c for _, c in found], pa.int64()),
                      pa.array([toxic] * len(found), pa.int32())], ["window", "context", "toxic"])
 
-    return (sample.select("toxic", "text").mapInArrow(distinct, "window binary, context long, toxic int")
+    return (sample.select("toxic", "text").mapInArrow(releasing(distinct), "window binary, context long, toxic int")
             .distinct().groupBy("window")
             .agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("ordinary")))
 
